@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -12,7 +13,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: The ASCII white space that separates words in every contract: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,7 +23,6 @@ LOCAL_STAGE = "/tmp/checkpoints"
 
 #: The folder that the package is in.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def workers_find_us(spark: SparkSession) -> None:
@@ -81,22 +80,21 @@ def _at_exit() -> None:
 atexit.register(_at_exit)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs whose results are no longer referred to."""
+    gc.collect()
+    with contextlib.suppress(Exception):
+        spark.sparkContext._jvm.System.gc()
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, a lost executor costs one task.
 
-    Shuffle files of the job are dropped once the table is written; later jobs don't need them.
+    Shuffle files of earlier jobs are dropped first: their results are tables by now.
     """
+    forget(spark)
     path = f"{shared_dir(spark)}/folioscan/{name}-{uuid.uuid4().hex}"
-    before = None
-    with contextlib.suppress(Exception):
-        before = spark.conf.get(_CLEANUP)
-        spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is not None:
-            with contextlib.suppress(Exception):
-                spark.conf.set(_CLEANUP, before)
+    df.write.option("compression", "zstd").parquet(path)
     _staged.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
@@ -121,32 +119,20 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             lo = hi
 
 
-def grouped(df: DataFrame, key: str, *values: str) -> DataFrame:
-    """One row for each key with the lists of its packed payloads."""
-    return df.groupBy(key).agg(*[F.collect_list(v).alias(v) for v in values])
-
-
 def columns_of(raw: bytes, dtypes: list[str]) -> list[np.ndarray]:
     """Arrays that pack() put into one payload, of one common length."""
-    width = sum(np.dtype(d).itemsize for d in dtypes)
-    n, at, out = len(raw) // width, 0, []
-    for d in dtypes:
-        size = np.dtype(d).itemsize * n
-        out.append(np.frombuffer(raw, dtype=d, count=n, offset=at))
-        at += size
+    sizes = [np.dtype(d).itemsize for d in dtypes]
+    n, at, out = len(raw) // sum(sizes), 0, []
+    for d, size in zip(dtypes, sizes, strict=True):
+        planes = np.frombuffer(raw, np.uint8, size * n, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view(d).ravel())
+        at += size * n
     return out
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Column after column: ids and positions compress well next to each other."""
-    return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-
-
-def unpack_all(payloads: list[bytes], dtypes: list[str]) -> list[np.ndarray]:
-    parts = [columns_of(p, dtypes) for p in payloads]
-    if not parts:
-        return [np.empty(0, dtype=d) for d in dtypes]
-    return [np.concatenate([p[i] for p in parts]) for i in range(len(dtypes))]
+    """Column after column, and in each the first bytes of all values, the second bytes and so on: ids and positions compress well so."""
+    return b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays)
 
 
 def split_by(key: np.ndarray, arrays: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:

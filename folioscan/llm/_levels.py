@@ -107,7 +107,32 @@ def covered(payloads: list[bytes] | None, length: int) -> tuple[np.ndarray, np.n
     return start[keep], end[keep]
 
 
-def with_payloads(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """docs (doc_id, text) with the list of their rows' payloads; texts cross the join once and are not sorted."""
+#: Kind of the rows that say what is covered, in every table of rows.
+COVERED = 0
+
+
+def by_bucket(rows: DataFrame, buckets: int, settle) -> DataFrame:
+    """Rows of covered parts, and those that settle(payloads, rows) makes of all the other payloads of a bucket.
+
+    Covered parts that map tasks have found already go through the same exchange, so nothing is computed twice.
+    """
+
+    def run(t: pa.Table) -> pa.Table:
+        out, kinds = Rows(), t["kind"].to_numpy()
+        mine = np.flatnonzero(kinds == COVERED)
+        keys = t["key"].to_numpy()
+        for i in mine.tolist():
+            out.kinds.append(COVERED)
+            out.keys.append(int(keys[i]))
+            out.payloads.append(t["payload"][i].as_py())
+        settle((t["payload"][i].as_py() for i in np.flatnonzero(kinds != COVERED).tolist()), out)
+        return out.table()
+
+    bucket = F.when(F.col("kind") == COVERED, F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(F.col("key"))
+    return rows.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(run, COVER)
+
+
+def with_payloads(docs: DataFrame, rows: DataFrame, *more: str) -> DataFrame:
+    """docs (doc_id, text and more) with the list of their rows' payloads; texts cross the join once and are not sorted."""
     lists = rows.groupBy("key").agg(F.collect_list("payload").alias("payloads"))
-    return docs.join(lists.hint("shuffle_hash"), docs.doc_id == lists.key, "left").select("doc_id", "text", "payloads")
+    return docs.join(lists.hint("shuffle_hash"), docs.doc_id == lists.key, "left").select("doc_id", "text", "payloads", *more)

@@ -21,15 +21,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import buckets, columns_of, first_of, mix, stage, steps, table, tune
-from ._levels import COVER, Levels, Rows, covered, with_payloads
+from ._common import buckets, columns_of, first_of, forget, mix, stage, steps, table, tune
+from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, with_payloads
 
 #: Sentences in a run.
 SIZE = 3
 #: Words that a run of so many sentences must have: short sentences repeat by chance.
 LEAST_WORDS = {3: 10, 2: 25, 1: 50}
-COVERED, RUN = 0, 1
-RUNS = ["<u8", "<i8", "<i8", "<i2"]  # key, doc, first sentence, sentences
+RUN = 1
+RUNS = ["<u8", "<i8", "<i4", "<i2"]  # key, doc, first sentence, sentences
 
 _chunks = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+[^\S\n]*\n*|\n+)|[^.!?。！？\n]+").findall
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -88,24 +88,21 @@ def repeated_sentences(spark: SparkSession, docs: DataFrame, size: int = SIZE, l
             if not found:
                 continue
             key, first, sizes = (np.concatenate([f[k] for _, f in found]) for k in range(3))
-            own = [key, np.repeat(np.array([i for i, _ in found], np.int64), [len(f[0]) for _, f in found]), first, sizes]
+            own = [key, np.repeat(np.array([i for i, _ in found], np.int64), [len(f[0]) for _, f in found]), first.astype("<i4"), sizes]
             kept, later = first_of(*own[:3])
             rows, lost = Rows(), [c[later] for c in own]
             rows.cover(COVERED, lost[1], lost[2], lost[2] + lost[3])
-            own = [c[kept] for c in own]
+            own = [c[np.sort(kept)] for c in own]
             rows.add(RUN, (own[0] % n).astype(np.int64), own)
             yield rows.batch()
 
-    def earliest(t: pa.Table) -> pa.Table:
-        rows, levels = Rows(), Levels(RUNS)
-        for p in t["payload"]:
-            lost = levels.add(columns_of(p.as_py(), RUNS))
+    def earliest(payloads: Iterator[bytes], rows: Rows) -> None:
+        levels = Levels(RUNS)
+        for p in payloads:
+            lost = levels.add(columns_of(p, RUNS))
             rows.cover(COVERED, lost[1], lost[2], lost[2] + lost[3])
-        return rows.table()
 
-    cuts = stage(spark, _docs(docs).mapInArrow(cut, COVER), "runs")
-    met = stage(spark, cuts.filter(f"kind = {RUN}").groupBy("key").applyInArrow(earliest, COVER), "repeated_runs")
-    return cuts.filter(f"kind = {COVERED}").union(met)
+    return stage(spark, by_bucket(_docs(docs).mapInArrow(cut, COVER), int(n), earliest), "repeated_runs")
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -131,7 +128,9 @@ def remove_spans(spark: SparkSession, docs: DataFrame, size: int = SIZE, least:
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string())], names=["doc_id", "n_sentences", "n_removed", "n_spans", "n_removed_chars", "text"])
 
-    return with_payloads(_docs(docs), repeated_sentences(spark, docs, size, least)).mapInArrow(run, out)
+    rows = repeated_sentences(spark, docs, size, least)
+    forget(spark)
+    return with_payloads(_docs(docs), rows).mapInArrow(run, out)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,19 +28,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import buckets, columns_of, first_of, merged, mix, stage, steps, table, tune
-from ._levels import COVER, Levels, Rows, covered, with_payloads
+from ._common import buckets, columns_of, first_of, forget, merged, mix, stage, steps, table, tune
+from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, with_payloads
 
 LENGTH = 100
 GRAM = 32
-#: Row kinds: covered parts by document; stretches by bucket; edge stretches by document; windows by bucket.
-COVERED, STRETCH, GRAMS, EDGE, WINDOW = range(5)
-STRETCHES = ["<u8", "<i8", "<i8", "<u8", "<i2", "<i2"]  # key, doc, pos, gram, first and last window relative to pos
-GRAM_ROWS = ["<u8", "<i8", "<i8", "<i2", "<i2"]
-WINDOWS = ["<u8", "<i8", "<i8"]
+#: Row kinds besides covered parts: stretches and grams by bucket, edge stretches by document, windows by bucket.
+STRETCH, GRAMS, EDGE, WINDOW = range(1, 5)
+STRETCHES = ["<u8", "<i8", "<i4", "<u8", "<i2", "<i2"]  # key, doc, pos, gram, first and last window relative to pos
+GRAM_ROWS = ["<u8", "<i8", "<i4", "<i2", "<i2"]
+WINDOWS = ["<u8", "<i8", "<i4"]
+EDGES = ["<i4", "<i2", "<i2"]
+#: Bits of a gram's hash: it only says where to look closer.
+GRAM_BITS = np.uint64((1 << 48) - 1)
 
 _rng = np.random.default_rng(20250601)
 _VALUE = _rng.integers(1, 2**64, 256, dtype=np.uint64)
@@ -117,7 +121,7 @@ def stretches(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: in
     lo, hi, at, doc = window[first], window[last], anchor[first], doc[first]
     key = hashed.of(lo, hi - lo + length)
     key = mix(key ^ ((at - lo).astype(np.uint64) << np.uint64(20)) ^ (hi - lo + 1).astype(np.uint64))
-    return [key, docs[doc], at - starts[doc], hashed.of(at, gram), (lo - at).astype("<i2"), (hi - at).astype("<i2")]
+    return [key, docs[doc], (at - starts[doc]).astype("<i4"), hashed.of(at, gram) & GRAM_BITS, (lo - at).astype("<i2"), (hi - at).astype("<i2")]
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -137,16 +141,14 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
             first, later = first_of(*own[:3])
             rows, lost = Rows(), [c[later] for c in own]
             rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
-            own = [c[first] for c in own]
+            own = [c[np.sort(first)] for c in own]
             rows.add(STRETCH, (own[0] % n).astype(np.int64), own)
             yield rows.batch()
 
-    cuts = stage(spark, docs.mapInArrow(cut, COVER), "stretches")
-
-    def earliest(t: pa.Table) -> pa.Table:
-        rows, levels = Rows(), Levels(STRETCHES)
-        for p in t["payload"]:
-            lost = levels.add(columns_of(p.as_py(), STRETCHES))
+    def earliest(payloads: Iterator[bytes], rows: Rows) -> None:
+        levels = Levels(STRETCHES)
+        for p in payloads:
+            lost = levels.add(columns_of(p, STRETCHES))
             rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
         key, doc, pos, g, lo, hi = levels.all()
         # One of each gram goes on to meet those of other buckets; the others are known to be edges, and make it one as well.
@@ -162,9 +164,8 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         out = np.concatenate([single, both])
         mark = np.concatenate([lo[single], np.full(len(both), 1, "<i2")])  # 1: this one is an edge already
         rows.add(GRAMS, (g[out] % n).astype(np.int64), [g[out], doc[out], pos[out], mark, hi[out]])
-        return rows.table()
 
-    met = stage(spark, cuts.filter(f"kind = {STRETCH}").groupBy("key").applyInArrow(earliest, COVER), "earliest")
+    met = stage(spark, by_bucket(docs.mapInArrow(cut, COVER), int(n), earliest), "earliest")
 
     def shared(t: pa.Table) -> pa.Table:
         cols = [columns_of(p.as_py(), GRAM_ROWS) for p in t["payload"]]
@@ -191,35 +192,33 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
             doc, at = [], []
             for i, payloads in enumerate(batch.column(2).to_pylist()):
                 for p in payloads or []:
-                    pos, lo, hi = columns_of(p, ["<i8", "<i2", "<i2"])
+                    pos, lo, hi = columns_of(p, EDGES)
                     size = (hi - lo + 1).astype(np.int64)
-                    at.append(np.repeat(pos + lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
+                    at.append(np.repeat(pos.astype(np.int64) + lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
                     doc.append(np.full(len(at[-1]), i))
             if not at:
                 continue
             doc, at = np.concatenate(doc), np.concatenate(at)
             fits = at + length <= starts[doc + 1] - starts[doc]  # always, unless rows with one doc_id have different texts
             doc, at = doc[fits], at[fits]
-            own = [hashed.of(starts[doc] + at, length), ids[doc], at]
+            own = [hashed.of(starts[doc] + at, length), ids[doc], at.astype("<i4")]
             first, later = first_of(*own)
             rows = Rows()
             rows.cover(COVERED, own[1][later], own[2][later], own[2][later] + length)
-            own = [c[first] for c in own]
+            own = [c[np.sort(first)] for c in own]
             rows.add(WINDOW, (own[0] % n).astype(np.int64), own)
             yield rows.batch()
 
     texts = with_payloads(docs, edges).filter("payloads is not null")
-    single = stage(spark, texts.mapInArrow(windows, COVER), "windows")
 
-    def earliest_window(t: pa.Table) -> pa.Table:
-        rows, levels = Rows(), Levels(WINDOWS)
-        for p in t["payload"]:
-            lost = levels.add(columns_of(p.as_py(), WINDOWS))
+    def earliest_window(payloads: Iterator[bytes], rows: Rows) -> None:
+        levels = Levels(WINDOWS)
+        for p in payloads:
+            lost = levels.add(columns_of(p, WINDOWS))
             rows.cover(COVERED, lost[1], lost[2], lost[2] + length)
-        return rows.table()
 
-    last = stage(spark, single.filter(f"kind = {WINDOW}").groupBy("key").applyInArrow(earliest_window, COVER), "covered")
-    return cuts.filter(f"kind = {COVERED}").union(met.filter(f"kind = {COVERED}")).union(single.filter(f"kind = {COVERED}")).union(last)
+    last = stage(spark, by_bucket(texts.mapInArrow(windows, COVER), int(n), earliest_window), "windows")
+    return met.filter(f"kind = {COVERED}").union(last)
 
 
 def kept_parts(data: bytes, payloads: list[bytes] | None) -> tuple[list[bytes], int, int]:
@@ -232,14 +231,24 @@ def kept_parts(data: bytes, payloads: list[bytes] | None) -> tuple[list[bytes],
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, kept): the bytes that stay, as binary (cuts may fall inside a character)."""
+    """docs with text and n_chars of what stays; a character that a cut went through goes whole. Other columns stay as they are."""
+    names, schema = docs.columns, docs.schema
+    rows = repeated_parts(spark, docs, length)
+    forget(spark)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            kept = [b"".join(kept_parts((t or "").encode("utf-8", "surrogatepass"), p)[0]) for t, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=["doc_id", "kept"])
+            row, kept = batch.column(3), []
+            for t, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                kept.append(t if t is None or not p else b"".join(kept_parts(t.encode("utf-8", "surrogatepass"), p)[0]).decode("utf-8", "ignore"))
+            columns = dict(zip(names, row.flatten(), strict=True))
+            columns["text"] = pa.array(kept, pa.string())
+            if "n_chars" in columns:
+                columns["n_chars"] = pc.utf8_length(columns["text"]).cast(columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
-    return with_payloads(_docs(docs), repeated_parts(spark, docs, length)).mapInArrow(run, "doc_id long, kept binary")
+    return with_payloads(own, rows, "row").mapInArrow(run, schema)
 
 
 def digest(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -255,7 +264,9 @@ def digest(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFr
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return with_payloads(_docs(docs), repeated_parts(spark, docs, length)).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = repeated_parts(spark, docs, length)
+    forget(spark)
+    return with_payloads(_docs(docs), rows).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
