@@ -1,15 +1,53 @@
-"""Quality rules, near-duplicates, long repeats, benchmark leaks, packing: a corpus made ready for training."""
+"""A corpus made ready for training: quality rules, near-duplicates, long repeats, benchmark leaks, packing.
+
+Every stage takes what the one before it kept, with the columns of documents; the last returns sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioscan.llm import op2_leaks, op4_rules, op7_suffix, op8_simhash, op9_packing
+from folioscan.llm._common import stage, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op4_rules.keep_good(spark, docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: the one with the smallest doc_id."""
+    found = op8_simhash.near_duplicates(spark, docs)
+    others = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_other_id")).distinct()
+    return docs.join(others.hint("shuffle_hash"), docs.doc_id == F.col("_other_id"), "left_anti")
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op7_suffix.remove_repeats(spark, docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op2_leaks.without_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op9_packing.pack_documents(spark, docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+#: Several stages can't be expressed in SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, step in STAGES:
-        docs = step(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(spark, step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
