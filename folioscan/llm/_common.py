@@ -7,6 +7,7 @@ import contextlib
 import gc
 import os
 import uuid
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _staged: list[tuple[SparkSession, str]] = []
+_path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -82,9 +84,10 @@ atexit.register(_at_exit)
 
 def forget(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of jobs whose results are no longer referred to."""
-    gc.collect()
-    with contextlib.suppress(Exception):
-        spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round lets go of plans, the second of what they held
+        gc.collect()
+        with contextlib.suppress(Exception):
+            spark.sparkContext._jvm.System.gc()
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -96,7 +99,16 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/folioscan/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _staged.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _path_of[out] = path
+    return out
+
+
+def discard(spark: SparkSession, staged: DataFrame) -> None:
+    """Delete a table that stage() wrote; nothing that reads it may run any more."""
+    path = _path_of.pop(staged)
+    _staged.remove((spark, path))
+    _delete(spark, path)
 
 
 def buckets(spark: SparkSession, least: int = 24) -> int:

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import buckets, columns_of, first_of, forget, merged, mix, stage, steps, table, tune
+from ._common import buckets, columns_of, discard, first_of, forget, merged, mix, stage, steps, table, tune
 from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, with_payloads
 
 LENGTH = 100
@@ -181,7 +181,10 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         rows.add(EDGE, doc[edge], [pos[edge], lo[edge], hi[edge]])
         return rows.table()
 
-    edges = met.filter(f"kind = {EDGE}").union(met.filter(f"kind = {GRAMS}").groupBy("key").applyInArrow(shared, COVER))
+    # Edges and covered parts are small; grams go as soon as both are written.
+    edges = stage(spark, met.filter(f"kind = {EDGE}").union(met.filter(f"kind = {GRAMS}").groupBy("key").applyInArrow(shared, COVER)), "edges")
+    found = stage(spark, met.filter(f"kind = {COVERED}"), "covered")
+    discard(spark, met)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -218,7 +221,8 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
             rows.cover(COVERED, lost[1], lost[2], lost[2] + length)
 
     last = stage(spark, by_bucket(texts.mapInArrow(windows, COVER), int(n), earliest_window), "windows")
-    return met.filter(f"kind = {COVERED}").union(last)
+    discard(spark, edges)
+    return found.union(last)
 
 
 def kept_parts(data: bytes, payloads: list[bytes] | None) -> tuple[list[bytes], int, int]:
