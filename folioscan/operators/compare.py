@@ -1,0 +1,88 @@
+"""Differences and likenesses of texts: multisets of lines, listings, shingles, quotes."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from folioscan.functions import text as X
+
+# Words of a shingle; shares for a moved answer, its margin, a part and the whole.
+SHINGLE, SAME, MARGIN, PART, WHOLE = 5, 0.6, 0.2, 0.3, 0.8
+QUOTE_SECTIONS = 3
+# End of fixed values.
+
+
+def only_in(mine: DataFrame, theirs: DataFrame, by: list[str], key: str, pos: str) -> DataFrame:
+    """Rows of mine without a counterpart: the n-th occurrence of a key meets the n-th of the other side."""
+    n = F.row_number().over(Window.partitionBy(*by, key).orderBy(pos))
+    counts = theirs.groupBy(*by, key).agg(F.count("*").alias("_m"))
+    return mine.withColumn("_n", n).join(counts, [*by, key], "left").filter(F.col("_n") > F.coalesce("_m", F.lit(0))).drop("_n", "_m")
+
+
+def listing(old: DataFrame, new: DataFrame, by: list[str], key: str) -> DataFrame:
+    """(by, added, removed, common): sums over keys of what one side has more often, or both have."""
+    sides = old.select(*by, key, F.lit(1).alias("_o"), F.lit(0).alias("_w")).unionByName(new.select(*by, key, F.lit(0).alias("_o"), F.lit(1).alias("_w")))
+    counts = sides.groupBy(*by, key).agg(F.sum("_o").alias("o"), F.sum("_w").alias("w"))
+    return counts.groupBy(*by).agg(F.sum(F.greatest(F.col("w") - F.col("o"), F.lit(0))).alias("added"), F.sum(F.greatest(F.col("o") - F.col("w"), F.lit(0))).alias("removed"), F.sum(F.least("o", "w")).alias("common"))
+
+
+def shingles(text: Column | str, size: int = SHINGLE) -> Column:
+    """Distinct runs of `size` words; a shorter text is one."""
+    def of(w: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(size)]))
+        return F.when(F.size(w) >= size, F.array_distinct(runs)).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
+
+    # The words are bound by a lambda: they are made once, not for every run.
+    return F.element_at(F.transform(F.array(X.words(text)), of), 1)
+
+
+def containment(old: DataFrame, new: DataFrame, old_id: str, new_id: str, text: str = "text") -> DataFrame:
+    """(old_id, new_id, score): the share of the old text's shingles that the new text has. Only shingles of an old text leave a new one's row's task."""
+    a = old.select(old_id, shingles(text).alias("_s")).select(old_id, F.size("_s").alias("_n"), F.explode("_s").alias("shingle"))
+    b = new.select(new_id, F.explode(shingles(text)).alias("shingle"))
+    return a.join(b, "shingle").groupBy(old_id, new_id, "_n").agg(F.count("*").alias("_m")).select(old_id, new_id, F.round(F.col("_m") / F.col("_n"), 6).alias("score"))
+
+
+def remapped(old: DataFrame, new: DataFrame, old_id: str, new_id: str, text: str = "text") -> DataFrame:
+    """(old_id, how, new_ids): one section if it clearly is the same, several if together they are, else none."""
+    scores = containment(old, new, old_id, new_id, text)
+    order = Window.partitionBy(old_id).orderBy(F.desc("score"), new_id)
+    top = scores.withColumn("_r", F.row_number().over(order)).withColumn("_next", F.lead("score", 1, 0.0).over(order)).filter("_r = 1").select(old_id, F.col(new_id).alias("_best"), F.col("score").alias("_score"), "_next")
+    parts = scores.filter(F.col("score") >= PART).select(old_id, new_id)
+    a = old.select(old_id, shingles(text).alias("_s")).select(old_id, F.size("_s").alias("_n"), F.explode("_s").alias("shingle"))
+    b = new.join(parts.select(new_id).distinct(), new_id, "left_semi").select(new_id, F.explode(shingles(text)).alias("shingle"))
+    union = a.join(b, "shingle").join(parts, [old_id, new_id], "left_semi").groupBy(old_id, "_n").agg(F.count_distinct("shingle").alias("_m"), F.array_join(F.sort_array(F.collect_set(new_id)), ",").alias("_ids"), F.count_distinct(new_id).alias("_k"))
+    met = old.select(old_id).join(top, old_id, "left").join(union, old_id, "left")
+    one = (F.col("_score") >= SAME) & (F.col("_score") - F.col("_next") >= MARGIN)
+    many = (F.col("_k") > 1) & (F.col("_m") >= WHOLE * F.col("_n"))
+    return met.select(old_id, F.when(one, "one").when(many, "several").otherwise("none").alias("how"), F.when(one, F.col("_best").cast("string")).when(many, F.col("_ids")).alias("new_ids"))
+
+
+def quotes(asked: DataFrame, sections: DataFrame, asked_id: str, section_id: str, text: str = "text", head: int = 6) -> DataFrame:
+    """(asked_id, section_id) of sections that hold a quote, blanks collapsed.
+
+    The first `head` words of the quote are the key of an equality join over runs of words; only runs that some quote
+    begins with leave a section's task. A quote of fewer words has its own run length.
+    """
+    def tokens(x: Column) -> Column:
+        return F.split(X.collapse(x), " ")
+
+    q = asked.select(asked_id, X.collapse(text).alias("_quote")).filter("_quote <> ''").withColumn("_w", F.split("_quote", " "))
+    q = q.withColumn("_len", F.least(F.size("_w"), F.lit(head)))
+    # The first and last word of a quote may be parts of words, so the inner words are the key where there are any.
+    inner = F.when(F.col("_len") > 2, F.array_join(F.slice("_w", F.lit(2), F.col("_len") - 2), " ")).otherwise(F.lit(""))
+    q = q.select(asked_id, "_quote", inner.alias("_key"), F.greatest(F.col("_len") - 2, F.lit(0)).alias("_len"))
+    sizes = q.agg(F.collect_set("_len")).scalar()  # at most `head` lengths
+    s = sections.select(section_id, X.collapse(text).alias("_body"))
+    runs = s.select(section_id, tokens(F.col("_body")).alias("_w")).withColumn("_len", F.explode(sizes)).withColumn("_last", F.size("_w") - F.col("_len") + 1).filter("_last >= 1")
+    keys = runs.select(section_id, "_len", F.explode(F.when(F.col("_len") > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("_last")), lambda i: F.array_join(F.slice("_w", i, F.col("_len")), " ")))).otherwise(F.array(F.lit("")))).alias("_key"))
+    pairs = keys.join(q, ["_len", "_key"]).select(asked_id, section_id, "_quote")
+    return pairs.join(s, section_id).filter(F.col("_body").contains(F.col("_quote"))).select(asked_id, section_id)
+
+
+def resolved_quotes(asked: DataFrame, pairs: DataFrame, asked_id: str, section_id: str, most: int = QUOTE_SECTIONS) -> DataFrame:
+    """Each quote with its sections, if it is in one to `most` of them; else it is stale."""
+    n = pairs.groupBy(asked_id).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list(section_id)), ",").alias("_ids"))
+    ok = F.col("n").between(1, most)
+    return asked.select(asked_id).join(n, asked_id, "left").select(asked_id, F.coalesce("n", F.lit(0)).cast("long").alias("n_sections"), F.when(ok, "resolved").otherwise("stale").alias("state"), F.when(ok, F.col("_ids")).alias("sections"))

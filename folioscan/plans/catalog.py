@@ -1,4 +1,6 @@
-"""All queries over the reference tables, and their SQL twins."""
+"""All queries of the engine over the driver's tables, and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import releases, retrieval, texts  # noqa: F401  they register their queries
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
