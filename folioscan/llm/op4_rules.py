@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ._common import stage, table
 
 SPACE = r"[\x20\x09-\x0D]"
-BLANKS = " \\t\\n\\u000B\\f\\r"
+BLANKS = " \\t\\n\\u000B\\u000C\\r"  # SQL literals have no escape for a form feed
 SHARE = 0.75
 STEPS = 3
 LEAST_GROUP = 50
