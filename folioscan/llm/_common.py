@@ -22,6 +22,8 @@ STEP = 2 << 20
 #: Where staged tables go when no shared folder is configured (local mode, tests).
 LOCAL_STAGE = "/tmp/checkpoints"
 
+#: Stands for a null doc_id where ids are compared: before all others.
+NO_ID = -(1 << 63)
 #: The folder that the package is in.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

@@ -7,7 +7,7 @@ earliest (smallest doc_id, then position) stays. A sentence that any other run c
 
 Defined results: null and empty texts, and texts of white space, have no sentences and stay as they are (null: empty);
 of exact copies only the one with the smallest doc_id stays whole; rows that repeat a doc_id count as that one
-document, and each gets a result row; an empty table gives an empty table; other columns are ignored.
+document, and each gets a result row; rows without a doc_id count as one document before all others, and lose nothing; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import buckets, columns_of, first_of, forget, mix, stage, steps, table, tune
+from ._common import NO_ID, buckets, columns_of, first_of, forget, mix, stage, steps, table, tune
 from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, with_payloads
 
 #: Sentences in a run.
@@ -84,7 +84,7 @@ def repeated_sentences(spark: SparkSession, docs: DataFrame, size: int = SIZE, l
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            found = [(i, runs_of(sentences(t)[1], size, least)) for i, t in zip(batch.column(0).fill_null(-1).to_pylist(), batch.column(1).to_pylist(), strict=True) if t]
+            found = [(i, runs_of(sentences(t)[1], size, least)) for i, t in zip(batch.column(0).fill_null(NO_ID).to_pylist(), batch.column(1).to_pylist(), strict=True) if t]
             if not found:
                 continue
             key, first, sizes = (np.concatenate([f[k] for _, f in found]) for k in range(3))

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import buckets, columns_of, discard, first_of, forget, merged, mix, stage, steps, table, tune
+from ._common import NO_ID, buckets, columns_of, discard, first_of, forget, merged, mix, stage, steps, table, tune
 from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, with_payloads
 
 LENGTH = 100
@@ -137,7 +137,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             data, starts = _joined(batch.column(1))
-            own = stretches(data, starts, np.asarray(batch.column(0).fill_null(-1)), length, gram)
+            own = stretches(data, starts, np.asarray(batch.column(0).fill_null(NO_ID)), length, gram)
             first, later = first_of(*own[:3])
             rows, lost = Rows(), [c[later] for c in own]
             rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
@@ -191,7 +191,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
             data, starts = _joined(batch.column(1))
             if len(data) < length:
                 continue
-            hashed, ids = Hashed(data), np.asarray(batch.column(0).fill_null(-1))
+            hashed, ids = Hashed(data), np.asarray(batch.column(0).fill_null(NO_ID))
             doc, at = [], []
             for i, payloads in enumerate(batch.column(2).to_pylist()):
                 for p in payloads or []:
