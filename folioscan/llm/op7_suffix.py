@@ -17,8 +17,9 @@ asked for, and any order of such prefixes brings equal ones together. 64-bit has
 stand for byte equality.
 
 Defined results: a null text is empty; a text shorter than `length` loses nothing; rows that repeat a doc_id
-count as that one document (none is earlier than the other) and each gets a result row; an empty table gives
-an empty table; other columns are ignored.
+count as that one document (none is earlier than the other) and each gets a result row; rows without a
+doc_id count as one document before all others, and lose nothing; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
