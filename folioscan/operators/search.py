@@ -15,6 +15,8 @@ from folioscan.functions import text as X
 K1, B = 1.2, 0.75
 #: Weights of heading, entity, breadcrumb, body and figure text (fixed values).
 WEIGHTS = {"heading": 10.0, "entity": 8.0, "breadcrumb": 3.0, "body": 1.0, "figures": 1.0}
+#: A query vocabulary of up to so many terms is broadcast; a larger one is joined by shuffling.
+BROADCAST_TERMS = 200_000
 #: How many candidates are re-ranked: so many times the limit, and no fewer.
 POOL_TIMES, POOL_LEAST = 20, 200
 
@@ -32,7 +34,9 @@ def postings(docs: DataFrame, key: list[str], fields: dict[str, float], vocabula
     """(key, n_tokens, term, f): weighted occurrences of each term, of those in the vocabulary if one is given."""
     flat = lengths(docs, key, fields, tokens).select(*key, "n_tokens", F.inline("occurrences"))
     if vocabulary is not None:
-        flat = flat.join(vocabulary.select("term").distinct(), "term", "left_semi")
+        terms = vocabulary.select("term").distinct()
+        few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+        flat = flat.join(F.broadcast(terms) if few else terms, "term", "left_semi")
     return flat.groupBy(*key, "n_tokens", "term").agg(F.sum("w").alias("f"))
 
 
