@@ -38,10 +38,9 @@ def grade_report(records: DataFrame, verdicts: tuple[str, ...]) -> DataFrame:
 
 
 def floor_percentile(value: Column | str, p: float) -> Column:
-    """The element at floor(p * (n - 1)) of the sorted values, as an exact aggregate of value counts.
+    """The element at floor(p * (n - 1)) of the sorted values; percentile() would interpolate.
 
-    percentile() interpolates between that element and the next; its floor at a whole rank is percentile itself, so the
-    element comes from the sorted distinct values with cumulated counts instead.
+    The values of a group are gathered, so it is for question sets; calls.summary counts values first.
     """
     v = F.col(value) if isinstance(value, str) else value
     ordered = F.sort_array(F.collect_list(v))
