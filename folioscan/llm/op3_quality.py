@@ -7,7 +7,8 @@ outgrowing the dictionaries: all of it is compressed.
 
 Labels come only from rows whose crc32(doc_id as text) mod 5 is not 0, and language, source and ids are no
 inputs. The fit takes a bounded sample of them: for each label the FIT_DOCS documents of the smallest hash, half for
-dictionaries, half for calibration.
+dictionaries, half for calibration. Both labels are counted over all learnable rows, and the calibration rows of a label weigh
+what that label has in all: the scores keep the true base rate, whether or not the bound bites.
 
 Defined results: null and empty texts get the score of the calibration's base rate; a label that isn't 0 or 1,
 or is null, isn't learnt from; several labels of one document count as they stand; with one class only, every score is that class's
@@ -86,21 +87,24 @@ class Constant:
         self.rate = rate
 
 
-def train(good: list[str], bad: list[str]) -> Model | Constant:
-    """Dictionaries from every other document of each class, calibration on the others, balanced as labels are."""
+def train(good: list[str], bad: list[str], counts: tuple[int, int] | None = None) -> Model | Constant:
+    """Dictionaries from every other document of each class, calibration on the others, weighed to the classes' counts (good, bad)."""
     if not good or not bad:
         return Constant(1.0 if good else 0.0 if bad else 0.5)
     dictionaries = [dictionary(x[::2]) for x in (good, bad)]
     c = Compressors(dictionaries)
-    held = [(t, 1.0) for t in good[1::2] or good] + [(t, 0.0) for t in bad[1::2] or bad]
-    raw, y = np.array([c.features(t) for t, _ in held]), np.array([v for _, v in held])
+    own = [good[1::2] or good, bad[1::2] or bad]
+    raw, y = np.array([c.features(t) for x in own for t in x]), np.repeat([1.0, 0.0], [len(x) for x in own])
+    # The weights add up to the rows, so the ridge counts as much as without them.
+    part = np.array(counts or (len(good), len(bad)), float)
+    weight = np.repeat(part / part.sum() * len(y) / [len(x) for x in own], [len(x) for x in own])
     centre, scale = raw.mean(0), raw.std(0) + 1e-6
     x = quadratic(np.clip((raw - centre) / scale, -6, 6))
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 1.0)
     ridge[0] = 1e-3
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (weight * (y - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -120,15 +124,18 @@ def dictionary(texts: list[str]) -> bytes:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCS) -> Model | Constant:
-    """A model from at most `most` documents of each label, those with the smallest hashes of their ids."""
+    """A model from at most `most` documents of each label, those with the smallest hashes of their ids, at the rate of all learnable rows."""
     learnt = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1) and crc32(cast(doc_id as string)) % 5 <> 0")
+    with_text = docs.filter("length(cast(text as string)) > 0").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("rows"))
+    both = learnt.groupBy("doc_id", "quality").agg(F.count("*").alias("labels")).join(with_text, "doc_id").groupBy("quality").agg(F.sum(F.col("rows") * F.col("labels")).alias("n"))
+    counts = {r.quality: r.n for r in both.collect()}
     texts = []
     for label in (1, 0):
         # FIT_DOCS ids are few: they find their texts by a broadcast join, and only these texts come to the driver.
         ids = learnt.filter(F.col("quality") == label).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").filter("length(text) > 0")
         texts.append([r.text for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(most).collect()])
-    return train(*texts)
+    return train(*texts, (counts.get(1, 0), counts.get(0, 0)))
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = FIT_DOCS) -> DataFrame:

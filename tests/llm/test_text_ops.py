@@ -75,6 +75,15 @@ def test_quality_scores_learn_and_hold_out(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows.values()) and len(rows) == len(texts)
 
 
+def test_quality_scores_keep_the_base_rate_where_the_bound_bites(spark):
+    # Texts say nothing about their labels, of which 4 in 5 are 1: calibrated scores of texts not learnt from are about 0.8, whatever the bound.
+    docs = documents(spark, [prose(k, 60) for k in range(800)]).cache()
+    labels = spark.createDataFrame([(k, int(k % 5 > 0)) for k in range(800)], "doc_id long, quality int")
+    for most in (100, 800):
+        scores = [r.score for r in op3_quality.classify(spark, docs, labels, most).filter("held_out").collect()]
+        assert 0.7 < sum(scores) / len(scores) < 0.9
+
+
 def test_quality_scores_without_labels(spark):
     docs = documents(spark, ["a", None])
     none = spark.createDataFrame([], "doc_id long, quality int")
