@@ -1,7 +1,7 @@
 """Operator 1: removal of sentence spans that repeat anywhere in the corpus.
 
-Every run of `size` consecutive sentences is hashed (case and white space folded); so are shorter runs that
-are long in words, and the whole of a text with fewer sentences. Runs meet by key over all documents: map
+Every run of `size` consecutive sentences is hashed (case and white space folded), however short they are; so are shorter runs
+that are long in words, and the whole of a text with fewer sentences. Characters of scripts without spaces count as a word each. Runs meet by key over all documents: map
 tasks settle repeats among their own texts and send one entry a key, packed, to the key's bucket, where the
 earliest (smallest doc_id, then position) stays. A sentence that any other run covers is removed.
 
@@ -26,12 +26,14 @@ from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, with_payl
 
 #: Sentences in a run.
 SIZE = 3
-#: Words that a run of so many sentences must have: short sentences repeat by chance.
-LEAST_WORDS = {3: 10, 2: 25, 1: 50}
+#: Words that a run of so many sentences must have: all full runs count, but one or two short sentences repeat by chance.
+LEAST_WORDS = {3: 1, 2: 25, 1: 50}
 RUN = 1
 RUNS = ["<u8", "<i8", "<i4", "<i2"]  # key, doc, first sentence, sentences
 
 _chunks = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+[^\S\n]*\n*|\n+)|[^.!?。！？\n]+").findall
+#: Thai to Myanmar, Khmer, kana, Han.
+_unspaced = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]").findall
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,12 +54,18 @@ def sentences(text: str) -> tuple[list[str], list[str]]:
     return own, folded
 
 
+def n_words(folded: str) -> int:
+    """Words parted by spaces, or characters of a script that has none, whichever are more."""
+    spaced = folded.count(" ") + 1
+    return spaced if folded.isascii() else max(spaced, len(_unspaced(folded)))
+
+
 def runs_of(folded: list[str], size: int = SIZE, least: dict[int, int] | None = None) -> list[np.ndarray]:
     """(key, first sentence, sentences) of the runs of one text."""
     n, least = len(folded), least or LEAST_WORDS
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(s) for s in folded], np.uint64)
-    words = np.array([s.count(" ") + 1 for s in folded], np.int64)
+    words = np.array([n_words(s) for s in folded], np.int64)
     total = np.concatenate([[0], np.cumsum(words)])
     keys, first, sizes = [], [], []
     for k in range(1, size + 1):

@@ -109,6 +109,14 @@ def test_sentence_spans_are_brute_force(spark):
     assert op1_spans.remove_spans(spark, documents(spark, [])).count() == 0
 
 
+def test_spans_of_short_sentences_and_of_scripts_without_spaces(spark):
+    han = ["春天来了。花都开了。鸟在唱歌。", "他走进房间。灯还亮着。没有人说话。"]
+    long = "".join(chr(0x4E00 + 7 * k) for k in range(60)) + "。"
+    texts = [han[0], "Yes. No. Maybe.", "一。" + long, han[0], "甲。" + han[1] + "乙。", "丙。丁。" + han[1], "Why not? yes. no. maybe. Go on.", "二。" + long + "三。", "春天来了。花都开了。别的话。"]
+    got = [r.text for r in op1_spans.remove_spans(spark, documents(spark, texts).repartition(3)).orderBy("doc_id").collect()]
+    assert got == [*texts[:3], "", texts[4], "丙。丁。", "Why not? Go on.", "二。三。", texts[8]]
+
+
 def test_sentences_make_up_the_text():
     for t in _corpus():
         if t and t.strip():
