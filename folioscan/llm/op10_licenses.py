@@ -1,13 +1,16 @@
 """Operator 10: licence scans, in DataFrame functions only.
 
-Lines with a licence word are held against templates of licence headers by the cosine of sparse TF-IDF vectors; a file's licence
-is that of its best line. A file that is a licence text itself also licenses its directory, and a file without
+Windows of tokens around every licence word, as long as a template of a licence header, are held against it by the cosine of
+sparse TF-IDF vectors, whatever stands before or after them, on the same line or not; a file's licence
+is that of its best window. A file that is a licence text itself also licenses its directory, and a file without
 one of its own takes that of the nearest ancestor directory, by joins on exploded paths.
 
-The templates are a constant of this module, so what is broadcast has a fixed size. Candidate lines are a small
-part of all; their tokens meet the weights in one join, and sums are partial before they are shuffled.
+The templates are a constant of this module, so what is broadcast has a fixed size. Surroundings of licence words are a small
+part of all text, and equal ones are compared once. A window reaches a cosine only if the tokens it shares with the template have that cosine's
+square of the template's squared weights: surroundings that share less are left out without loss. idf is that of the templates, so that a
+score depends on its text alone.
 
-Defined results: null and empty texts have no licence of their own; of equal scores the first template by name wins; of the licence files of one
+Defined results: null and empty texts have no licence of their own; of equal scores the first licence by name wins; of the licence files of one
 directory the first path wins; rows that repeat a path give a result row each; an empty table gives an empty table; other columns are ignored.
 """
 
@@ -23,24 +26,37 @@ from pyspark.sql import functions as F
 from ._common import stage, table
 
 TEMPLATES = {
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", "Apache License Version 2.0, January 2004"),
-    "MIT": ("Released under the MIT License", "The MIT License (MIT)", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3", "GNU General Public License version 3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    "Apache-2.0": ("Licensed under the Apache License, Version 2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", "Apache License Version 2.0, January 2004", "Apache License, Version 2.0", "Apache License 2.0"),
+    "MIT": ("Released under the MIT License", "The MIT License (MIT)", "MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    "ISC": ("Licensed under the ISC License", "ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    "GPL-2.0": ("GNU General Public License version 2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3", "GNU General Public License version 3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    "LGPL-2.1": ("GNU Lesser General Public License version 2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
     "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3", "GNU Lesser General Public License version 3"),
-    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3", "GNU Affero General Public License version 3"),
+    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3", "GNU Affero General Public License version 3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Mozilla Public License Version 2.0"),
-    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    "EPL-2.0": ("Licensed under the Eclipse Public License, version 2.0", "Eclipse Public License v 2.0"),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License", "BSD 2-Clause License"),
+    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License", "BSD 3-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     "CC-BY-4.0": ("Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    "CC-BY-NC-SA-4.0": ("Licensed under CC BY-NC-SA 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    "CC-BY-NC-ND-4.0": ("Licensed under CC BY-NC-ND 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    "CC-BY-3.0": ("Licensed under CC BY 3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License"),
+    "CC-BY-SA-3.0": ("Licensed under CC BY-SA 3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License"),
+    "Unlicense": ("This is free and unencumbered software released into the public domain", "Released under the Unlicense"),
     "CC0-1.0": ("CC0 1.0 Universal public domain dedication", "To the extent possible under law, the author has waived all copyright to this work under CC0 1.0"),
 }
-#: Least cosine of a line with a template.
+TEMPLATES = {name: (*texts, f"SPDX-License-Identifier: {name}") for name, texts in TEMPLATES.items()}
+#: Least cosine of a window with a template.
 COSINE = 0.7
-#: Share of a file's words in licence lines from which it is a licence text.
+#: Share of a file's words in licence windows from which it is a licence text.
 LICENSE_FILE = 0.5
-#: Lines that can hold a licence header.
+#: Texts that can hold a licence header, and the tokens of which a window holds one.
 CANDIDATE = r"(?i)licen[cs]e|copyright|redistribut|permission is hereby|creative commons|\bcc0?\b|public domain"
+ANCHOR = "^(un)?licen[cs]e|^copyright|^redistribut|^permission$|^creative$|^cc0?$|^domain$"
 TOKEN = "[0-9a-z]+"
 
 
@@ -57,21 +73,36 @@ def weights() -> tuple[list[tuple[str, int, str, float]], float]:
 
 
 def own_licenses(spark: SparkSession, files: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """(path, license, score, license_words) of the files with a licence line of their own. files: path, text."""
+    """(path, license, score, license_words) of the files with a licence window of their own. files: path, text."""
     rows, unknown = weights()
     known = spark.createDataFrame(rows, "license string, variant int, token string, idf double, weight double")
-    lines = files.select("path", F.posexplode(F.split("text", "\n")).alias("line", "own")).filter(F.col("own").rlike(CANDIDATE))
-    # Equal lines are compared once, however many files have them.
-    lines = stage(spark, lines.select("path", "line", "own"), "licence_lines")
-    tokens = lines.select("own").distinct().select("own", F.explode(F.regexp_extract_all(F.lower("own"), F.lit(TOKEN), 0)).alias("token")).groupBy("own", "token").agg(F.count("*").alias("tf"))
-    idf = known.select("token", "idf").distinct()
-    weighed = tokens.join(F.broadcast(idf), "token", "left").select("own", "token", (F.col("tf") * F.coalesce("idf", F.lit(unknown))).alias("w"))
-    norm = weighed.groupBy("own").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.join(F.broadcast(known.select("license", "variant", "token", "weight")), "token").groupBy("own", "license", "variant").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    scored = dots.join(norm, "own").select("own", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).filter(F.col("score") >= cosine)
-    best = scored.groupBy("own").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
-    found = lines.join(best, "own").select("path", "line", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), F.size(F.regexp_extract_all(F.lower("own"), F.lit(TOKEN), 0)).alias("words"))
-    return found.groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("s"), "license", "line")).alias("b"), F.sum("words").alias("license_words")).select("path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "license_words")
+    lengths = {(name, k): len(re.findall(TOKEN, text.lower())) for name, texts in TEMPLATES.items() for k, text in enumerate(texts)}
+    reach = max(lengths.values()) - 1
+    templates = spark.createDataFrame([(*of, n, {t: w for *x, t, _, w in rows if tuple(x) == of}) for of, n in lengths.items()], "license string, variant int, length int, weights map<string, double>")
+    idf = F.create_map(*[F.lit(x) for t, i in sorted({(t, i) for *_, t, i, _ in rows}) for x in (t, i)])
+    # What stands around each licence word: `at` is the word's place in the text, `lead` that in its surroundings.
+    texts = files.filter(F.col("text").rlike(CANDIDATE)).select("path", F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), 0).alias("t"))
+    at = F.array_compact(F.transform("t", lambda x, i: F.when(x.rlike(ANCHOR), i)))
+    around = F.transform(at, lambda i: F.struct(i.alias("at"), F.least(i, F.lit(reach)).alias("lead"), F.array_join(F.slice("t", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + reach + 1), " ").alias("own")))
+    places = stage(spark, texts.select("path", F.explode(around).alias("a")).select("path", "a.*"), "licence_places")
+    # Equal surroundings are compared once, however many files have them.
+    distinct = places.select("own", "lead").distinct()
+    shared = distinct.select("own", "lead", F.explode(F.array_distinct(F.split("own", " "))).alias("token")).join(F.broadcast(known.select("license", "variant", "token", "weight")), "token")
+    near = shared.groupBy("own", "lead", "license", "variant").agg(F.sum(F.col("weight") * F.col("weight")).alias("part")).filter(F.col("part") >= cosine * cosine - 1e-6)
+    pairs = near.join(F.broadcast(templates), ["license", "variant"])
+    vector = F.transform(F.split("own", " "), lambda x: F.struct(x.alias("t"), F.coalesce(F.try_element_at(idf, x), F.lit(unknown)).alias("i"), F.coalesce(F.try_element_at("weights", x), F.lit(0.0)).alias("w")))
+    first = F.greatest(F.col("lead") - F.col("length") + 1, F.lit(0))
+    last = F.greatest(first, F.least(F.col("lead"), F.size("v") - F.col("length")))
+    windows = pairs.select("own", "lead", "license", "length", vector.alias("v")).select("own", "lead", "license", F.explode(F.transform(F.sequence(first, last), lambda s: F.struct(s.alias("start"), F.slice("v", s + 1, F.col("length")).alias("x")))).alias("w")).select("own", "lead", "license", "w.*")
+    dot = F.aggregate("x", F.lit(0.0), lambda sum_, y: sum_ + y.i * y.w)
+    # The square of a token's count is its count, once for each place.
+    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda sum_, y: sum_ + y.i * y.i * F.size(F.filter("x", lambda z: z.t == y.t))))
+    scored = windows.select("own", "lead", "license", "start", F.size("x").alias("words"), F.round(dot / norm, 6).alias("score")).filter(F.col("score") >= cosine)
+    best = scored.groupBy("own", "lead").agg(F.min(F.struct((-F.col("score")).alias("s"), "license", "start", "words")).alias("b"))
+    found = places.join(best, ["own", "lead"]).select("path", "b.license", "b.s", (F.col("at") - F.col("lead") + F.col("b.start")).alias("from"), "b.words")
+    covered = found.select("path", "license", "s", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("words") - 1)).alias("place"))
+    by_place = covered.groupBy("path", "place").agg(F.min(F.struct("s", "license")).alias("b"))
+    return by_place.groupBy("path").agg(F.min("b").alias("b"), F.count("*").alias("license_words")).select("path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "license_words")
 
 
 def scan(spark: SparkSession, files: DataFrame, cosine: float = COSINE) -> DataFrame:

@@ -149,3 +149,23 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
     assert got["r/sub/deep/b.c"] == ("Apache-2.0", "inherited", "r/sub/LICENSE") and got["r/own.c"][:2] == ("Apache-2.0", "own")
     assert got["q/c.c"] == got["q/d.c"] == got["top"] == (None, "none", None)
     assert op10_licenses.scan(spark, df.limit(0)).count() == 0
+
+
+def test_licenses_inside_prose_headers_and_wrapped_lines(spark):
+    gpl = "This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version {} of the License, or later."
+    prose_ = "Rain fell on the roofs of the town and nobody went out that day. " * 20
+    want = {
+        "Copyright 2020 Jane Doe. Licensed under the MIT License.": "MIT",
+        "The text of this page is licensed under CC BY 4.0 unless noted otherwise.": "CC-BY-4.0",
+        "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "This project is released under the MIT License, see LICENSE.txt for details.": "MIT",
+        prose_ + "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License. " + prose_: "CC-BY-SA-4.0",
+        "# tool.py\n# " + gpl.format(2): "GPL-2.0",
+        "# tool.py\n# " + gpl.format(3): "GPL-3.0",
+        "We use the GNU Lesser General Public License version 3 here": "LGPL-3.0",
+        "Her driving license and the copyright of her poems were lost": None,
+        "The licence to sell fish is given by the town": None,
+    }
+    files = spark.createDataFrame([(f"{k}/f", t, False) for k, t in enumerate(want)], "path string, text string, named boolean")
+    got = {r.path: r.license for r in op10_licenses.scan(spark, files).collect()}
+    assert [got[f"{k}/f"] for k in range(len(want))] == list(want.values())
