@@ -45,6 +45,18 @@ def test_template_text_outside_articles_goes():
     assert op5_wrappers.main_text(page.format(9), constant) == "Body 9"
 
 
+def test_articles_of_sidebars_and_comments_are_not_the_content():
+    body = "<div><p>The long main text of this page, in a plain block.</p></div>"
+    main = "The long main text of this page, in a plain block."
+    text = op5_wrappers.main_text
+    assert text(f"<body>{body}<aside><article>Teaser one</article><article>Teaser two</article></aside></body>") == main
+    assert text(f"<body>{body}<section class='comments'><article>{'So nice. ' * 20}</article></section></body>") == main
+    assert text(f"<body>{body}<article class='comment'>{'So nice. ' * 20}</article></body>") == main
+    assert text(f"<body>{body}<div><article>Teaser</article></div></body>") == f"{main}\nTeaser"
+    assert text(f"<body><div>Home</div><article class='post has-sidebar comments-open'>{body}<article class='comment'>Nice</article></article></body>") == main
+    assert text(f"<body><div class='notice'>We use cookies<article>{body}</article></body>") == main
+
+
 def test_broken_and_hostile_markup():
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert op5_wrappers.main_text(deep) == "x"
