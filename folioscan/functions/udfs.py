@@ -8,7 +8,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import DoubleType, StringType
 
 _VOWEL = re.compile("[aeiou]")
 
@@ -113,11 +113,23 @@ def nfkd_letters(text: pd.Series) -> pd.Series:
     return text.map(own)
 
 
-def close_matches(cutoff: float, most: int):
-    """UDF (word, candidates) -> the candidates whose matching-blocks ratio reaches the cutoff, best first."""
-
-    @F.pandas_udf(ArrayType(StringType()))
-    def run(word: pd.Series, candidates: pd.Series) -> pd.Series:
-        return pd.Series([[] if w is None or c is None else difflib.get_close_matches(w, list(c), n=most, cutoff=cutoff) for w, c in zip(word, candidates, strict=True)])
+def close_ratio(cutoff: float):
+    """UDF (word, candidate) -> the matching-blocks ratio where it reaches the cutoff, else null; the bounds tried first are exact."""
+
+    @F.pandas_udf(DoubleType())
+    def run(word: pd.Series, candidate: pd.Series) -> pd.Series:
+        match, out = difflib.SequenceMatcher(), []
+        last = None
+        for w, c in zip(word, candidate, strict=True):
+            if w is None or c is None:
+                out.append(None)
+                continue
+            if w != last:
+                match.set_seq2(w)
+                last = w
+            match.set_seq1(c)
+            ratio = match.ratio() if match.real_quick_ratio() >= cutoff and match.quick_ratio() >= cutoff else 0.0
+            out.append(ratio if ratio >= cutoff else None)
+        return pd.Series(out, dtype="float64")
 
     return run

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscan.functions import text as X
-from folioscan.functions.udfs import close_matches
+from folioscan.functions.udfs import close_ratio
 
 # Characters of an entry, of an entry in a log report, entries of one report, listed names.
 ENTRY_CHARS, LOG_CHARS, LOG_ENTRIES, LISTED = 40_000, 2_500, 25, 300
@@ -70,17 +70,22 @@ def explained(items: DataFrame, entries: DataFrame, by: list[str], most: int = L
 
 
 def suggestions(asked: DataFrame, names: DataFrame, kind: str = "entity", prefix_most: int = 25) -> DataFrame:
-    """asked (qid, name) with names (name_lower) like it: by prefix, else close matches among names of the same first letter and like length.
+    """asked (qid, name) with names (name_lower) like it: by prefix, else close matches among all names, best first; none: an empty list.
 
-    Blocking by first letter and length bounds what one comparison sees; the ratio decides.
+    Distinct asked names meet all distinct names of a length that can reach the ratio; only those that reach it are ranked.
     """
     cutoff, most = CLOSE[kind]
-    low = F.lower("name")
-    own = names.select("name_lower").distinct().withColumn("_k", F.left("name_lower", F.lit(1)))
-    near = asked.select("qid", low.alias("_q"), F.left(low, F.lit(1)).alias("_k")).join(own, "_k")
-    # A ratio of at least c needs lengths within a factor of c / (2 - c).
-    factor = cutoff / (2 - cutoff)
-    near = near.filter(F.col("name_lower").startswith(F.col("_q")) | (F.least(F.length("_q"), F.length("name_lower")) >= factor * F.greatest(F.length("_q"), F.length("name_lower"))))
-    cands = near.groupBy("qid", "_q").agg(F.sort_array(F.collect_set(F.when(F.col("name_lower").startswith(F.col("_q")), F.col("name_lower")))).alias("_p"), F.sort_array(F.collect_set("name_lower")).alias("_c"))
-    out = cands.withColumn("suggested", F.when(F.size("_p") > 0, F.slice("_p", 1, prefix_most)).otherwise(close_matches(cutoff, most)("_q", "_c")))
-    return asked.join(out.select("qid", "suggested"), "qid", "left")
+    own = names.select("name_lower").filter("name_lower is not null").distinct()
+    words = asked.select(F.lower("name").alias("_q")).filter("_q is not null").distinct()
+    short, both = F.least(F.length("_q"), F.length("name_lower")), F.length("_q") + F.length("name_lower")
+    starts = F.col("name_lower").startswith(F.col("_q"))
+    # A ratio is at most twice the shorter length over both.
+    met = words.crossJoin(own).filter(starts | (2 * short >= cutoff * both - 1e-9)).withColumn("_p", starts).withColumn("_r", close_ratio(cutoff)("_q", "name_lower"))
+    by_prefix = met.filter("_p").withColumn("_n", F.row_number().over(Window.partitionBy("_q").orderBy("name_lower"))).filter(F.col("_n") <= prefix_most)
+    close = met.filter("_r is not null").withColumn("_n", F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("_r"), F.desc("name_lower")))).filter(F.col("_n") <= most)
+    # At most prefix_most + most names of each asked name are gathered.
+    rows = by_prefix.select("_q", "_p", "_n", "name_lower").union(close.select("_q", F.lit(False).alias("_p"), "_n", "name_lower"))
+    listed = lambda p: F.transform(F.sort_array(F.collect_list(F.when(F.col("_p") == p, F.struct("_n", "name_lower")))), lambda x: x.name_lower)
+    out = rows.groupBy("_q").agg(listed(True).alias("_a"), listed(False).alias("_b")).select("_q", F.when(F.size("_a") > 0, F.col("_a")).otherwise(F.col("_b")).alias("suggested"))
+    joined = asked.withColumn("_q", F.lower("name")).join(out, "_q", "left")
+    return joined.select(*asked.columns, F.when(F.col("_q").isNotNull(), F.coalesce("suggested", F.array().cast("array<string>"))).alias("suggested"))

@@ -205,7 +205,8 @@ def grade_report(spark, sf_dir):
 
 @query()
 def close_matches(spark, sf_dir):
-    """Part names with a letter missing, and the names suggested for them."""
+    """Part names with their third or their first letter missing, and the names suggested for them."""
     names = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name_lower")).distinct()
-    asked = names.select(F.col("name_lower").alias("qid"), F.concat(F.left("name_lower", F.lit(2)), F.substring("name_lower", 4, 200)).alias("name"))
+    third = F.concat(F.left("name_lower", F.lit(2)), F.expr("substring(name_lower, 4)"))
+    asked = names.select(F.col("name_lower").alias("qid"), F.explode(F.array(third, F.expr("substring(name_lower, 2)"))).alias("name"))
     return L.suggestions(asked, names).select("qid", "name", F.array_join("suggested", ",").alias("suggested"))

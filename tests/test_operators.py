@@ -131,6 +131,17 @@ def test_scripts_are_checked(spark):
     assert got == {("ambiguous option", "set_clock", "-n"): "-name,-negate", ("unknown option", "set_clock", "-bogus"): None, ("unknown command", "set_clok", None): "set_clock"}
 
 
+def test_suggestions_see_all_names(spark):
+    import difflib
+
+    names = ["create_clock", "create_port", "set_clock", "report_clock", "crate_clocks", "get_cells", "remove_clock", "Ünit_clock"]
+    asked = ["reate_clock", "xreate_clock", "rceate_clock", "eport_clock", "nothing like it", "get_", "create_clok"]
+    lower = [n.lower() for n in names]
+    got = {r.qid: r.suggested for r in lookup.suggestions(spark.createDataFrame([(a, a) for a in [*asked, None]], "qid string, name string"), spark.createDataFrame([(n,) for n in lower], "name_lower string")).collect()}
+    want = {a: sorted(n for n in lower if n.startswith(a)) or difflib.get_close_matches(a, lower, n=8, cutoff=0.7) for a in asked}
+    assert got == {**want, None: None} and got["reate_clock"][0] == "create_clock"
+
+
 def test_logs_name_codes_and_rules(spark):
     lines = spark.createDataFrame([("l", 0, "Error: bad (CMD-082)"), ("l", 1, "Warning: Rule S29 (x) was violated"), ("l", 2, "S29 alone"), ("l", 3, "Info: CMD-082 again CMD-082")], "log string, pos int, line string")
     assert {(r.kind, r.code): (r.n_lines, r.first_pos, r.severity) for r in lookup.scan_log(lines, ["log"]).collect()} == {("code", "CMD-082"): (2, 0, 1), ("rule", "S29"): (1, 1, 2)}
