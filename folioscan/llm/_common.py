@@ -36,8 +36,11 @@ def workers_find_us(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; one that is read in so few tasks that most cores would idle is dealt out first (never so with many files)."""
     workers_find_us(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    few = name in ("documents", "pages") and 2 * df._jdf.queryExecution().toRdd().getNumPartitions() <= cores
+    return df.repartition(cores) if few else df
 
 
 def tune(spark: SparkSession) -> None:
@@ -92,12 +95,13 @@ def forget(spark: SparkSession) -> None:
             spark.sparkContext._jvm.System.gc()
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, name: str, light: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, a lost executor costs one task.
 
-    Shuffle files of earlier jobs are dropped first: their results are tables by now.
+    Shuffle files of earlier jobs are dropped first: their results are tables by now. Not so if light: for small tables in a loop.
     """
-    forget(spark)
+    if not light:
+        forget(spark)
     path = f"{shared_dir(spark)}/folioscan/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _staged.append((spark, path))

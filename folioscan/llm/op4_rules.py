@@ -2,15 +2,18 @@
 
 Statistics of every text come from array functions inside its row. Four of them, transformed (word length, shares of
 symbols, of capitals and of repeated words and lines), are a vector; for each language and source a minimum-covariance-determinant
-estimate is made by concentration steps: from medians, the closest 3/4 of the vectors give mean and
-covariance, these give distances, and again. Vectors far from their group's estimate are rejected. Cut-off distances are
-exact quantiles of binned distances, so groups of any size are aggregated partially before they are shuffled.
-
+estimate is made: from two starts (medians with spreads about them, and means with variances), concentration steps take the closest 3/4 of
+the vectors, whose mean and covariance give the distances of the next step, until no group's determinant falls any more; of the two the
+smaller determinant wins. Vectors far from their group's estimate are rejected. Cut-off distances are exact
+quantiles of binned distances, so groups of any size are aggregated partially before they are shuffled; estimates, one row a
+group, are broadcast below a counted size, and beyond it meet their rows in salted parts, so that no group is one task.
+
+The estimate is a regularised one: a fixed floor squared is added to each variance, so that groups where most documents agree to the digit
+have a regular covariance. It is part of the rule, and of the determinants that are compared.
 Groups of fewer than LEAST_GROUP documents use their language's estimate, and languages of as few the whole table's.
-A floor on the spread of each dimension keeps estimates regular where most documents agree to the digit; it is part of the rule.
 
 Defined results: null and empty texts have zero statistics and fail; null languages and sources count as the empty string; rows
-that repeat a doc_id are judged each; an empty table gives an empty table; other columns are ignored.
+that repeat a doc_id are judged each, by their own text; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,15 +26,20 @@ from ._common import stage, table
 SPACE = r"[\x20\x09-\x0D]"
 BLANKS = " \\t\\n\\u000B\\u000C\\r"  # SQL literals have no escape for a form feed
 SHARE = 0.75
-STEPS = 3
+#: Most concentration steps: determinants fall with each, and stop falling after a few; a guard, as rounding might keep them moving.
+STEPS = 12
 LEAST_GROUP = 50
+#: Groups whose estimates are broadcast (some 300 bytes each), and the parts of a group's rows where there are more.
+BROADCAST_GROUPS, SALTS = 100_000, 32
 #: Least spread of a dimension.
 FLOOR = (0.15, 0.6, 0.6, 0.8)
 #: Squared Mahalanobis distance beyond which a vector is rejected (chi-square, four dimensions: 1 of 100,000 is over 28.5).
 CUTOFF = 28.5
 #: Chi-square consistency of the covariance of the closest 3/4 in four dimensions.
 CONSISTENT = 0.75 / 0.5046
-#: Bins a unit of a value and of a squared distance, and the last bin.
+#: A fall of a determinant's logarithm that asks for another step.
+SETTLED = 0.01
+#: Bins a unit of a value and of a squared distance; beyond the last of these, bins grow with the distance, so that their number is bounded.
 VALUE_BINS, DISTANCE_BINS, LAST = 64, 16, 100_000
 DIMS = range(4)
 
@@ -55,16 +63,21 @@ element_at(transform(array(filter(split(text, '\\n'), l -> l rlike '[^\\\\x20\\\
 """
 
 
+def _digest() -> Column:
+    """Of all that a verdict depends on."""
+    return F.md5(F.concat_ws("\n", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text")]))
+
+
 def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, n_words, word_chars, n_symbols, n_upper, n_dup_lines, n_repeat_words) of every text."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """(doc_id, digest, lang, source, n_words, word_chars, n_symbols, n_upper, n_dup_lines, n_repeat_words) of every text."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     own = own.withColumn("t", F.expr(f"trim(BOTH '{BLANKS}' FROM text)"))
     size = F.char_length("text")
     return own.select(
-        "doc_id", "lang", "source", F.expr(_WORDS).alias("words"), F.expr(_LINES).alias("n_dup_lines"),
+        "doc_id", "digest", "lang", "source", F.expr(_WORDS).alias("words"), F.expr(_LINES).alias("n_dup_lines"),
         (size - F.char_length(F.regexp_replace("text", r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (size - F.char_length(F.regexp_replace("text", r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
-    ).select("doc_id", "lang", "source", F.col("words.n").alias("n_words"), F.col("words.chars").alias("word_chars"), "n_symbols", "n_upper", "n_dup_lines", F.col("words.repeated").alias("n_repeat_words"))
+    ).select("doc_id", "digest", "lang", "source", F.col("words.n").alias("n_words"), F.col("words.chars").alias("word_chars"), "n_symbols", "n_upper", "n_dup_lines", F.col("words.repeated").alias("n_repeat_words"))
 
 
 def vectors(stats: DataFrame) -> DataFrame:
@@ -80,24 +93,36 @@ def vectors(stats: DataFrame) -> DataFrame:
     return stats.select("*", failed.alias("base_failed"), *[F.round(x, 6).alias(f"x{i}") for i, x in enumerate(own)])
 
 
-def grouped(rows: DataFrame) -> DataFrame:
+def _meet(rows: DataFrame, few: DataFrame, n: int, by: list[str]) -> DataFrame:
+    """rows with the one row of each group, n rows in all."""
+    if n <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(few), by)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
+    return rows.withColumn("_salt", salt).join(few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), [*by, "_salt"]).drop("_salt")
+
+
+def grouped(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """With g: the language and source, or the language, or everything, whichever is large enough."""
-    pairs = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
+    pairs = stage(spark, rows.groupBy("lang", "source").agg(F.count("*").alias("n")), "groups")
     langs = pairs.groupBy("lang").agg(F.sum("n").alias("n_lang"))
     group = F.when(F.col("n") >= LEAST_GROUP, F.concat(F.lit("2"), F.to_json(F.struct("lang", "source")))).when(F.col("n_lang") >= LEAST_GROUP, F.concat(F.lit("1"), F.col("lang"))).otherwise(F.lit("0"))
-    return rows.join(pairs.join(langs, "lang").select("lang", "source", group.alias("g")), ["lang", "source"])
+    return _meet(rows, pairs.join(langs, "lang").select("lang", "source", group.alias("g")), pairs.count(), ["lang", "source"])
 
 
 def _bin(x: Column, per: int) -> Column:
-    return F.least(F.round(x * per), F.lit(float(LAST))).cast("int")
+    """Whole numbers for quantiles: rounded parts of a unit, then logarithmic."""
+    near = F.round(x * per)
+    return F.when(near <= LAST, near).otherwise(LAST + F.floor(F.log(F.greatest(near, F.lit(LAST)) / LAST) * per)).cast("int")
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and spreads by dimension: a diagonal factor to begin with."""
+def _start(rows: DataFrame, n: int) -> DataFrame:
+    """Two starts of each group, with diagonal factors: medians and spreads about them, means and standard deviations."""
     middle = rows.groupBy("g").agg(*[(F.percentile(_bin(F.col(f"x{i}"), VALUE_BINS), F.lit(0.5)) / VALUE_BINS).alias(f"m{i}") for i in DIMS])
-    spread = rows.join(middle, "g").groupBy("g").agg(*[(1.4826 * F.percentile(_bin(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), VALUE_BINS), F.lit(0.5)) / VALUE_BINS).alias(f"s{i}") for i in DIMS])
-    zero = F.lit(0.0)
-    return middle.join(spread, "g").select("g", *[f"m{i}" for i in DIMS], *[(F.greatest(F.col(f"s{i}"), F.lit(FLOOR[i])) if i == j else zero).alias(f"l{i}{j}") for i in DIMS for j in range(i + 1)])
+    spread = _meet(rows, middle, n, ["g"]).groupBy("g").agg(*[(1.4826 * F.percentile(_bin(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), VALUE_BINS), F.lit(0.5)) / VALUE_BINS).alias(f"s{i}") for i in DIMS])
+    robust = middle.join(spread, "g").withColumn("start", F.lit(0))
+    plain = rows.groupBy("g").agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in DIMS], *[F.coalesce(F.stddev_pop(f"x{i}"), F.lit(0.0)).alias(f"s{i}") for i in DIMS]).withColumn("start", F.lit(1))
+    both, zero = robust.unionByName(plain), F.lit(0.0)
+    return both.select("g", "start", *[f"m{i}" for i in DIMS], *[(F.greatest(F.col(f"s{i}"), F.lit(FLOOR[i])) if i == j else zero).alias(f"l{i}{j}") for i in DIMS for j in range(i + 1)], F.lit(float("inf")).alias("log_det"))
 
 
 def _distance() -> Column:
@@ -112,7 +137,7 @@ def _distance() -> Column:
 
 
 def _factor(moments: DataFrame) -> DataFrame:
-    """Mean and Cholesky factor of the covariance, column by column."""
+    """Mean, Cholesky factor of the covariance, column by column, and the logarithm of its determinant."""
     own = moments
     for i in DIMS:
         for j in range(i + 1):
@@ -122,34 +147,50 @@ def _factor(moments: DataFrame) -> DataFrame:
             for k in range(j):
                 cell = cell - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             own = own.withColumn(f"l{i}{j}", F.sqrt(F.greatest(cell, F.lit(1e-6))) if i == j else cell / F.col(f"l{j}{j}"))
-    return own.select("g", *[f"m{i}" for i in DIMS], *[f"l{i}{j}" for i in DIMS for j in range(i + 1)])
+    log_det = sum((2 * F.log(f"l{i}{i}") for i in DIMS[1:]), 2 * F.log("l00"))
+    return own.select("g", "start", *[f"m{i}" for i in DIMS], *[f"l{i}{j}" for i in DIMS for j in range(i + 1)], log_det.alias("log_det"))
 
 
 def estimates(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Mean and factor of each group's minimum-covariance-determinant estimate; one row a group."""
-    now = stage(spark, _start(rows), "mcd")
+    rows = rows.select("g", *[f"x{i}" for i in DIMS])
+    n = rows.select("g").distinct().count()
+    now = stage(spark, _start(rows, n), "mcd", light=True)
     for _ in range(STEPS):
-        far = rows.join(now, "g").select("g", *[f"x{i}" for i in DIMS], _bin(_distance(), DISTANCE_BINS).alias("d"))
-        cut = stage(spark, far.groupBy("g").agg(F.percentile("d", F.lit(SHARE)).alias("cut")), "mcd")
-        near = far.join(cut, "g").filter("d <= cut")
-        moments = near.groupBy("g").agg(F.count("*").alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in DIMS], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i in DIMS for j in DIMS if i <= j])
-        now = stage(spark, _factor(moments), "mcd")
-    return now
+        # Both starts of a group are one row, so rows meet their group once.
+        factors = now.groupBy("g").agg(F.collect_list(F.struct("start", *[f"m{i}" for i in DIMS], *[f"l{i}{j}" for i in DIMS for j in range(i + 1)])).alias("s"))
+        far = _meet(rows, factors, n, ["g"]).select("g", *[f"x{i}" for i in DIMS], F.inline("s")).select("g", "start", *[f"x{i}" for i in DIMS], _bin(_distance(), DISTANCE_BINS).alias("d"))
+        cut = far.groupBy("g", "start").agg(F.percentile("d", F.lit(SHARE)).alias("cut"))
+        near = _meet(far, cut, 2 * n, ["g", "start"]).filter("d <= cut")
+        moments = near.groupBy("g", "start").agg(F.count("*").alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in DIMS], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i in DIMS for j in DIMS if i <= j])
+        state = [f"m{i}" for i in DIMS] + [f"l{i}{j}" for i in DIMS for j in range(i + 1)] + ["log_det"]
+        new = _factor(moments).join(now.select("g", "start", F.struct(*state).alias("was")), ["g", "start"])
+        # A start that has settled stays as it is: binned cut-offs could make it go round in circles.
+        falls = F.col("log_det") < F.col("was.log_det") - SETTLED
+        now = stage(spark, new.select("g", "start", *[F.when(falls, F.col(c)).otherwise(F.col(f"was.{c}")).alias(c) for c in state], falls.alias("falls")), "mcd", light=True)
+        if now.filter("falls").isEmpty():
+            break
+        now = now.drop("falls")
+    best = now.groupBy("g").agg(F.min(F.struct(F.round("log_det", 6).alias("log_det"), "start")).alias("b")).select("g", F.col("b.start").alias("start"))
+    return now.join(best, ["g", "start"]).select("g", *[f"m{i}" for i in DIMS], *[f"l{i}{j}" for i in DIMS for j in range(i + 1)])
 
 
 def judged(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Statistics, base_failed, distance and kept of every document."""
+    """Statistics, base_failed, distance and kept of every document, and the digest of what was judged."""
     rows = stage(spark, vectors(statistics(docs)), "statistics")
-    rows = stage(spark, grouped(rows), "statistics")
-    found = rows.join(estimates(spark, rows), "g").withColumn("distance", F.round(_distance(), 6))
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("distance") <= CUTOFF)).alias("kept"), "distance", "n_upper")
+    rows = stage(spark, grouped(spark, rows), "statistics")
+    few = stage(spark, estimates(spark, rows), "mcd", light=True)
+    found = _meet(rows, few, few.count(), ["g"]).withColumn("distance", F.round(_distance(), 6))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("distance") <= CUTOFF)).alias("kept"), "distance", "n_upper", "digest")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with all their columns."""
-    good = judged(spark, docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(good.hint("shuffle_hash"), docs.doc_id.cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of docs that the rules keep, with all their columns. Rows that repeat a doc_id are told apart by what was judged."""
+    good = judged(spark, docs).filter("kept").select(F.struct("doc_id", "digest").alias("k")).distinct()
+    # Columns of docs live in a struct meanwhile, so that no name can clash.
+    own = docs.select(F.struct("*").alias("row"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest")).alias("k"))
+    return own.join(good.hint("shuffle_hash"), own.k.eqNullSafe(good.k), "left_semi").select("row.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(spark, table(spark, sf_dir, "documents"))
+    return judged(spark, table(spark, sf_dir, "documents")).drop("digest")

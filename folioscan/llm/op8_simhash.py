@@ -1,13 +1,17 @@
-"""Operator 8: SimHash fingerprints, linked within a Hamming distance over vantage-point shards.
-
-Fingerprints are compared once each, however many documents share them. A small vantage-point tree over a
-bounded sample of fingerprints (it steers balance only, never the result) deals every fingerprint to one
-shard, and as a query to the shards that the triangle bound can't rule out. Inside a shard the tree goes on
-in vectorised form down to small leaves, where all pairs are compared. Links found are reduced to a spanning
+"""Operator 8: SimHash fingerprints, linked within a Hamming distance over vantage-point trees.
+
+Fingerprints are compared once each, however many documents share them. Two that differ in at most two bits agree in one of three
+blocks of bits, so each is dealt to three buckets, one for the bits of each block: three copies at any size, and no pair is lost.
+A bucket of more fingerprints than a shard should hold is parted again by three blocks of the bits left, and once more: after that it
+holds at most 2**20 fingerprints, so no bucket outgrows a task, however alike fingerprints are. (One tree over all fingerprints would deal each
+of them to ever more shards as it deepens: 22 at a depth of 12.) Within a bucket a vantage-point tree parts fingerprints by their
+Hamming distance to a pivot; those near a boundary visit the other side too, branches that the triangle bound rules out
+are never met, and small leaves are compared pair by pair. Links found are reduced to a spanning
 forest before they leave a task, and components follow by large-star and small-star rounds.
 
 Defined results: null and empty texts, and texts of white space, have fingerprint zero and are linked like
-any other; one or two words are one shingle; repeated rows with one doc_id give one result row each; an
+any other; one or two words are one shingle; repeated rows with one doc_id give one result row each; rows without a doc_id
+are linked, and their component is that of the smallest doc_id, null if there is none; an
 empty table gives an empty table; other columns are ignored.
 """
 
@@ -28,10 +32,10 @@ from ._graph import components
 SEED = 42
 SHINGLE = 3
 DISTANCE = 2
-#: Fingerprints that the driver draws to choose vantage points and radii; balance depends on it, results don't.
-SAMPLE = 8192
-#: Fingerprints a shard should hold.
+#: Fingerprints that a shard should hold: buckets are packed to shards of about so many, and larger ones are parted.
 SHARD = 40_000
+#: How often a bucket is parted at most.
+LEVELS = 3
 #: A node with as few points is compared pair by pair.
 LEAF = 128
 #: Links a task gathers before it reduces them to a forest.
@@ -167,63 +171,78 @@ def search(own: np.ndarray, guests: np.ndarray, within: int, links: Links) -> No
         todo.append((own[~inside], np.concatenate([own[edge], guests[g > m - within]]), 0))
 
 
-def tree_of(sample: np.ndarray, depth: int) -> list:
-    """(pivot, m, inside, outside) over the sample, `depth` levels deep; a leaf is None."""
-    if depth == 0 or len(sample) < 4:
-        return None
-    pivot = sample[len(sample) // 2]
-    d = distance(sample, pivot)
-    m = int(np.partition(d, len(d) // 2)[len(d) // 2])
-    if m == int(d.max()):
-        m -= 1
-    return (pivot, m, tree_of(sample[d <= m], depth - 1), tree_of(sample[d > m], depth - 1))
-
-
-def deal(tree, points: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, index, owned): one owned shard a point, and those that it visits as a guest."""
-    shards, index, owned, leaf = [], [], [], [0]
-
-    def go(node, at: np.ndarray, home: np.ndarray) -> None:
-        if node is None:
-            shards.append(np.full(len(at), leaf[0], np.int64))
-            index.append(at)
-            owned.append(home)
-            leaf[0] += 1
-            return
-        pivot, m, inside, outside = node
-        d = distance(points[at], pivot)
-        # Owned points go to their side; inner ones near the cut also visit the outside. Guests go where a partner can be.
-        left = np.where(home, d <= m, d <= m + within)
-        right = np.where(home, d > m - within, d > m - within)
-        go(inside, at[left], home[left])
-        go(outside, at[right], home[right] & (d[right] > m))
-
-    go(tree, np.arange(len(points)), np.ones(len(points), bool))
-    return np.concatenate(shards), np.concatenate(index), np.concatenate(owned)
+def masks(within: int = DISTANCE, levels: int = LEVELS) -> list[list[int]]:
+    """By level, the masks of bits that fingerprints of one bucket share; mask p of a level has its parts at p * (within + 1) and after in the next."""
+    out, now = [], [0]
+    for _ in range(levels):
+        new = []
+        for mask in now:
+            free = [b for b in range(64) if not mask >> b & 1]
+            for k in range(within + 1):
+                new.append(mask | sum(1 << b for b in free[k * len(free) // (within + 1) : (k + 1) * len(free) // (within + 1)]))
+        out.append(new)
+        now = new
+    return out
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def bucketed(spark: SparkSession, distinct: DataFrame, within: int, shard: int) -> DataFrame:
+    """(level, part, bits, fp): each fingerprint in each of its buckets."""
+    def dealt(rows: DataFrame, level: int, own: list[int]) -> DataFrame:
+        """To the buckets of the masks below each row's part (all of them at the first level)."""
+        width = within + 1
+        if level == 0:
+            return rows.select("fp", F.inline(F.array(*[F.struct(F.lit(p).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for p, m in enumerate(own)])))
+        table = F.array(*[F.lit(_signed(m)) for m in own])
+        parts = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.col("part") * width + k)
+        return rows.select("fp", F.explode(parts).alias("part")).select("fp", "part", F.col("fp").bitwiseAND(F.get(table, F.col("part"))).alias("bits"))
+
+    out, rows = None, distinct.select("fp")
+    for level, own in enumerate(masks(within)):
+        rows = dealt(rows, level, own)
+        large = stage(spark, rows.groupBy("part", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > shard).drop("n"), "large_buckets", light=True) if level < LEVELS - 1 else None
+        done = large is None or large.isEmpty()
+        small = rows if done else rows.join(large, ["part", "bits"], "left_anti")
+        small = small.select(F.lit(level).alias("level"), "part", "bits", "fp")
+        out = small if out is None else out.unionByName(small)
+        if done:
+            break
+        rows = rows.join(large, ["part", "bits"], "left_semi")
+    return out
+
+
+def close_pairs(key: np.ndarray, points: np.ndarray, within: int, links: Links) -> None:
+    """Pairs of points with equal keys. Small runs of a key are compared shift by shift, all runs at once; longer ones by a tree each."""
+    order = np.lexsort((points, key))
+    key, points = key[order], points[order]
+    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
+    size = np.diff(cut)
+    for k in np.flatnonzero(size > LEAF).tolist():
+        search(points[cut[k] : cut[k + 1]], np.empty(0, np.uint64), within, links)
+    few = np.repeat(size <= LEAF, size)
+    key, points = key[few], points[few]
+    for by in range(1, int(size[size <= LEAF].max(initial=0))):
+        near = np.flatnonzero((key[by:] == key[:-by]) & (np.bitwise_count(points[by:] ^ points[:-by]) <= within))
+        links.add(points[near], points[near + by])
 
 
 def links_between(spark: SparkSession, distinct: DataFrame, within: int = DISTANCE, shard: int = SHARD) -> DataFrame:
-    """A spanning forest (a, b) of the pairs of distinct fingerprints (fp) that differ in at most `within` bits."""
-    n = distinct.count()
-    sample = np.array([r.fp for r in distinct.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], np.int64).view(np.uint64)  # SAMPLE rows
-    shards = max(n // shard, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, 1)
-    tree = tree_of(sample, max(0, int(shards - 1).bit_length()))
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = np.asarray(batch.column(0)).view(np.uint64)
-            if len(points):
-                leaf, at, home = deal(tree, points, within)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(points[at].view(np.int64)), pa.array(home)], names=["shard", "fp", "home"])
+    """A spanning forest (a, b) of each shard's pairs of distinct fingerprints (fp) that differ in at most `within` bits."""
+    shards = max((within + 1) * distinct.count() // shard, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, 1)
+    rows = bucketed(spark, distinct, within, shard)
 
     def pairs(t: pa.Table) -> pa.Table:
-        points, home, links = np.asarray(t["fp"]).view(np.uint64), np.asarray(t["home"]), Links()
-        own = np.sort(points[home])
-        search(own, np.sort(points[~home]), within, links)
+        links = Links()
+        close_pairs(np.asarray(t["key"]), np.asarray(t["fp"]).view(np.uint64), within, links)
         a, b = links.reduce()
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return distinct.select("fp").mapInArrow(route, "shard long, fp long, home boolean").groupBy("shard").applyInArrow(pairs, "a long, b long")
+    # Keys are hashes of buckets: if two share one, points are compared that need not be, and no pair is lost.
+    keyed = rows.select(F.xxhash64("level", "part", "bits").alias("key"), "fp").withColumn("shard", F.pmod("key", F.lit(shards)))
+    return keyed.groupBy("shard").applyInArrow(pairs, "a long, b long")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, within: int = DISTANCE, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
