@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on.
 STEP = 2 << 20
+#: Bytes of input files whose keys one bucket takes.
+BUCKET_BYTES = 8 << 20
 #: Where staged tables go when no shared folder is configured (local mode, tests).
 LOCAL_STAGE = "/tmp/checkpoints"
 
@@ -117,9 +119,11 @@ def discard(spark: SparkSession, staged: DataFrame) -> None:
     _delete(spark, path)
 
 
-def buckets(spark: SparkSession, least: int = 24) -> int:
-    """How many buckets packed keys are dealt to: follows the configured shuffle width, which follows the input."""
-    return max(least, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+def buckets(spark: SparkSession, rows: DataFrame, least: int = 24) -> int:
+    """How many buckets packed keys are dealt to: as the size of the files that rows are read from says, and no fewer than twice the shuffle width."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # A plan whose size Spark doesn't know claims the most there is.
+    return max(least, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES if size < 1 << 60 else 0)
 
 
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = STEP) -> Iterator[pa.RecordBatch]:
@@ -167,15 +171,16 @@ def split_by(key: np.ndarray, arrays: list[np.ndarray]) -> Iterator[tuple[int, l
         yield int(key[lo]), [a[lo:hi] for a in arrays]
 
 
-def first_of(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def first_of(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of the first (doc, pos) of each key, and of the rows that have an earlier one.
 
+    Keys are equal if their 32 check bits are too, 96 bits in all: rows of different checks that share a key part where they meet.
     A row at the very place of the first (a repeated input row) is neither.
     """
     order = np.lexsort((pos, doc, key))
-    k, d, p = key[order], doc[order], pos[order]
+    k, d, p, c = key[order], doc[order], pos[order], check[order]
     new = np.ones(len(k), bool)
-    new[1:] = k[1:] != k[:-1]
+    new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
     head = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
     later = (d != d[head]) | (p != p[head])
     return order[new], order[later]

@@ -1,6 +1,6 @@
 """A logarithmic index family over packed keys, and the coverage tables that its matches fill.
 
-Map tasks send packed columns (key, doc, pos, ...) dealt to buckets by key. A bucket's task takes the
+Map tasks send packed columns (key, doc, pos, check, ...) dealt to buckets by key. A bucket's task takes the
 batches one by one: each is sorted (a suffix array, where keys stand for suffixes of bounded length), merge-
 scanned against the levels that are there, and kept as a new lowest level; levels of equal size class merge,
 so each entry moves a logarithmic number of times. Of equal keys the earliest (doc, pos) stays; the others
@@ -21,20 +21,20 @@ COVER = "kind int, key long, payload binary"
 
 
 class Levels:
-    """Sorted runs of (key, doc, pos, ...), of sizes that double."""
+    """Sorted runs of (key, doc, pos, check, ...), of sizes that double."""
 
     def __init__(self, dtypes: list[str]):
         self.dtypes, self.runs = dtypes, []
 
     def add(self, batch: list[np.ndarray]) -> list[np.ndarray]:
         """Take a batch; return the rows (of it, or of levels) that have an earlier equal key."""
-        first, later = first_of(*batch[:3])
+        first, later = first_of(*batch[:4])
         lost = [[c[later] for c in batch]]
         run = [c[first] for c in batch]
         for i, level in enumerate(self.runs):
             at = np.searchsorted(level[0], run[0])
             at[at == len(level[0])] = 0
-            same = level[0][at] == run[0] if len(level[0]) else np.zeros(len(run[0]), bool)
+            same = (level[0][at] == run[0]) & (level[3][at] == run[3]) if len(level[0]) else np.zeros(len(run[0]), bool)
             if not same.any():
                 continue
             mine, theirs = np.flatnonzero(same), at[same]
@@ -129,7 +129,11 @@ def by_bucket(rows: DataFrame, buckets: int, settle) -> DataFrame:
         return out.table()
 
     bucket = F.when(F.col("kind") == COVERED, F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(F.col("key"))
-    return rows.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(run, COVER)
+    dealt = rows.withColumn("bucket", bucket)
+    # Where there are more buckets than shuffle partitions, each is a partition of its own: one is held in memory at a time in any case.
+    if buckets > 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        dealt = dealt.repartition(buckets, "bucket")
+    return dealt.groupBy("bucket").applyInArrow(run, COVER)
 
 
 def with_payloads(docs: DataFrame, rows: DataFrame, *more: str) -> DataFrame:

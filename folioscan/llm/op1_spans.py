@@ -29,12 +29,12 @@ SIZE = 3
 #: Words that a run of so many sentences must have: all full runs count, but one or two short sentences repeat by chance.
 LEAST_WORDS = {3: 1, 2: 25, 1: 50}
 RUN = 1
-RUNS = ["<u8", "<i8", "<i4", "<i2"]  # key, doc, first sentence, sentences
+RUNS = ["<u8", "<i8", "<i4", "<u4", "<i2"]  # key, doc, first sentence, check, sentences
 
 _chunks = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+[^\S\n]*\n*|\n+)|[^.!?。！？\n]+").findall
 #: Thai to Myanmar, Khmer, kana, Han.
 _unspaced = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]").findall
-_K = np.uint64(0x9E3779B97F4A7C15)
+_K, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def sentences(text: str) -> tuple[list[str], list[str]]:
@@ -61,45 +61,49 @@ def n_words(folded: str) -> int:
 
 
 def runs_of(folded: list[str], size: int = SIZE, least: dict[int, int] | None = None) -> list[np.ndarray]:
-    """(key, first sentence, sentences) of the runs of one text."""
+    """(key, first sentence, check, sentences) of the runs of one text: 64 and 32 bits of two independent hashes stand for its words."""
     n, least = len(folded), least or LEAST_WORDS
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(s) for s in folded], np.uint64)
+    h2 = np.array([digest(s, 2) for s in folded], np.uint64)
     words = np.array([n_words(s) for s in folded], np.int64)
     total = np.concatenate([[0], np.cumsum(words)])
-    keys, first, sizes = [], [], []
+    keys, first, checks, sizes = [], [], [], []
     for k in range(1, size + 1):
         if n < k:
             break
-        key = h[: n - k + 1].copy()
+        key, check = h[: n - k + 1].copy(), h2[: n - k + 1].copy()
         for i in range(1, k):
             key = key * _K + h[i : n - k + 1 + i]
+            check = check * _K2 + h2[i : n - k + 1 + i]
         at = np.flatnonzero(total[k:] - total[: n - k + 1] >= least.get(k, 0))
         keys.append(mix(key[at] ^ np.uint64(k)))
         first.append(at)
+        checks.append((mix(check[at]) >> np.uint64(32)).astype("<u4"))
         sizes.append(np.full(len(at), k, "<i2"))
     if 0 < n < size:
         keys.append(np.array([digest("\n".join(folded), 1)], np.uint64))
         first.append(np.zeros(1, np.int64))
+        checks.append(np.array([digest("\n".join(folded), 3) >> 32], "<u4"))
         sizes.append(np.full(1, n, "<i2"))
-    return [np.concatenate(x) if x else np.empty(0, d) for x, d in ((keys, np.uint64), (first, np.int64), (sizes, "<i2"))]
+    return [np.concatenate(x) if x else np.empty(0, d) for x, d in ((keys, np.uint64), (first, np.int64), (checks, "<u4"), (sizes, "<i2"))]
 
 
 def repeated_sentences(spark: SparkSession, docs: DataFrame, size: int = SIZE, least: dict[int, int] | None = None) -> DataFrame:
     """Rows (kind, key = doc_id, payload): packed [start, end) sentences that a non-first repeated run covers."""
     tune(spark)
-    n = np.uint64(buckets(spark))
+    n = np.uint64(buckets(spark, docs))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             found = [(i, runs_of(sentences(t)[1], size, least)) for i, t in zip(batch.column(0).fill_null(NO_ID).to_pylist(), batch.column(1).to_pylist(), strict=True) if t]
             if not found:
                 continue
-            key, first, sizes = (np.concatenate([f[k] for _, f in found]) for k in range(3))
-            own = [key, np.repeat(np.array([i for i, _ in found], np.int64), [len(f[0]) for _, f in found]), first.astype("<i4"), sizes]
-            kept, later = first_of(*own[:3])
+            key, first, checks, sizes = (np.concatenate([f[k] for _, f in found]) for k in range(4))
+            own = [key, np.repeat(np.array([i for i, _ in found], np.int64), [len(f[0]) for _, f in found]), first.astype("<i4"), checks, sizes]
+            kept, later = first_of(*own[:4])
             rows, lost = Rows(), [c[later] for c in own]
-            rows.cover(COVERED, lost[1], lost[2], lost[2] + lost[3])
+            rows.cover(COVERED, lost[1], lost[2], lost[2] + lost[4])
             own = [c[np.sort(kept)] for c in own]
             rows.add(RUN, (own[0] % n).astype(np.int64), own)
             yield rows.batch()
@@ -108,7 +112,7 @@ def repeated_sentences(spark: SparkSession, docs: DataFrame, size: int = SIZE, l
         levels = Levels(RUNS)
         for p in payloads:
             lost = levels.add(columns_of(p, RUNS))
-            rows.cover(COVERED, lost[1], lost[2], lost[2] + lost[3])
+            rows.cover(COVERED, lost[1], lost[2], lost[2] + lost[4])
 
     return stage(spark, by_bucket(_docs(docs).mapInArrow(cut, COVER), int(n), earliest), "repeated_runs")
 

@@ -1,4 +1,8 @@
-"""Operator 7: removal of long repeated byte strings with a logarithmic family of sparse suffix arrays.
+"""Operator 7: removal of long repeated byte strings with a logarithmic family of sparse, hash-ordered suffix arrays.
+
+A departure from the method as named: the levels do not hold suffix arrays of whole texts in the order of their bytes, but entries for the suffixes
+at sampled anchors only, in the order of hashes of bounded stretches (about one entry in thirty bytes). All else is kept: new batches are sorted, merge-scanned
+against the levels, and levels of equal size merge.
 
 A byte goes if a string of `length` bytes around it also starts earlier (a smaller doc_id, or the same
 document further left). Only suffixes at anchors are indexed: the least of all k-gram hashes in a window of
@@ -13,7 +17,7 @@ windows that share an anchor make up one stretch of text.
 4. Covered parts are gathered by document and cut out.
 
 An order by the hash of a suffix's first bytes serves for the suffix arrays: only equality over a bounded length is
-asked for, and any order of such prefixes brings equal ones together. 64-bit hashes with random byte values
+asked for, and any order of such prefixes brings equal ones together. 96 bits of two independent hashes with random byte values
 stand for byte equality.
 
 Defined results: a null text is empty; a text shorter than `length` loses nothing; rows that repeat a doc_id
@@ -40,15 +44,15 @@ LENGTH = 100
 GRAM = 32
 #: Row kinds besides covered parts: stretches and grams by bucket, edge stretches by document, windows by bucket.
 STRETCH, GRAMS, EDGE, WINDOW = range(1, 5)
-STRETCHES = ["<u8", "<i8", "<i4", "<u8", "<i2", "<i2"]  # key, doc, pos, gram, first and last window relative to pos
+STRETCHES = ["<u8", "<i8", "<i4", "<u4", "<u8", "<i2", "<i2"]  # key, doc, pos, check, gram, first and last window relative to pos
 GRAM_ROWS = ["<u8", "<i8", "<i4", "<i2", "<i2"]
-WINDOWS = ["<u8", "<i8", "<i4"]
+WINDOWS = ["<u8", "<i8", "<i4", "<u4"]
 EDGES = ["<i4", "<i2", "<i2"]
 #: Bits of a gram's hash: it only says where to look closer.
 GRAM_BITS = np.uint64((1 << 48) - 1)
 
 _rng = np.random.default_rng(20250601)
-_VALUE = _rng.integers(1, 2**64, 256, dtype=np.uint64)
+_VALUE, _VALUE2 = _rng.integers(1, 2**64, (2, 256), dtype=np.uint64)
 _BASE = int(_rng.integers(1, 2**62)) * 2 + 1
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -70,12 +74,17 @@ class Hashed:
 
     def __init__(self, data: np.ndarray):
         up, self.down = _powers(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
+        self.sums, self.checks = np.zeros(len(data) + 1, np.uint64), np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_VALUE[data] * up[: len(data)], out=self.sums[1:])
+        np.cumsum(_VALUE2[data] * up[: len(data)], out=self.checks[1:])
 
     def of(self, start: np.ndarray, size) -> np.ndarray:
         return mix((self.sums[start + size] - self.sums[start]) * self.down[start])
 
+    def check(self, start: np.ndarray, size) -> np.ndarray:
+        """The upper half of a hash with other byte values."""
+        return (mix((self.checks[start + size] - self.checks[start]) * self.down[start]) >> np.uint64(32)).astype("<u4")
+
     def all(self, size: int) -> np.ndarray:
         """Of every start."""
         n = len(self.sums) - size
@@ -122,7 +131,7 @@ def stretches(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: in
     lo, hi, at, doc = window[first], window[last], anchor[first], doc[first]
     key = hashed.of(lo, hi - lo + length)
     key = mix(key ^ ((at - lo).astype(np.uint64) << np.uint64(20)) ^ (hi - lo + 1).astype(np.uint64))
-    return [key, docs[doc], (at - starts[doc]).astype("<i4"), hashed.of(at, gram) & GRAM_BITS, (lo - at).astype("<i2"), (hi - at).astype("<i2")]
+    return [key, docs[doc], (at - starts[doc]).astype("<i4"), hashed.check(lo, hi - lo + length), hashed.of(at, gram) & GRAM_BITS, (lo - at).astype("<i2"), (hi - at).astype("<i2")]
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -132,16 +141,16 @@ def _docs(docs: DataFrame) -> DataFrame:
 def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Rows (kind, key = doc_id, payload): packed [start, end) bytes that an earlier string of `length` bytes covers."""
     tune(spark)
-    n = np.uint64(buckets(spark))
+    n = np.uint64(buckets(spark, docs))
     docs = _docs(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             data, starts = _joined(batch.column(1))
             own = stretches(data, starts, np.asarray(batch.column(0).fill_null(NO_ID)), length, gram)
-            first, later = first_of(*own[:3])
+            first, later = first_of(*own[:4])
             rows, lost = Rows(), [c[later] for c in own]
-            rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
+            rows.cover(COVERED, lost[1], lost[2] + lost[5], lost[2] + lost[6] + length)
             own = [c[np.sort(first)] for c in own]
             rows.add(STRETCH, (own[0] % n).astype(np.int64), own)
             yield rows.batch()
@@ -150,8 +159,8 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         levels = Levels(STRETCHES)
         for p in payloads:
             lost = levels.add(columns_of(p, STRETCHES))
-            rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
-        key, doc, pos, g, lo, hi = levels.all()
+            rows.cover(COVERED, lost[1], lost[2] + lost[5], lost[2] + lost[6] + length)
+        _, doc, pos, _, g, lo, hi = levels.all()
         # One of each gram goes on to meet those of other buckets; the others are known to be edges, and make it one as well.
         order = np.argsort(g, kind="stable")
         new = np.ones(len(g), bool)
@@ -205,7 +214,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
             doc, at = np.concatenate(doc), np.concatenate(at)
             fits = at + length <= starts[doc + 1] - starts[doc]  # always, unless rows with one doc_id have different texts
             doc, at = doc[fits], at[fits]
-            own = [hashed.of(starts[doc] + at, length), ids[doc], at.astype("<i4")]
+            own = [hashed.of(starts[doc] + at, length), ids[doc], at.astype("<i4"), hashed.check(starts[doc] + at, length)]
             first, later = first_of(*own)
             rows = Rows()
             rows.cover(COVERED, own[1][later], own[2][later], own[2][later] + length)

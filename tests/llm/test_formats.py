@@ -32,17 +32,58 @@ def test_pages_give_their_article(spark):
 
 def test_wrappers_tell_slots_from_constants():
     pages = [f"<div><h2>News</h2><p>{a}</p><p>{b}</p><i>fine print</i></div>" for a, b in (("a", "b"), ("c", "d"), ("e", "f"))]
-    found = op5_wrappers.infer(pages)
-    constant = op5_wrappers.constants(found)
+    constant = op5_wrappers.wrapper_of(op5_wrappers.infer(pages)).constant
     assert "News" in constant and "fine print" in constant and not {"a", "c", "e"} & set(constant)
     more = op5_wrappers.infer([*pages, "<div><h2>News</h2><p>x</p><i>fine print</i></div>"])
-    assert "News" in op5_wrappers.constants(more)
+    assert "News" in op5_wrappers.wrapper_of(more).constant
+    assert op5_wrappers.rendered(more) == "<div><h2>News</h2>(<p>#</p>)+<i>fine print</i></div>"
 
 
 def test_template_text_outside_articles_goes():
     page = "<html><body><div>Welcome to our site</div><div><p>Body {}</p></div></body></html>"
-    constant = frozenset(op5_wrappers.constants(op5_wrappers.infer([page.format(k) for k in range(4)])))
-    assert op5_wrappers.main_text(page.format(9), constant) == "Body 9"
+    wrapper = op5_wrappers.wrapper_of(op5_wrappers.infer([page.format(k) for k in range(4)]))
+    assert op5_wrappers.main_text(page.format(9), wrapper) == "Body 9"
+
+
+def test_expressions_generate_their_pages():
+    rng = random.Random(12)
+
+    def page():
+        items = "".join(f"<li>{rng.random()}</li>" for _ in range(rng.randrange(1, 5)))
+        extra = f"<div class='x{rng.randrange(9)}'><p>{rng.random()}<p>more</div>" if rng.random() < 0.5 else ""
+        paragraphs = "".join(f"<p>t {rng.random()} <b>{'bold' if rng.random() < 0.3 else rng.random()}</b>" for _ in range(rng.randrange(4)))
+        return f"<html><body><h1>{rng.random()}</h1><ul>{items}</ul>{extra}<div class=main>{paragraphs}</div><i>fine print</i></body></html>"
+
+    for _ in range(60):
+        pages = [page() for _ in range(rng.randrange(2, 7))]
+        expression = op5_wrappers.infer(pages)
+        assert all(op5_wrappers.accepts(expression, op5_wrappers.signature(p)) for p in pages), op5_wrappers.rendered(expression)
+        assert not op5_wrappers.accepts(expression, op5_wrappers.signature("<table><tr><td>else</table>"))
+
+
+NO_ARTICLE = """<html><body><div class="top"><a>Home</a></div><div class="left"><p>Read also: {other} and {other}</p></div>
+<div class="page"><h1>Title {k}</h1>{body}<p>Printed by the town press.</p></div></body></html>"""
+
+
+def test_the_wrapper_chooses_the_content(spark):
+    paragraphs = [[prose(1000 + 10 * k + j, 40).replace("\n", " ") for j in range(1 + k % 4)] for k in range(12)]
+    rows = [(k, f"https://town.example/{k}", NO_ARTICLE.format(k=k, other=f"story {k * 7 % 12}", body="".join(f"<p>{p}</p>" for p in paragraphs[k]))) for k in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in op5_wrappers.extract(spark, df).collect()}
+    assert got == {k: "\n".join([f"Title {k}", *(p.strip() for p in paragraphs[k])]) for k in range(12)}
+    # Without wrappers, the menu, the teaser and the fine print would be taken for content.
+    bare = {r.page_id: r.text for r in op5_wrappers.extract(spark, df, sample=1).collect()}
+    assert all("Read also" in bare[k] and "town press" in bare[k] and "Home" in bare[k] for k in range(12))
+    # Copies of one page are no template.
+    same = spark.createDataFrame([(k, f"https://copies.example/{k}", rows[3][2].replace("Home", f"Home {k}")) for k in range(9)], "page_id long, url string, html string")
+    assert all(paragraphs[3][0].strip() in r.text and "Title 3" in r.text for r in op5_wrappers.extract(spark, same).collect())
+
+
+def test_very_long_pages_have_wrappers(spark):
+    rows = [(k, "http://long.example/", "<body><div id=a>Menu</div><div class=t><h2>" + f"Head {k}</h2>" + "".join(f"<p>{k} {j * k} <i>{j}</i>" + "<br>" * (j % 3) for j in range(10000)) + "</div></body>") for k in range(4)]
+    assert len(rows[0][2]) > 200_000
+    got = op5_wrappers.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text.startswith(f"Head {r.page_id}\n{r.page_id} ") and r.text.count("\n") == 10000 for r in got)
 
 
 def test_articles_of_sidebars_and_comments_are_not_the_content():

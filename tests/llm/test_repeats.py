@@ -159,16 +159,18 @@ def test_simhash_is_brute_force(spark):
     assert op8_simhash.near_duplicates(spark, documents(spark, [])).count() == 0
 
 
-def test_vantage_point_shards_lose_no_link(spark):
+@pytest.mark.parametrize("shard", [2, 100, 40_000])
+def test_vantage_point_shards_lose_no_link(spark, shard):
     import numpy as np
 
     rng = np.random.default_rng(5)
     points = rng.integers(0, 2**63, 600, dtype=np.uint64)
+    points[300:] = points[300:] & np.uint64(0xFFFF) | np.uint64(0xABCD << 40)  # hot buckets: most bits are alike
     near = points[rng.integers(0, 600, 900)] ^ (np.uint64(1) << rng.integers(0, 63, 900, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 63, 900, dtype=np.uint64))
     every = np.unique(np.concatenate([points, near]))
     pairs = {(int(a), int(b)) for k, a in enumerate(every) for b in every[k + 1 :][np.bitwise_count(every[k + 1 :] ^ a) <= 2]}
     df = spark.createDataFrame([(int(x),) for x in every.view(np.int64)], "fp long")
-    found = op8_simhash.links_between(spark, df, shard=100).collect()
+    found = op8_simhash.links_between(spark, df, shard=shard).collect()
     root = {}
 
     def find(x):
@@ -183,6 +185,35 @@ def test_vantage_point_shards_lose_no_link(spark):
     assert all(find(a) == find(b) for a, b in pairs)
 
 
+def test_blocks_of_bits_cover_every_pair():
+    import numpy as np
+
+    own = op8_simhash.masks()
+    assert [len(m) for m in own] == [3, 9, 27] and all(64 - m.bit_count() <= 20 for m in own[-1])
+    rng = np.random.default_rng(9)
+    for _ in range(500):
+        a, b = rng.integers(0, 64, 2)
+        x = int(1 << int(a) | 1 << int(b))
+        part = next(p for p, m in enumerate(own[0]) if not x & m)
+        for level in (1, 2):  # below each bucket that the pair shares there is one that it shares
+            part = next(p for p in range(3 * part, 3 * part + 3) if not x & own[level][p])
+
+
+def test_checks_tell_equal_keys_apart():
+    import numpy as np
+
+    from folioscan.llm._common import first_of
+    from folioscan.llm._levels import Levels
+
+    key, doc, pos = np.array([7, 7, 7, 7], np.uint64), np.array([1, 2, 3, 4], "<i8"), np.zeros(4, "<i4")
+    check = np.array([5, 5, 6, 6], "<u4")
+    levels, lost = Levels(["<u8", "<i8", "<i4", "<u4"]), []
+    for k in range(4):
+        lost += levels.add([c[k : k + 1] for c in (key, doc, pos, check)])[1].tolist()
+    assert 3 not in lost and 1 not in lost and 2 in lost
+    assert set(first_of(key[:2], doc[:2], pos[:2], np.array([5, 6], "<u4"))[1].tolist()) == set()
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}

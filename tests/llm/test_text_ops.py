@@ -1,5 +1,6 @@
 """Operators 2, 3, 4, 10: leaks, quality scores and rules, licences."""
 
+import random
 import re
 
 from util import ODD, documents, prose
@@ -73,6 +74,18 @@ def test_quality_scores_learn_and_hold_out(spark):
     held = [i for i in range(120) if rows[i].held_out]
     assert held and sum(rows[i].predicted == (i < 60) for i in held) >= 0.95 * len(held)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows.values()) and len(rows) == len(texts)
+    learnable = [i for i in range(120) if not rows[i].held_out]
+    rate = sum(i < 60 for i in learnable) / len(learnable)
+    assert abs(rows[120].score - rate) < 1e-9 and abs(rows[121].score - rate) < 1e-9  # null and empty
+    null = op3_quality.classify(spark, documents(spark, [good[0], None], ids=[None, 7]), labels).collect()
+    assert [(r.doc_id, r.held_out) for r in null] == [(None, False), (7, False)]
+
+
+def test_the_fit_is_bounded_in_bytes(spark):
+    docs = documents(spark, [prose(k, 100) for k in range(40)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    assert isinstance(op3_quality.fit(docs, labels, most_bytes=4000), op3_quality.Model)
+    assert isinstance(op3_quality.fit(docs, labels, most_bytes=100), op3_quality.Constant)
 
 
 def test_quality_scores_keep_the_base_rate_where_the_bound_bites(spark):
@@ -126,6 +139,59 @@ def test_rules_reject_outliers_and_keep_the_rest(spark):
     assert op4_rules.judged(spark, documents(spark, [])).count() == 0
 
 
+def test_distances_are_those_of_the_estimate_of_least_determinant(spark):
+    import math
+
+    import numpy as np
+
+    rng = random.Random(6)
+    texts = []
+    for k in range(160):
+        words = prose(k, rng.randrange(60, 160)).split()
+        texts.append(" ".join(w.capitalize() if rng.random() < 0.1 * (k % 4) else w for w in words) + " %" * rng.randrange(5 if k % 5 else 40))
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = sorted(op4_rules.judged(spark, docs).collect(), key=lambda r: r.doc_id)
+    x = []
+    for t in texts:
+        n, chars, symbols, dup, repeated, _ = brute4(t)
+        upper = sum(c.isupper() for c in t)
+        x.append([math.log(chars / n), math.log1p(100 * symbols / n), math.log1p(100 * upper / chars), math.log1p(100 * repeated / n + dup)])
+    x, floor = np.round(np.array(x), 6), np.diag(np.square(op4_rules.FLOOR))
+
+    def estimate(h):
+        m = x[h].mean(0)
+        return m, op4_rules.CONSISTENT * (x[h] - m).T @ (x[h] - m) / len(h) + floor
+
+    best = None
+    for _ in range(40):  # concentration from random starts
+        m, s = estimate(rng.sample(range(160), 5))
+        for _ in range(30):
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+            m, s = estimate(np.argsort(d, kind="stable")[:120])
+        if best is None or np.linalg.slogdet(s)[1] < best[0]:
+            best = (np.linalg.slogdet(s)[1], m, s)
+    d = np.einsum("ij,jk,ik->i", x - best[1], np.linalg.inv(best[2]), x - best[1])
+    got = np.array([r.distance for r in rows])
+    assert np.abs(got - d).max() <= 0.05 * (1 + d.max())
+    assert [r.kept for r in rows] == [bool(v <= op4_rules.CUTOFF) and not r.base_failed for v, r in zip(got, rows, strict=True)]
+
+
+def test_rules_judge_each_row_of_a_repeated_id(spark):
+    good = [prose(k, 100) for k in range(60)]
+    docs = documents(spark, [*good, "few words", good[1], None], ids=[*range(60), 5, 1, None]).selectExpr("*", "1 AS _kept_id", "2 AS k", "3 AS `row`", "4 AS digest")
+    out = op4_rules.keep_good(spark, docs)
+    assert out.columns == docs.columns
+    rows = [(r.doc_id, r.text) for r in out.collect()]
+    assert (5, "few words") not in rows and (5, good[5]) in rows and rows.count((1, good[1])) == 2 and len(rows) == 61
+
+
+def test_rules_meet_large_numbers_of_groups_in_salted_parts(spark, monkeypatch):
+    docs = documents(spark, [prose(k, 80) for k in range(70)])
+    want = {tuple(r) for r in op4_rules.judged(spark, docs).collect()}
+    monkeypatch.setattr(op4_rules, "BROADCAST_GROUPS", 0)
+    assert {tuple(r) for r in op4_rules.judged(spark, docs).collect()} == want
+
+
 def test_rules_take_nulls_and_repeated_rows(spark):
     rows = [(1, prose(1, 50), None, None, None)] * 2 + [(None, None, "en", None, 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
