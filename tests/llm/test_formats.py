@@ -236,3 +236,65 @@ def test_pipeline_keeps_clean_and_drops_planted(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     kept = {r.doc_id for r in P.run(spark, str(tmp_path)).collect()}
     assert set(range(40)) <= kept and not kept & {40, 41, 42, 43, 44}
+
+
+def test_pipeline_takes_nulls_repeated_rows_and_odd_columns(spark, tmp_path):
+    import corpus_pipeline as P
+
+    clean = [prose(600 + k, 120) for k in range(30)]
+    texts = [*clean, clean[2], clean[3], clean[4], None, "", prose(700, 90), prose(700, 90)]
+    ids = [*range(30), 2, None, 40, 41, 42, None, None]
+    docs = documents(spark, texts, extra=True, ids=ids).selectExpr("*", "1 AS component_id", "'a' AS digest", "2 AS `row`".replace("row", "k"))
+    out = P.simhash_near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(i for i, _ in got if i is not None) == [*range(30), 41]  # 2 once; 40 is a copy of 4; null and empty texts are one group
+    assert [t for i, t in got if i is None] == [prose(700, 90)]
+    last = docs
+    for name, step in P.STAGES[:-1]:
+        if name == "benchmark_decontamination":
+            spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+        last = step(spark, last, str(tmp_path))
+        assert last.columns == docs.columns, name
+    assert {r.doc_id for r in last.collect()} == {None, *range(30)}
+    check_packing(P.STAGES[-1][1](spark, last, str(tmp_path)).collect(), 4096)
+    documents(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_is_its_stages_by_brute_force(spark, tmp_path):
+    """What stays of a small corpus, by the rules of each stage worked out one document after the other."""
+    import re
+
+    import corpus_pipeline as P
+    from test_repeats import brute7, brute8
+    from test_text_ops import brute4
+
+    shared = prose(801, 60)
+    item = prose(802, 60).replace("\n", " ")
+    texts = [prose(810 + k, 100 + k) for k in range(30)] + [prose(810, 100), prose(811, 101) + " more", "few", "spam " * 80, shared + prose(850, 90), prose(851, 90) + shared, prose(852, 60) + " " + item, prose(853, 60) + " " + item.upper()]
+    rows = [t if not brute4(t)[5] else None for t in texts]
+    rows = {i: t for i, t in enumerate(rows) if t is not None}
+    roots = brute8(list(rows.items()))
+    rows = {i: t for i, t in rows.items() if roots[i][1] == i}
+    gone = {i: n for i, _, n, _, _ in brute7(list(rows.items()), 100)}
+    assert gone[35] > 0 and 30 not in rows and 33 not in rows
+    words = re.findall(r"[a-z0-9]+", item.lower())
+    rows = {i: t for i, t in rows.items() if " ".join(words) not in " ".join(re.findall(r"[a-z0-9]+", t.lower()))}
+    assert 36 not in rows and 37 not in rows
+    documents(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = P.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} == set(rows)
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(op9_packing.tokenizer_path())
+    total = {}
+    for r in out:
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.length
+    for i, t in rows.items():
+        if not gone[i]:
+            assert total[i] == len(slow.encode(t, add_special_tokens=False).ids) + 1
+        else:
+            assert total[i] < len(slow.encode(t, add_special_tokens=False).ids)
+    assert check_packing(out, 4096) == best_fit([r.length for r in out], 4096)

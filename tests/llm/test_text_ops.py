@@ -217,6 +217,72 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
     assert op10_licenses.scan(spark, df.limit(0)).count() == 0
 
 
+def brute10(text, cosine=0.7):
+    """(licence, score) by every window of every notice, and the whole text against every whole text."""
+    import math
+    from collections import Counter
+
+    own = op10_licenses.Templates()
+    tokens = op10_licenses.tokens_of(text or "")
+
+    def cos(x, template):
+        a = {t: n * own.idf.get(t, own.unknown) for t, n in Counter(x).items()}
+        b = {t: n * own.idf[t] for t, n in template.items()}
+        dot = sum(v * b.get(t, 0) for t, v in a.items())
+        return round(dot / math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values())), 6) if x else 0.0
+
+    found = []
+    for (kind, name, k), template in own.counts.items():
+        n = template.total()
+        windows = [tokens] if kind == "text" else [tokens[i : i + n] for i in range(max(1, len(tokens) - n + 1))]
+        best = max(cos(w, template) for w in windows)
+        if best >= cosine:
+            found.append((kind == "notice", -best, -n if kind == "notice" else 0, name))
+    if not found:
+        return None, None
+    _, score, _, name = min(found)
+    return name, -score
+
+
+def test_licenses_are_brute_force(spark):
+    rng = random.Random(10)
+    texts = [prose(k, 60) for k in range(6)]
+    every = [t for some in op10_licenses.NOTICES.values() for t in some] + list(op10_licenses.TEXTS.values())
+    for t in every:
+        words = t.split()
+        texts.append(t if rng.random() < 0.3 else " ".join(w for w in words if rng.random() < 0.85))
+        texts.append(prose(rng.randrange(999), 20) + " " + " ".join("other" if rng.random() < 0.2 else w for w in words) + "\n" + prose(rng.randrange(999), 9))
+    texts += ["license " * 300, "mit mit license the the", "released under the terms of nothing", *ODD]
+    files = spark.createDataFrame([(f"{k}/f", t, False, "x") for k, t in enumerate(texts)], "path string, text string, named boolean, license string")
+    got = {r.path: (r.license, r.score) for r in op10_licenses.scan(spark, files).collect()}
+    wrong = []
+    for k, t in enumerate(texts):
+        name, score = brute10(t)
+        mine = got[f"{k}/f"]
+        if mine[0] != name and not (mine[1] is not None and score is not None and abs(mine[1] - score) < 2e-6) or (score is not None and abs(mine[1] - score) > 2e-6):
+            wrong.append((k, mine, name, score, t[:80] if t else t))
+    assert wrong == []
+
+
+def test_license_texts_versions_and_ties(spark):
+    t = op10_licenses.TEXTS
+    want = {
+        "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\nCopyright (C) 1989 Free Software Foundation, Inc.": "GPL-2.0",
+        "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL-3.0",
+        "Apache License\nVersion 2.0,\nJanuary 2004": "Apache-2.0",
+        "SPDX-License-Identifier: BSD-2-Clause": "BSD-2-Clause",
+        **{text.replace("(c).", "(c) 2020 Jane Doe.").replace(" ", "\n", 9): name for name, text in t.items()},
+        prose(3, 300) + t["BSD-3-Clause"] + prose(4, 300): "BSD-3-Clause",
+    }
+    files = spark.createDataFrame([(f"{k}/f", text, False) for k, text in enumerate(want)], "path string, text string, named boolean")
+    got = {r.path: r.license for r in op10_licenses.scan(spark, files).collect()}
+    assert [got[f"{k}/f"] for k in range(len(want))] == list(want.values())
+    rows = [("a/LICENSE", "MIT License", None), ("a/LICENSE", "nothing here", False), ("a/COPYING", "ISC License", True), ("a/x", None, None), (None, "MIT License", True), ("b/x", "word " * 50_000 + "MIT License", False)]
+    files = spark.createDataFrame([(*r, "k", 1, "n") for r in rows], "path string, text string, named boolean, dir string, depth int, own string")
+    got = [(r.path, r.license, r.found, r.inherited_from) for r in op10_licenses.scan(spark, files, keep=("dir",)).collect()]
+    assert sorted(got, key=str) == sorted([("a/LICENSE", "MIT", "own", None)] * 2 + [("a/COPYING", "ISC", "own", None), ("a/x", "ISC", "inherited", "a/COPYING"), (None, None, "none", None), ("b/x", "MIT", "own", None)], key=str)
+
+
 def test_licenses_inside_prose_headers_and_wrapped_lines(spark):
     gpl = "This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version {} of the License, or later."
     prose_ = "Rain fell on the roofs of the town and nobody went out that day. " * 20
