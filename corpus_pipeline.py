@@ -17,10 +17,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id."""
-    found = op8_simhash.near_duplicates(spark, docs)
-    others = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_other_id")).distinct()
-    return docs.join(others.hint("shuffle_hash"), docs.doc_id == F.col("_other_id"), "left_anti")
+    """One document of each group stays: the one with the smallest doc_id.
+
+    Of rows that repeat a doc_id one stays, that with the least hash of its text; rows without a doc_id come after all others, in the order of such hashes.
+    """
+    # Columns of docs live in a struct meanwhile, so that no name can clash.
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), text.bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1)))
+    own = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    found = stage(spark, op8_simhash.near_duplicates(spark, own.select("doc_id", "text")).select("doc_id", "component_id"), "near_duplicates")
+    others = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = own.join(others.hint("shuffle_hash"), "doc_id", "left_anti")
+    again = stage(spark, found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated_ids")
+    if again.isEmpty():
+        return kept.select("row.*")
+    once = kept.join(again, "doc_id", "left_anti").select("row")
+    first = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("text")).alias("row")).select("row")
+    return once.union(first).select("row.*")
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
