@@ -19,6 +19,8 @@ FRONT_MATTER = r"^(?:contents|table of contents|index|feedback|list of (?:figure
 DOT_LEADER = r"\.\s?\.\s?\.\s?\."
 OPEN_PUNCTUATION = "`'\"()[]{}<>,;:?!"
 CRUMB = " › "
+MARKS = "™℠®©"
+TAG = r"</?[A-Za-z][^>]*>"
 # End of fixed values.
 
 WORD = r"[\p{L}\p{N}]+"
@@ -61,8 +63,7 @@ def clean_heading(text: Column | str) -> Column:
     """Without marks of emphasis around it, three deep; never empty."""
     out = F.trim(_c(text))
     for _ in range(3):
-        bare = F.trim(F.regexp_replace(out, r"^(\*{1,3}|_{1,3}|`)(.+)\1$", "$2"))
-        out = F.when(bare == "", out).otherwise(bare)
+        out = F.trim(F.regexp_replace(out, r"^(\*{1,3}|_{1,3}|`)(.*[^ ].*)\1$", "$2"))
     return out
 
 
@@ -70,6 +71,25 @@ def strip_emphasis(line: Column | str) -> Column:
     return clean_heading(F.regexp_replace(F.trim(_c(line)), r"^#{1,6}\s+", ""))
 
 
+def comparable(line: Column | str) -> Column:
+    """A line as a reader sees it: no tags, trademark signs, emphasis or apostrophes; folded."""
+    bare = F.translate(F.regexp_replace(strip_emphasis(line), TAG, ""), MARKS, "")
+    return F.lower(F.trim(collapse(F.regexp_replace(strip_emphasis(bare), r"\s*[’']\s*", ""))))
+
+
+def label_shaped(core: Column | str) -> Column:
+    """Whether a line is plain words and numbers, as a page label is: two words and a number at least, no identifier, option or bracket."""
+    t = F.filter(F.split(F.translate(F.regexp_replace(_c(core), TAG, " "), MARKS, ""), SPACES), lambda x: x != "")
+    digit = r"[0-9]"
+    fine = F.forall(t, lambda x: ~x.contains("_") & (~x.rlike(r"^[-<\[({`]") | x.rlike(r"^-?[0-9][0-9.\-]*$")) & (~x.rlike(digit) | x.rlike(r"^(?:[A-Za-z]-|[vV])?[0-9.,\-/:]+$")))
+    return F.coalesce((F.size(F.regexp_extract_all(F.array_join(t, " "), F.lit("[A-Za-z]{2,}"), F.lit(0))) >= 2) & F.exists(t, lambda x: x.rlike(digit)) & fine, F.lit(False))
+
+
+def masked_label(core: Column | str) -> Column:
+    """A label with its numbers masked; the letter of an appendix's page counts as a number."""
+    return mask_digits(F.regexp_replace(_c(core), r"(?<![A-Za-z0-9])[A-Z]-(?=[0-9])", "0-"))
+
+
 def line_core(line: Column | str) -> Column:
     """What a line says: link texts without targets, no tags, marks or doubled blanks."""
     out = F.regexp_replace(_c(line), r"!?\[([^\]]*)\]\([^)]*\)", "$1")
@@ -116,6 +136,11 @@ def named_identifiers(query: Column | str) -> Column:
     return F.array_distinct(F.concat(identifiers(query), F.filter(ticked, lambda t: t != "")))
 
 
+def query_tokens(query: Column | str) -> Column:
+    """Words of a query between blanks, without punctuation around them, lower case, in order."""
+    return F.filter(F.transform(F.split(F.coalesce(_c(query), F.lit("")), SPACES), lambda t: F.lower(_bare(t))), lambda t: t != "")
+
+
 def match_terms(query: Column | str) -> Column:
     """Alphanumeric words of a query; stop words go if others are left."""
     own = F.regexp_extract_all(F.lower(_c(query)), F.lit("[0-9a-z]+"), F.lit(0))
@@ -139,11 +164,46 @@ def norm_version(version: Column | str) -> Column:
 def version_key(version: Column | str) -> Column:
     """Numbers to order releases by: with a year, its dotted parts, -1 and service pack; else all numbers; none: null."""
     v = norm_version(version)
-    dotted = F.regexp_extract(v, r"(?:^|[^0-9])((?:19|20)[0-9]{2}\.[0-9]+(?:\.[0-9]+)*)", 1)
-    pack, sub = (F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(v, r"SP-?([0-9]+)(?:[-.]([0-9]+))?", i), F.lit("")), F.lit("999999999")).cast("int"), F.lit(0)) for i in (1, 2))
-    parts = F.transform(F.split(dotted, r"\."), lambda x: x.cast("int"))
-    numbers = F.transform(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0)), lambda x: x.cast("int"))
-    return F.when(dotted != "", F.concat(parts, F.array(F.lit(-1), pack, sub))).when(F.size(numbers) > 0, numbers)
+    year, release, more = (F.regexp_extract(v, r"(20[0-9]{2})\.([0-9]{1,2})((?:\.[0-9]+)*)", i) for i in (1, 2, 3))
+    pack, sub = (F.coalesce(_number(F.regexp_extract(v, r"SP([0-9]+)(?:-([0-9]+))?", i)), F.lit(0)) for i in (1, 2))
+    further = F.transform(F.filter(F.split(more, r"\."), lambda x: x != ""), _number)
+    numbers = F.transform(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0)), _number)
+    return F.when(year != "", F.concat(F.array(_number(year), _number(release)), further, F.array(F.lit(-1).cast("long"), pack, sub))).when(F.size(numbers) > 0, numbers)
+
+
+def _number(digits: Column) -> Column:
+    """A number; null for none, and for one of over 18 digits the largest there is."""
+    return F.when(F.length(digits) > 18, F.lit((1 << 63) - 1)).otherwise(digits.try_cast("long"))
+
+
+def version_text(version: Column | str) -> Column:
+    """The numbers as text that sorts as they do."""
+    pad = lambda n: F.when(n < 0, F.concat(F.lit("-"), F.lpad((-n).cast("string"), 5, "0"))).otherwise(F.lpad(n.cast("string"), 6, "0"))
+    return F.array_join(F.transform(version_key(version), pad), ".")
+
+
+def filename_version(name: Column | str) -> Column:
+    """The release in the name of a file: a letter with year and release, or a year with what is dotted, dashed or underscored behind it."""
+    stem = F.regexp_replace(F.regexp_extract(_c(name), r"([^/\\\\]*)$", 1), r"\.[A-Za-z0-9]{1,5}$", "")
+    lettered = F.upper(F.regexp_extract(stem, r"(?i)(?:^|[^A-Za-z0-9])([A-Z]-20[0-9]{2}\.[0-9]{2}(?:-SP[0-9]+(?:-[0-9]+)?)?)", 1))
+    pattern = r"(?i)(?:^|[^0-9])(20[0-9]{2})[._-]([0-9]{1,2})((?:[._-][0-9]+)*)(-?SP[0-9]+(?:-[0-9]+)?)?(?:[^0-9]|$)"
+    year, release, more, pack = (F.regexp_extract(stem, pattern, i) for i in (1, 2, 3, 4))
+    further = F.array_join(F.transform(F.regexp_extract_all(more, F.lit("[0-9]+"), F.lit(0)), lambda n: F.concat(F.lit("."), n.cast("long").cast("string"))), "")
+    return F.when(lettered != "", lettered).when(year != "", F.concat(year, F.lit("."), release.cast("int").cast("string"), further, F.upper(F.coalesce(pack, F.lit("")))))
+
+
+def default_doc_id(slug_: Column | str, version: Column | str) -> Column:
+    """A slug without the release at its end: the document's own, else one that looks like a year's."""
+    s, own = _c(slug_), slug(F.coalesce(_c(version), F.lit("")))
+    tail = F.concat(F.lit("-"), own)
+    bare = F.regexp_replace(s, r"-(?:[a-z]-)?v?20[0-9]{2}(?:-[0-9]+)*(?:-sp[0-9]+(?:-[0-9]+)?)?$", "")
+    return F.when((own != "") & s.endswith(tail) & (F.length(s) > F.length(tail)), F.left(s, F.length(s) - F.length(tail))).when(bare == "", s).otherwise(bare)
+
+
+def default_slug(stem: Column | str, version: Column | str) -> Column:
+    """The folder of a new edition: the manual's name and the release."""
+    v = _c(version)
+    return F.when(F.coalesce(v, F.lit("")) != "", F.concat_ws("-", default_doc_id(stem, v), slug(v))).otherwise(_c(stem))
 
 
 def split_crumb(crumb: Column | str, title: Column | str) -> Column:

@@ -42,18 +42,21 @@ def resolved(docs: DataFrame, pins: DataFrame | None = None) -> DataFrame:
 
 
 def as_of(requests: DataFrame, docs: DataFrame) -> DataFrame:
-    """requests (request, collection, doc_id, version) with the edition that answers: the release itself, else the nearest earlier one that says "and later"; else none, with the reason.
+    """requests (request, collection, doc_id, version) with the edition that answers: the release itself, by its name or its numbers, else the nearest earlier one that says "and later"; else none, with the reason.
 
-    Only the best edition of a request matters, so the join is followed by max_by: no sort of all pairs.
+    Only the best edition of a request matters, so the join is followed by partial minima and maxima: no sort of all pairs.
     """
-    wanted = requests.select("request", "collection", "doc_id", X.version_key("version").alias("wanted"))
-    own = keyed(docs).filter("version_key is not null").select("collection", "doc_id", "slug", "version_key", "version_later")
-    met = wanted.join(own, ["collection", "doc_id"]).filter(F.col("version_key") <= F.col("wanted"))
-    best = met.groupBy("request").agg(F.max(F.struct("version_key", "slug", "version_later", "wanted")).alias("b"))
-    picked = best.select("request", F.col("b.slug").alias("slug"), (F.col("b.version_key") == F.col("b.wanted")).alias("exact"), F.coalesce("b.version_later", F.lit(False)).alias("later"))
-    out = requests.join(picked, "request", "left")
-    ok = F.col("exact") | F.col("later")
-    return out.select(*requests.columns, F.when(ok, F.col("slug")).alias("slug"), F.when(F.col("slug").isNull(), "no edition").when(F.col("exact"), "exact").when(F.col("later"), "earlier, and later").otherwise("not covered").alias("how"))
+    wanted = requests.select("request", "collection", "doc_id", X.norm_version("version").alias("_name"), X.version_key("version").alias("_wanted"))
+    own = keyed(docs).select("collection", "doc_id", "slug", X.norm_version("version").alias("_own"), "version_key", "version_later")
+    met = wanted.join(own, ["collection", "doc_id"])
+    same = (F.col("_own") != "") & ((F.col("_own") == F.col("_name")) | F.coalesce(F.col("version_key") == F.col("_wanted"), F.lit(False)))
+    exact = F.min(F.when(same, F.struct(F.col("version_key").isNotNull().alias("known"), "version_key", "slug")))
+    earlier = F.max(F.when(F.col("version_key") < F.col("_wanted"), F.struct("version_key", "slug", F.coalesce("version_later", F.lit(False)).alias("later"))))
+    best = met.groupBy("request").agg(exact.alias("e"), earlier.alias("b"))
+    out = requests.join(best, "request", "left")
+    how = F.when(F.col("e").isNotNull(), "exact").when(F.col("b.later"), "earlier, and later").when(F.col("b").isNotNull(), "not covered").otherwise("no edition")
+    slug = F.when(F.col("e").isNotNull(), F.col("e.slug")).when(F.col("b.later"), F.col("b.slug"))
+    return out.select(*requests.columns, slug.alias("slug"), how.alias("how"))
 
 
 def clashes(folders: DataFrame) -> DataFrame:

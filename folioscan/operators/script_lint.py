@@ -5,6 +5,7 @@ The lexer is sequential, so it is a table function over one script; checks are j
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,12 +14,16 @@ from pyspark.sql import functions as F
 
 from .lookup import suggestions
 
-# Commands of the language itself whose arguments are scripts, by position; the most characters of a script and rows of a section.
-BODIES = {"if": "rest", "while": (2,), "for": (1, 3, 4), "foreach": (-1,), "proc": (-1,), "catch": (1,), "foreach_in_collection": (-1,)}
-BUILTINS = """
-set unset incr append lappend lindex llength list lsort lsearch lrange concat join split string regexp regsub expr puts if elseif else
-while for foreach proc return break continue source catch eval global upvar uplevel info array switch format scan file open close gets
-""".split()
+# Commands of the language itself; those whose last word is a script; what an option looks like; the most characters of a script and rows of a section.
+BUILTINS = frozenset("""
+after append apply array binary break catch cd clock close concat continue dict encoding eof error eval exec exit
+expr fblocked fconfigure fcopy file fileevent flush for foreach format gets glob global if incr info interp join
+lappend lassign lindex linsert list llength lmap load lrange lrepeat lreplace lreverse lsearch lset lsort namespace
+open package pid proc puts pwd read regexp regsub rename return scan seek set socket source split string subst switch
+tell time trace try unset update uplevel upvar variable vwait while
+""".split())
+BODY_LAST = frozenset("foreach lmap foreach_in_collection redirect uplevel".split())
+OPTION = re.compile(r"-[A-Za-z][A-Za-z0-9_]*(?:-[A-Za-z0-9_]+)*")
 MOST_CHARS, MOST_ROWS = 200_000, 40
 # End of fixed values.
 
@@ -102,28 +107,102 @@ def substitutions(text: str) -> Iterator[tuple[str, int]]:
         lines += c == "\n"
 
 
+Word = tuple[str, str, int]
+#: What a word is to the command it stands behind: a script, an expression, a value with substitutions, a list of patterns and scripts, nothing.
+SCRIPT, EXPRESSION, VALUE, PAIRS, NOTHING = "sevpn"
+
+
+def roles(name: str, args: list[Word]) -> str:
+    """One role for each argument of a command."""
+    n, words = len(args), [w[1] if w[0] == "bare" else None for w in args]
+    if name == "if":
+        out = ["e", *"s" * (n - 1)][:n]
+        for k in range(1, n):
+            if words[k] in ("then", "else", "elseif"):
+                out[k] = "n"
+                if words[k] == "elseif" and k + 1 < n:
+                    out[k + 1] = "e"
+        return "".join(out)
+    if name in ("while", "for"):
+        at = 0 if name == "while" else 1
+        return "".join("e" if k == at else "s" for k in range(n))
+    if name == "proc":
+        return "n" * (n - 1) + "s" if n >= 3 else "n" * n
+    if name in ("catch", "time") or (name == "eval" and n == 1):
+        return ("s" + "v" * n)[:n]
+    if name == "namespace" and n and args[0][1] == "eval":
+        return "v" * (n - 1) + ("s" if n > 1 else "v")
+    if name == "expr":
+        return "e" * n
+    if name == "try":
+        out, k = ["n"] * n, 1
+        if n:
+            out[0] = "s"
+        while k < n:
+            ahead = 3 if args[k][1] in ("on", "trap") else 1 if args[k][1] == "finally" else 0
+            if ahead and k + ahead < n:
+                out[k + ahead] = "s"
+                k += ahead
+            k += 1
+        return "".join(out)
+    if name == "switch":
+        k = 0
+        while k < n and (words[k] or "").startswith("-"):
+            k += 2 if words[k] in ("-matchvar", "-indexvar") else 1
+            if words[k - 1] == "--":
+                break
+        k += 1  # the value that is compared
+        rest = args[k:]
+        tail = "p" if len(rest) == 1 and rest[0][0] == "braced" else ("vs" * n)[: len(rest)]
+        return ("v" * k)[:n] + tail
+    if name in BODY_LAST and n:
+        return "v" * (n - 1) + "s"
+    return "v" * n
+
+
+CONTROL = frozenset("if while for proc catch time expr try switch".split())
+
+
 def calls_of(script: str, line: int = 1, depth: int = 0) -> Iterator[tuple[str, int, list[tuple[str, int]], str]]:
-    """(command, line, options, kind): kind is call, proc (the script's own) or dynamic (a name only known when it runs)."""
+    """(command, line, options, kind) of all that a script runs, however deep: kind is call, proc (the script's own) or dynamic (a name only known when it runs).
+
+    Commands of the language itself are followed and not reported.
+    """
     if depth > 50:
         return
     for words in commands(script, line):
         kind, name, at = words[0]
-        if kind == "bare" and not any(c in name for c in "$["):
-            options = [(w[1], w[2]) for w in words[1:] if w[0] == "bare" and len(w[1]) > 1 and w[1][0] == "-" and (w[1][1].isalpha() or w[1][1] == "_")]
-            yield (name, at, options, "call")
-            if name == "proc" and len(words) > 1:
-                yield (words[1][1], words[1][2], [], "proc")
-        else:
+        name, args = name.removeprefix("::"), words[1:]
+        if kind != "bare" or not name or any(c in name for c in "$["):
             yield (name[:200], at, [], "dynamic")
-        where = BODIES.get(name, ()) if kind == "bare" else ()
-        bodies = range(2, len(words)) if where == "rest" else [w if w > 0 else len(words) + w for w in where]
-        for b in bodies:
-            if 0 < b < len(words) and words[b][0] == "braced":
-                yield from calls_of(words[b][1], words[b][2], depth + 1)
-        for w in words:
-            if w[0] != "braced":
-                for inner, before in substitutions(w[1]):
-                    yield from calls_of(inner, w[2] + before, depth + 1)
+            own = "v" * len(args)
+        else:
+            own = roles(name, args)
+            if name == "proc" and args:
+                yield (args[0][1], args[0][2], [], "proc")
+            if name not in BUILTINS and name not in CONTROL:
+                shown = []
+                for w in args[:-1] if name in BODY_LAST else args:
+                    if w[0] != "braced" and w[1] == "--":
+                        break
+                    if w[0] != "braced" and OPTION.fullmatch(w[1]):
+                        shown.append((w[1], w[2]))
+                yield (name, at, shown, "call")
+        for role, w in zip(own, args, strict=True):
+            if role == PAIRS:
+                for pair in commands(w[1], w[2]):
+                    for body in pair[1::2]:
+                        yield from _within(SCRIPT, body, depth)
+            else:
+                yield from _within(role, w, depth)
+
+
+def _within(role: str, w: Word, depth: int) -> Iterator[tuple[str, int, list[tuple[str, int]], str]]:
+    if role == SCRIPT and w[0] == "braced":
+        yield from calls_of(w[1], w[2], depth + 1)
+    elif role == EXPRESSION or (role != NOTHING and w[0] != "braced"):
+        for inner, before in substitutions(w[1]):
+            yield from calls_of(inner, w[2] + before, depth + 1)
 
 
 def calls(scripts: DataFrame, script_id: str = "script_id", text: str = "text") -> DataFrame:
@@ -157,7 +236,7 @@ def checked(calls_: DataFrame, entries: DataFrame) -> DataFrame:
     An option may be shortened if only one known option begins so. entries: (name_lower, text).
     """
     procs = calls_.filter("kind = 'proc'").select("script_id", F.lower("name").alias("name_lower")).distinct()
-    used = calls_.filter("kind in ('call', 'option')").withColumn("name_lower", F.lower("name")).filter(~F.col("name").isin(BUILTINS))
+    used = calls_.filter("kind in ('call', 'option')").withColumn("name_lower", F.lower("name"))
     used = used.join(procs, ["script_id", "name_lower"], "left_anti")
     names = entries.select("name_lower").distinct()
     lost = used.filter("kind = 'call'").join(names, "name_lower", "left_anti")

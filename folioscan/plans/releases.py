@@ -15,44 +15,60 @@ from folioscan.streaming import calls as SC
 
 from .registry import query, table
 
-# Orders as releases of a customer's manual: the version is the year and month, with a service pack for some.
-_VERSION = "year(o_orderdate) || '.' || month(o_orderdate) || CASE WHEN o_orderkey % 5 = 0 THEN '-SP' || (o_orderkey % 3) ELSE '' END"
-_KEY = "[year(o_orderdate), month(o_orderdate), -1, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 3 ELSE 0 END, 0]"
-_RELEASES = f"r AS (SELECT o_custkey AS doc_id, o_orderkey AS slug, o_orderstatus AS status, {_VERSION} AS version, {_KEY}::BIGINT[] AS k, o_orderpriority LIKE '1%' AS later FROM orders)"
+# Orders as releases of a customer's manual, their versions written in all the ways there are: without a number, without a year of this century, with underscores, letters and service packs.
+_VERSION = """CASE o_orderkey % 7 WHEN 0 THEN 'beta' || chr(97 + (o_orderkey % 3)::INT) WHEN 1 THEN (year(o_orderdate) - 200) || '.' || month(o_orderdate) || '.1' WHEN 2 THEN 'v' || y || '_' || month(o_orderdate)
+WHEN 3 THEN 'Y-' || y || '.' || lpad(month(o_orderdate)::VARCHAR, 2, '0') || '-SP' || (o_orderkey % 3) || '-2' WHEN 4 THEN y || '.' || month(o_orderdate) || '.' || (o_orderkey % 4)
+ELSE y || '.' || month(o_orderdate) || CASE WHEN o_orderkey % 5 = 0 THEN '-SP' || (o_orderkey % 3) ELSE '' END END"""
+_KEY = """CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN [year(o_orderdate) - 200, month(o_orderdate), 1] WHEN 2 THEN [y, month(o_orderdate), -1, 0, 0] WHEN 3 THEN [y, month(o_orderdate), -1, o_orderkey % 3, 2]
+WHEN 4 THEN [y, month(o_orderdate), o_orderkey % 4, -1, 0, 0] ELSE [y, month(o_orderdate), -1, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 3 ELSE 0 END, 0] END"""
+_RELEASES = f"r AS (SELECT o_custkey AS doc_id, o_orderkey AS slug, o_orderstatus AS status, {_VERSION} AS version, ({_KEY})::BIGINT[] AS k, o_orderpriority LIKE '1%' AS later FROM (SELECT *, year(o_orderdate) + 10 AS y FROM orders))"
 
 
 def _releases(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    version = F.concat(F.year("o_orderdate").cast("string"), F.lit("."), F.month("o_orderdate").cast("string"), F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("-SP"), (F.col("o_orderkey") % 3).cast("string"))).otherwise(""))
-    return o.select(F.lit("orders").alias("collection"), F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("slug"), version.alias("version"), F.col("o_orderpriority").startswith("1").alias("version_later"))
-
-
-@query(f"WITH {_RELEASES} SELECT slug, version, array_to_string(k, '.') AS version_key FROM r")
+    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    y, m = (F.year("o_orderdate") + 10).cast("string"), F.month("o_orderdate").cast("string")
+    left = lambda n: (key % n).cast("string")
+    version = (
+        F.when(key % 7 == 0, F.concat(F.lit("beta"), F.chr(97 + key % 3)))
+        .when(key % 7 == 1, F.concat((F.year("o_orderdate") - 200).cast("string"), F.lit("."), m, F.lit(".1")))
+        .when(key % 7 == 2, F.concat(F.lit("v"), y, F.lit("_"), m))
+        .when(key % 7 == 3, F.concat(F.lit("Y-"), y, F.lit("."), F.lpad(m, 2, "0"), F.lit("-SP"), left(3), F.lit("-2")))
+        .when(key % 7 == 4, F.concat(y, F.lit("."), m, F.lit("."), left(4)))
+        .otherwise(F.concat(y, F.lit("."), m, F.when(key % 5 == 0, F.concat(F.lit("-SP"), left(3))).otherwise("")))
+    )
+    return o.select(F.lit("orders").alias("collection"), F.col("o_custkey").alias("doc_id"), key.alias("slug"), version.alias("version"), F.col("o_orderpriority").startswith("1").alias("version_later"))
+
+
+@query(f"""WITH {_RELEASES} SELECT slug, version, array_to_string(k, '.') AS version_key, array_to_string(list_transform(k, lambda n: CASE WHEN n < 0 THEN '-00001' ELSE lpad(n::VARCHAR, 6, '0') END), '.') AS version_text FROM r""")
 def version_sort_key(spark, sf_dir):
-    """The numbers that order each release."""
-    return _releases(spark, sf_dir).select("slug", "version", F.array_join(X.version_key("version").cast("array<string>"), ".").alias("version_key"))
+    """The numbers that order each release, and the text that sorts as they do."""
+    return _releases(spark, sf_dir).select("slug", "version", F.array_join(X.version_key("version").cast("array<string>"), ".").alias("version_key"), X.version_text("version").alias("version_text"))
 
 
-@query(f"""WITH {_RELEASES}, t AS (SELECT *, max(k) OVER (PARTITION BY doc_id) AS top, count(*) OVER (PARTITION BY doc_id) AS n FROM r), u AS (SELECT *, count(*) FILTER (WHERE k = top) OVER (PARTITION BY doc_id) AS tied FROM t)
-SELECT doc_id, slug, CASE WHEN n = 1 THEN true WHEN tied = 1 THEN k = top END AS is_current FROM u""")
+@query(f"""WITH {_RELEASES}, t AS (SELECT *, max(k) OVER (PARTITION BY doc_id) AS top, count(*) OVER (PARTITION BY doc_id) AS n, count(k) OVER (PARTITION BY doc_id) AS known FROM r), u AS (SELECT *, count(*) FILTER (WHERE k = top) OVER (PARTITION BY doc_id) AS tied FROM t)
+SELECT doc_id, slug, CASE WHEN n = 1 THEN true WHEN known = n AND tied = 1 THEN k = top END AS is_current FROM u""")
 def edition_current(spark, sf_dir):
-    """Which release of each customer is current; undecided where two tie."""
+    """Which release of each customer is current; undecided where two tie or one has no number."""
     return D.resolved(_releases(spark, sf_dir)).select("doc_id", "slug", "is_current")
 
 
-@query(f"""WITH {_RELEASES}, q AS (SELECT DISTINCT doc_id, [1996, 6, -1, 0, 0]::BIGINT[] AS want FROM r),
-b AS (SELECT doc_id, max(struct_pack(k := k, slug := slug, later := later)) AS b FROM r JOIN q USING (doc_id) WHERE k <= want GROUP BY doc_id)
-SELECT q.doc_id, CASE WHEN b.b.k = want OR b.b.later THEN b.b.slug END AS slug, CASE WHEN b.b IS NULL THEN 'no edition' WHEN b.b.k = want THEN 'exact' WHEN b.b.later THEN 'earlier, and later' ELSE 'not covered' END AS how FROM q LEFT JOIN b USING (doc_id)""")
+@query(f"""WITH {_RELEASES}, q AS (SELECT DISTINCT doc_id, want, name, wk FROM r, (VALUES ('2006.6', '2006.6', [2006, 6, -1, 0, 0]::BIGINT[]), ('Beta A', 'BETAA', NULL), ('v2004_03-SP1', '2004.03-SP1', [2004, 3, -1, 1, 0]::BIGINT[])) AS v(want, name, wk)
+  UNION SELECT doc_id, lower(version), upper(CASE WHEN version LIKE 'v%' THEN replace(version[2:], '_', '.') ELSE version END), k FROM r),
+m AS (SELECT q.*, r.k, r.slug, r.later, upper(CASE WHEN r.version LIKE 'v%' THEN replace(r.version[2:], '_', '.') ELSE r.version END) = q.name OR coalesce(r.k = q.wk, false) AS same FROM q JOIN r USING (doc_id)),
+e AS (SELECT doc_id, want, arg_min(slug, struct_pack(u := k IS NOT NULL, k := k, s := slug)) FILTER (WHERE same) AS exact, max(struct_pack(k := k, slug := slug, later := later)) FILTER (WHERE k < wk) AS b FROM m GROUP BY doc_id, want)
+SELECT doc_id, want AS version, CASE WHEN exact IS NOT NULL THEN exact WHEN b.later THEN b.slug END AS slug, CASE WHEN exact IS NOT NULL THEN 'exact' WHEN b.later THEN 'earlier, and later' WHEN b IS NOT NULL THEN 'not covered' ELSE 'no edition' END AS how FROM e""")
 def edition_asof(spark, sf_dir):
-    """The release of each customer that answers for 1996.6."""
+    """The release of each customer that answers for three versions, one of them without a number, and for each of its own."""
     docs = _releases(spark, sf_dir)
-    asked = docs.select("collection", "doc_id").distinct().select(F.col("doc_id").alias("request"), "collection", "doc_id", F.lit("1996.6").alias("version"))
-    return D.as_of(asked, docs).select("doc_id", "slug", "how")
+    some = docs.select("collection", "doc_id", F.explode(F.array(F.lit("2006.6"), F.lit("Beta A"), F.lit("v2004_03-SP1"))).alias("version"))
+    asked = some.union(docs.select("collection", "doc_id", F.lower("version"))).distinct().withColumn("request", F.struct("doc_id", "version"))
+    return D.as_of(asked, docs).select("doc_id", "version", "slug", "how")
 
 
-@query(f"WITH {_RELEASES} SELECT doc_id, 'edition-duplicate-version' AS problem, min(version) AS version FROM r GROUP BY doc_id, k HAVING count(*) > 1")
+@query(f"""WITH {_RELEASES} SELECT doc_id, 'edition-duplicate-version' AS problem, min(version) AS version FROM r WHERE k IS NOT NULL GROUP BY doc_id, k HAVING count(*) > 1
+UNION ALL SELECT doc_id, 'edition-unordered', NULL FROM r GROUP BY doc_id HAVING count(*) > 1 AND count(k) < count(*)""")
 def edition_problems(spark, sf_dir):
-    """Customers with two releases of the same order."""
+    """Customers with two releases of the same order, or several of which one has no number."""
     return D.problems(_releases(spark, sf_dir)).select("doc_id", "problem", "version")
 
 

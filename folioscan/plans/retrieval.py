@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folioscan.functions import text as X
@@ -68,21 +69,26 @@ def bm25_and_or(spark, sf_dir):
     return S.capped(S.all_else_any(_scored(spark, sf_dir, asked), 10), ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score", "mode")
 
 
-@query(rf"""WITH {_HEADS}, {_SCORED},
+@query(rf"""WITH {_ITEMS}, {_SCORED}, its AS (SELECT item_id AS qid, row_number() OVER (ORDER BY item_id) - 1 AS k, count(*) OVER () AS n_items, text AS asked_text, regexp_extract_all(lower(text), '[0-9a-z]+') AS c,
+  ' ' || array_to_string(list_filter(list_transform(regexp_split_to_array(text, '[ \t\n\v\f\r]+'), lambda x: lower(regexp_replace(regexp_replace(regexp_replace(x, '^[`''"()\[\]{{}}<>,;:?!]+', ''), '[`''"()\[\]{{}}<>,;:?!]+$', ''), '\.+$', ''))), lambda x: x <> ''), ' ') || ' ' AS tokens FROM benchmark),
+ents AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN c[3] || ' ' || c[4] ELSE array_to_string(c, '_') END AS entity FROM documents d JOIN its ON k = d.doc_id % n_items),
 pool AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS r FROM scored),
-b AS (SELECT pool.*, d.text, regexp_extract_all(lower(split_part(d.text, chr(10), 1)), '[0-9a-z]+') AS h, regexp_extract_all(lower(asked_text), '[0-9a-z]+') AS c, len(list_filter(string_split(d.text, chr(10)), lambda x: trim(x, ' ') <> '')) AS n_lines, len(list_filter(string_split(d.text, chr(10)), lambda x: regexp_matches(x, '\.\s?\.\s?\.\s?\.'))) AS led
-  FROM pool JOIN documents d USING (doc_id) JOIN (SELECT item_id AS qid, array_to_string(({_TOKENS})[1:4], ' ') AS asked_text FROM benchmark) USING (qid) WHERE r <= 200),
-a AS (SELECT qid, doc_id, source, round(score + CASE WHEN len(h) > 0 AND array_to_string(h, ' ') = array_to_string(c, ' ') THEN 4.0 WHEN len(h) > 0 AND len(c) > 0 AND list_has_all(h, CASE WHEN len(list_filter(c, lambda x: x NOT IN ({_STOP}))) > 0 THEN list_filter(c, lambda x: x NOT IN ({_STOP})) ELSE c END) THEN 1.5 ELSE 0.0 END
+b AS (SELECT pool.*, its.c, its.tokens, ents.entity, d.text, lower(split_part(d.text, chr(10), 1)) AS title, regexp_extract_all(lower(split_part(d.text, chr(10), 1)), '[0-9a-z]+') AS h, list_filter(its.c, lambda x: x NOT IN ({_STOP})) AS content,
+  len(list_filter(string_split(d.text, chr(10)), lambda x: trim(x, ' ') <> '')) AS n_lines, len(list_filter(string_split(d.text, chr(10)), lambda x: regexp_matches(x, '\.\s?\.\s?\.\s?\.'))) AS led FROM pool JOIN documents d USING (doc_id) JOIN its USING (qid) LEFT JOIN ents USING (doc_id) WHERE r <= 200),
+a AS (SELECT qid, doc_id, source, round(score + CASE WHEN entity = array_to_string(c, '_') OR replace(entity, '_', ' ') = array_to_string(c, ' ') OR (entity LIKE '% %' AND contains(tokens, ' ' || entity || ' ')) THEN 6.0 ELSE 0.0 END
+  + CASE WHEN title IN (array_to_string(c, ' '), array_to_string(c, '_')) THEN 4.0 WHEN title <> '' AND len(content) > 0 AND list_has_all(h, content) THEN 1.5 ELSE 0.0 END
   - CASE WHEN length(text) < 200 THEN 1.5 ELSE 0.0 END - CASE WHEN n_lines >= 4 AND 10 * led >= 3 * n_lines THEN 8.0 ELSE 0.0 END, 6) AS score FROM b),
 {_CAPPED.format('a')} SELECT qid, rank, doc_id, score AS adjusted FROM ranked WHERE rank <= 10""")
 def rerank_cap_topk(spark, sf_dir):
-    """The pool of each short query, with what headings, sizes and front matter say added, capped and cut."""
-    docs = table(spark, sf_dir, "documents")
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.array_join(F.slice(X.words("text"), 1, 4), " ").alias("query"))
-    terms = asked.select("qid", F.array_distinct(F.split("query", " ")).alias("terms"))
-    best = S.pool(_scored(spark, sf_dir, terms), ["doc_id"], 10).join(asked, "qid")
-    rich = best.join(docs.select("doc_id", F.substring_index("text", "\n", 1).alias("heading"), F.lit(None).cast("string").alias("entity"), F.col("text").alias("body")), "doc_id")
-    return S.capped(S.adjusted(rich), ["doc_id"], ["source"], 5, 10, "adjusted").select("qid", "rank", "doc_id", "adjusted")
+    """The pool of each item, with what entities, headings, sizes and front matter say added, capped and cut. Documents own an entity of two words, or of one, of some item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    # The benchmark is small: its rows are numbered in one task.
+    its = items.select("item_id", X.ascii_words("text").alias("c")).withColumn("k", F.row_number().over(Window.orderBy("item_id")) - 1)
+    n = items.agg(F.count("*")).scalar()
+    entity = F.when(F.col("doc_id") % 2 == 0, F.concat_ws(" ", F.get("c", F.lit(2)), F.get("c", F.lit(3)))).otherwise(F.array_join("c", "_"))
+    owned = docs.select("doc_id", (F.col("doc_id") % n).alias("k"), F.substring_index("text", "\n", 1).alias("heading"), F.col("text").alias("body")).join(its.select("k", "c"), "k", "left").select("doc_id", "heading", entity.alias("entity"), "body")
+    best = S.pool(_scored(spark, sf_dir, _items(spark, sf_dir)), ["doc_id"], 10).join(items.select(F.col("item_id").alias("qid"), F.col("text").alias("query")), "qid")
+    return S.capped(S.adjusted(best.join(owned, "doc_id")), ["doc_id"], ["source"], 5, 10, "adjusted").select("qid", "rank", "doc_id", "adjusted")
 
 
 _STEM = "CASE WHEN {0} LIKE '%ing' AND length({0}) >= 6 THEN {0}[:-4] WHEN {0} LIKE '%ed' AND length({0}) >= 5 THEN {0}[:-3] WHEN {0} LIKE '%es' AND length({0}) >= 5 THEN {0}[:-3] WHEN {0} LIKE '%s' AND length({0}) >= 4 THEN {0}[:-2] ELSE {0} END"

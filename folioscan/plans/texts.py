@@ -17,11 +17,39 @@ from folioscan.operators.lookup import budgeted, reassembled
 from .registry import query, table
 
 _SP = r"[ \t\n\v\f\r]+"
-#: Lines of documents with their core, as text functions make it.
+
+
+def _bare(x: str) -> str:
+    """SQL of a text without one pair of marks around it, where something is left."""
+    cases = " ".join(f"WHEN regexp_matches({x}, '^{m}.+{m}$') THEN {x}[{n + 1}:-{n + 1}]" for m, n in ((r"\*\*\*", 3), (r"\*\*", 2), (r"\*", 1), ("___", 3), ("__", 2), ("_", 1), ("`", 1)))
+    return f"coalesce(nullif(trim(CASE {cases} ELSE {x} END, ' '), ''), {x})"
+
+
+def _stripped(rows: str, x: str, out: str, name: str) -> str:
+    """CTEs that add to `rows` the column `out`: x without heading marks and up to three pairs of marks; the last of them has the name."""
+    steps = [f"{name}_0 AS (SELECT *, trim(regexp_replace(trim({x}, ' '), '^#{{1,6}}\\s+', ''), ' ') AS {out}_0 FROM {rows})"]
+    steps += [f"{name}_{k} AS (SELECT *, {_bare(f'{out}_{k - 1}')} AS {out}_{k} FROM {name}_{k - 1})" for k in (1, 2, 3)]
+    return ",\n".join([*steps, f"{name} AS (SELECT * EXCLUDE ({out}_0, {out}_1, {out}_2, {out}_3), {out}_3 AS {out} FROM {name}_3)"])
+
+
+#: Lines of documents with their core and whether they are code, and those shaped like headers.
 _LINES = rf"""
 l0 AS (SELECT source, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS pos FROM documents),
-l AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(line, '!?\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '</?[A-Za-z][^>]*>', ' ', 'g'), '^\s*#{{1,6}}\s+', ''), '[*`]+', '', 'g'), '{_SP}', ' ', 'g'), ' ') AS core FROM l0),
-c AS (SELECT *, lower(core) = 'feedback' OR (NOT regexp_matches(trim(line, ' '), '^$|^[|>*+•#-]|^```') AND regexp_matches(core, '[A-Za-z]') AND length(core) <= 120 AND regexp_matches(core, '\s') AND NOT regexp_matches(core, '^[\w\s.-]*[_(){{}};=]+[\w\s.-]*$') AND NOT regexp_matches(core, '^<!--|-->$')) AS ok FROM l)
+l1 AS (SELECT *, regexp_matches(line, '^\s*```') OR sum(CASE WHEN regexp_matches(line, '^\s*```') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) % 2 = 1 AS in_code FROM l0),
+{_stripped('l1', 'line', 'core', 'l')},
+c AS (SELECT DISTINCT source, doc_id, core FROM l WHERE NOT in_code AND (lower(core) = 'feedback' OR (NOT regexp_matches(trim(line, ' '), '^$|^[|>*+•#-]|^```') AND regexp_matches(core, '[A-Za-z]') AND length(core) <= 120 AND regexp_matches(core, '\s') AND NOT regexp_matches(core, '^[\w\s.-]*[_(){{}};=]+[\w\s.-]*$') AND NOT regexp_matches(core, '^<!--|-->$')))),
+n AS (SELECT source, core, count(*) AS n FROM c GROUP BY source, core)
+"""
+#: Comparable forms of these lines, the line most texts of a source share as its title, and the furniture that follows from it.
+_FURNITURE = rf"""
+{_stripped('n', 'core', 'k1', 'n1')},
+n2 AS (SELECT *, translate(regexp_replace(k1, '</?[A-Za-z][^>]*>', '', 'g'), '™℠®©', '') AS k2 FROM n1),
+{_stripped('n2', 'k2', 'k3', 'n3')},
+k AS (SELECT *, lower(trim(regexp_replace(regexp_replace(k3, '\s*[’'']\s*', '', 'g'), '{_SP}', ' ', 'g'), ' ')) AS norm, translate(trim(regexp_replace(regexp_replace(core, '</?[A-Za-z][^>]*>', '', 'g'), '{_SP}', ' ', 'g'), ' '), '™℠®©', '') AS spaced FROM n3),
+t AS (SELECT source, norm AS t FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, core) AS r FROM k) WHERE r = 1),
+f AS (SELECT k.source, core, n FROM k JOIN t USING (source) WHERE norm = 'feedback' OR (t <> '' AND norm <> '' AND n >= 3 AND (
+  (starts_with(norm, left(t, 40)) AND NOT regexp_matches(norm[length(left(t, 40)) + 1:length(left(t, 40)) + 1], '[\p{{L}}\p{{N}}]') AND NOT regexp_matches(spaced[length(left(t, 40)) + 1:], '\b[a-z]+\s+[a-z]+\s+[a-z]+\b'))
+  OR (starts_with(t, left(norm, 40)) AND length(norm) >= 0.6 * length(t)))))
 """
 
 
@@ -29,27 +57,39 @@ def _lines(spark, sf_dir):
     return U.exploded(table(spark, sf_dir, "documents").select("source", "doc_id", "text"), ["source"], "doc_id")
 
 
-@query(f"WITH {_LINES} SELECT source, core, count(DISTINCT doc_id) AS n_texts FROM c WHERE ok GROUP BY source, core HAVING count(DISTINCT doc_id) >= 3")
+def _titles(lines):
+    """The line that most texts of a source share, as its title."""
+    counts = U.candidates(lines, ["source"], "doc_id").groupBy("source", "core").agg(F.count("*").alias("n"))
+    return counts.groupBy("source").agg(F.min(F.struct((-F.col("n")).alias("n"), "core")).alias("b")).select("source", F.col("b.core").alias("title"))
+
+
+@query(f"WITH {_LINES}, {_FURNITURE} SELECT source, core FROM f")
 def line_furniture(spark, sf_dir):
-    """Lines shaped like headers that three documents of a source share."""
-    return U.repeated_lines(_lines(spark, sf_dir), ["source"], "doc_id")
+    """Sources as manuals, documents as their sections, the line that most of these share as the title: what counts as running title."""
+    lines = _lines(spark, sf_dir)
+    return U.detected(lines, _titles(lines), ["source"], "doc_id")
 
 
-@query(f"""WITH {_LINES}, m AS (SELECT DISTINCT source, doc_id, core, regexp_replace(core, '[0-9]+', '#', 'g') AS masked FROM c WHERE ok AND regexp_matches(core, '[0-9]'))
-SELECT source, masked, count(DISTINCT doc_id) AS n_texts, count(DISTINCT core) AS n_distinct FROM m GROUP BY source, masked HAVING count(DISTINCT doc_id) >= 2 AND count(DISTINCT core) >= 2 AND count(DISTINCT core) >= 0.5 * count(*)""")
+@query("""WITH s AS (SELECT o_orderpriority AS doc, CASE WHEN o_orderkey % 10 = 0 THEN 'B-' || (o_orderkey % 300) ELSE (o_orderkey % 300) || '-' || (o_custkey % 50) END || ' Ledger Version 2026.2' AS label FROM orders)
+SELECT doc, '#-# Ledger Version #.#' AS masked, count(*) AS n_texts, count(DISTINCT label) AS n_distinct FROM s GROUP BY doc HAVING count(*) >= 10 AND count(DISTINCT label) >= 30 AND count(DISTINCT label) >= 0.5 * count(*)""")
 def masked_line_labels(spark, sf_dir):
-    """Lines that are alike but for digits, with thresholds that fit short documents."""
-    return U.page_labels(_lines(spark, sf_dir), ["source"], "doc_id", share=0.0, texts=2, distinct=2)
+    """Orders as pages with a page label, a numbered line of prose, an option and a name with a number: only the label is one, where it varies enough."""
+    o = table(spark, sf_dir, "orders")
+    number = lambda c, n: (F.col(c) % n).cast("string")
+    page = F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("B-"), number("o_orderkey", 300))).otherwise(F.concat(number("o_orderkey", 300), F.lit("-"), number("o_custkey", 50)))
+    text = F.concat_ws("\n", F.concat(page, F.lit(" Ledger Version 2026.2")), F.concat(F.lit("Fix the clock case "), number("o_orderkey", 7), F.lit(".")), F.concat(F.lit("use run_step -n "), number("o_orderkey", 300)), F.concat(F.lit("see the cell ab"), number("o_orderkey", 300)))
+    lines = U.exploded(o.select(F.col("o_orderpriority").alias("doc"), "o_orderkey", text.alias("text")), ["doc"], "o_orderkey")
+    return U.page_labels(U.candidates(lines, ["doc"], "o_orderkey"), o.groupBy(F.col("o_orderpriority").alias("doc")).agg(F.count("*").alias("n_all")), ["doc"], "o_orderkey")
 
 
-@query(f"""WITH {_LINES}, f AS (SELECT source, core FROM c WHERE ok GROUP BY source, core HAVING count(DISTINCT doc_id) >= 3),
-m AS (SELECT l.*, f.core IS NOT NULL AS hit FROM l LEFT JOIN f ON f.source = l.source AND f.core = l.core),
+@query(f"""WITH {_LINES}, {_FURNITURE},
+m AS (SELECT l.*, NOT in_code AND f.core IS NOT NULL AS hit FROM l LEFT JOIN f ON f.source = l.source AND f.core = l.core),
 w AS (SELECT *, max(hit) OVER (PARTITION BY source, doc_id ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS near FROM m)
-SELECT doc_id, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars FROM w WHERE NOT hit AND NOT (near AND regexp_matches(core, '^[0-9]{{1,4}}$|^(?:Chapter|Appendix) [0-9A-Z]+(?:[.:].*)?$')) GROUP BY doc_id""")
+SELECT doc_id, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars FROM w WHERE NOT hit AND NOT (near AND NOT in_code AND (regexp_matches(line, '^\\s*[0-9]{{1,4}}\\s*$') OR regexp_matches(line, '^\\s*(?i:Chapter|Appendix|Section)\\s+\\w{{1,4}}\\s*:'))) GROUP BY doc_id""")
 def strip_adjacent_lines(spark, sf_dir):
-    """What stays of each document without repeated lines and what stands beside them."""
+    """What stays of each document without furniture and what stands beside it."""
     lines = _lines(spark, sf_dir)
-    kept = U.stripped(lines, U.repeated_lines(lines, ["source"], "doc_id"), ["source"], "doc_id")
+    kept = U.stripped(lines, U.detected(lines, _titles(lines), ["source"], "doc_id"), ["source"], "doc_id")
     return kept.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
 
 
