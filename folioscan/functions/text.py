@@ -103,6 +103,13 @@ def title_key(title: Column | str) -> Column:
     return F.regexp_replace(out, r"^(?:chapter|appendix|part)\s+[0-9a-z]+[.:]?\s+|^[0-9]+(?:\.[0-9]+)*[.:]?\s+", "")
 
 
+def norm_title(title: Column | str) -> Column:
+    """A title for matching headings with outline entries: no emphasis, no "Chapter N", no numbering; folded."""
+    bare = F.trim(collapse(strip_emphasis(title)))
+    bare = F.regexp_replace(bare, r"(?i)^(chapter|appendix|part)\s+[\w.]{1,4}\s*[:.\-–]?\s+", "")
+    return F.lower(F.regexp_replace(bare, r"^\d+(\.\d+)*\.?\s*", ""))
+
+
 def content_words(text: Column | str) -> Column:
     """Distinct words of four characters or more that aren't numbers."""
     return F.array_distinct(F.filter(ascii_words(text), lambda w: (F.length(w) >= 4) & ~w.rlike("^[0-9]+$")))

@@ -59,25 +59,41 @@ def remapped(old: DataFrame, new: DataFrame, old_id: str, new_id: str, text: str
     return met.select(old_id, F.when(one, "one").when(many, "several").otherwise("none").alias("how"), F.when(one, F.col("_best").cast("string")).when(many, F.col("_ids")).alias("new_ids"))
 
 
-def quotes(asked: DataFrame, sections: DataFrame, asked_id: str, section_id: str, text: str = "text", head: int = 6) -> DataFrame:
+#: Quotes whose first inner words are looked for in place; more are joined.
+FEW_WORDS = 5000
+
+
+def quotes(asked: DataFrame, sections: DataFrame, asked_id: str, section_id: str, text: str = "text", head: int = 6, gram: int = 3) -> DataFrame:
     """(asked_id, section_id) of sections that hold a quote, blanks collapsed.
 
-    The first `head` words of the quote are the key of an equality join over runs of words; only runs that some quote
-    begins with leave a section's task. A quote of fewer words has its own run length.
+    The key of an equality join is a run of the quote's first `head` words; its first and last word may be parts of words, so the inner ones count.
+    Only runs whose first word some quote's run begins with are made. A quote of one or two words has no inner word: its key is its first
+    `gram` characters, and only sections' grams that are such keys leave their rows.
     """
-    def tokens(x: Column) -> Column:
-        return F.split(X.collapse(x), " ")
-
     q = asked.select(asked_id, X.collapse(text).alias("_quote")).filter("_quote <> ''").withColumn("_w", F.split("_quote", " "))
-    q = q.withColumn("_len", F.least(F.size("_w"), F.lit(head)))
-    # The first and last word of a quote may be parts of words, so the inner words are the key where there are any.
-    inner = F.when(F.col("_len") > 2, F.array_join(F.slice("_w", F.lit(2), F.col("_len") - 2), " ")).otherwise(F.lit(""))
-    q = q.select(asked_id, "_quote", inner.alias("_key"), F.greatest(F.col("_len") - 2, F.lit(0)).alias("_len"))
-    sizes = q.agg(F.collect_set("_len")).scalar()  # at most `head` lengths
+    q = q.withColumn("_len", F.greatest(F.least(F.size("_w"), F.lit(head)) - 2, F.lit(0)))
+    inner = F.array_join(F.slice("_w", F.lit(2), F.col("_len")), " ")
+    q = q.select(asked_id, "_quote", F.when(F.col("_len") > 0, inner).otherwise(F.left("_quote", F.lit(gram))).alias("_key"), F.when(F.col("_len") > 0, F.col("_len")).otherwise(-F.least(F.length("_quote"), F.lit(gram))).alias("_len"), F.get("_w", F.lit(1)).alias("_first"))
+    words, lens = q.filter("_len > 0"), [r._len for r in q.select("_len").distinct().collect()]  # at most `head` + `gram` lengths
     s = sections.select(section_id, X.collapse(text).alias("_body"))
-    runs = s.select(section_id, tokens(F.col("_body")).alias("_w")).withColumn("_len", F.explode(sizes)).withColumn("_last", F.size("_w") - F.col("_len") + 1).filter("_last >= 1")
-    keys = runs.select(section_id, "_len", F.explode(F.when(F.col("_len") > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("_last")), lambda i: F.array_join(F.slice("_w", i, F.col("_len")), " ")))).otherwise(F.array(F.lit("")))).alias("_key"))
-    pairs = keys.join(q, ["_len", "_key"]).select(asked_id, section_id, "_quote")
+    keys = []
+    runs = sorted(n for n in lens if n > 0)
+    if runs:
+        firsts = [r._first for r in words.select("_first").distinct().limit(FEW_WORDS + 1).collect()]
+        w = s.select(section_id, F.split("_body", " ").alias("_w"))
+        at = F.sequence(F.lit(1), F.size("_w"))
+        if len(firsts) <= FEW_WORDS:
+            at = F.filter(at, lambda i: F.get("_w", i - 1).isin(firsts))
+        made = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.struct(F.lit(n).alias("_len"), F.array_join(F.slice("_w", i, F.lit(n)), " ").alias("_key")) for n in runs]))))
+        keys.append(w.select(section_id, F.inline(made)))
+    grams = sorted(-n for n in lens if n < 0)
+    if grams:
+        made = F.flatten(F.array(*[F.transform(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_body") - n + 1, F.lit(1))), lambda i, n=n: F.substring("_body", i, F.lit(n)))), lambda g, n=n: F.struct(F.lit(-n).alias("_len"), g.alias("_key"))) for n in grams]))
+        keys.append(s.select(section_id, F.inline(made)))
+    if not keys:
+        return asked.select(asked_id).limit(0).join(s.select(section_id))
+    every = keys[0] if len(keys) == 1 else keys[0].union(keys[1])
+    pairs = every.join(q, ["_len", "_key"]).select(asked_id, section_id, "_quote").distinct()
     return pairs.join(s, section_id).filter(F.col("_body").contains(F.col("_quote"))).select(asked_id, section_id)
 
 

@@ -50,19 +50,28 @@ def idf(n: Column, df: Column) -> Column:
     return F.when(raw > 0, raw).otherwise(1e-6)
 
 
-def bm25(queries: DataFrame, docs: DataFrame, key: list[str], fields: dict[str, float], tokens=X.words) -> DataFrame:
-    """(qid, key, score, n_hit, n_terms) for every document with a term of a query (qid, terms); higher is better.
+def ranked(queries: DataFrame, found: DataFrame, lengths_: DataFrame, key: list[str]) -> DataFrame:
+    """(qid, key, score, n_hit, n_terms) of queries (qid, terms) over postings (term, key, n_tokens, f) and lengths (key, n_tokens); higher is better.
 
-    Averages and document frequencies are of the whole table, whatever is filtered afterwards.
+    Averages and document frequencies are of the whole table, whatever is filtered afterwards. Queries are few beside postings: below a counted
+    number of terms they are broadcast, and only their terms' postings are read.
     """
     wanted = queries.select("qid", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
-    found = postings(docs, key, fields, wanted, tokens)
-    frequency = found.groupBy("term").agg(F.count("*").alias("df"))
-    whole = lengths(docs, key, fields, tokens).agg(F.count("*").alias("n"), F.avg("n_tokens").alias("mean")).select(F.struct("n", "mean"))
+    few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    small = F.broadcast if few else lambda df: df
+    own = found.join(small(wanted.select("term").distinct()), "term", "left_semi")
+    frequency = own.groupBy("term").agg(F.count("*").alias("df"))
+    whole = lengths_.agg(F.count("*").alias("n"), F.avg("n_tokens").alias("mean")).select(F.struct("n", "mean"))
     weighed = wanted.join(frequency, "term").withColumn("whole", whole.scalar()).select("qid", "n_terms", "term", idf(F.col("whole.n"), F.col("df")).alias("idf"), F.col("whole.mean").alias("mean"))
     f, share = F.col("f"), F.col("n_tokens") / F.col("mean")
     gain = F.col("idf") * f * (K1 + 1) / (f + K1 * (1 - B + B * share))
-    return found.join(weighed, "term").groupBy("qid", *key).agg(F.round(F.sum(gain), 6).alias("score"), F.count("*").alias("n_hit"), F.first("n_terms").alias("n_terms"))
+    return own.join(small(weighed), "term").groupBy("qid", *key).agg(F.round(F.sum(gain), 6).alias("score"), F.count("*").alias("n_hit"), F.first("n_terms").alias("n_terms"))
+
+
+def bm25(queries: DataFrame, docs: DataFrame, key: list[str], fields: dict[str, float], tokens=X.words) -> DataFrame:
+    """As ranked(), without an index: documents are tokenised, and only the terms of queries leave their rows."""
+    wanted = queries.select(F.explode("terms").alias("term"))
+    return ranked(queries, postings(docs, key, fields, wanted, tokens), lengths(docs, key, fields, tokens), key)
 
 
 def all_else_any(scored: DataFrame, limit: int) -> DataFrame:
@@ -134,13 +143,64 @@ def passage_scores(rows: DataFrame, passage: str = "passages", terms: str = "ter
     return seen.groupBy(*keep, "passage_no").agg(F.round(F.sum(F.log(1 + F.col("_p") / F.col("_df")) * (idents if idents is not None else F.lit(1.0))), 6).alias("passage_score"))
 
 
-def search(queries: DataFrame, chunks: DataFrame, limit: int = 10, cap: int = 5) -> DataFrame:
-    """queries (qid, query) over chunks (collection, slug, ord, heading, entity, breadcrumb, body, figures, is_current): ranked sections."""
+def search(queries: DataFrame, chunks: DataFrame, limit: int = 10, cap: int = 5, index: dict[str, DataFrame] | None = None) -> DataFrame:
+    """queries (qid, query) over chunks (collection, slug, ord, heading, entity, breadcrumb, body, figures, is_current): ranked sections. With the tables of an index, its postings are read."""
     key, group = ["collection", "slug", "ord"], ["collection", "slug"]
     asked = queries.withColumn("terms", X.match_terms("query"))
-    scored = bm25(asked, chunks, key, WEIGHTS).join(chunks.filter("is_current").select(*key), key, "left_semi")
+    every = bm25(asked, chunks, key, WEIGHTS) if index is None else ranked(asked, index["postings"], index["lengths"], key)
+    scored = every.join(chunks.filter("is_current").select(*key), key, "left_semi")
     best = pool(all_else_any(scored, limit), key, limit).join(queries, "qid")
     held = holding(best, chunks, key).withColumn("_held", F.lit(True))
     rich = best.join(held, ["qid", *key], "left").join(chunks.select(*key, "heading", "entity", "body"), key)
     ranked = capped(adjusted(rich, held=F.coalesce("_held", F.lit(False))), key, group, cap, limit, "adjusted")
     return ranked.select("qid", "rank", *key, "heading", "entity", "score", "adjusted", "mode")
+
+
+def phrases(query: Column | str) -> Column:
+    """Terms of a query as runs of words, (words, whether the last is a prefix): what is quoted first, then single words; stop words go if others are left.
+
+    A word with separators inside (set_clock) is the run of its parts. A star behind a word or inside quotes at the end asks for a prefix.
+    """
+    q = F.col(query) if isinstance(query, str) else query
+    quoted = F.regexp_extract_all(q, F.lit('"([^"]*)"'), F.lit(1))
+    loose = F.filter(F.split(F.regexp_replace(q, '"[^"]*"', " "), X.SPACES), lambda w: X.ascii_words(w)[0].isNotNull())
+    content = F.filter(loose, lambda w: ~F.forall(X.ascii_words(w), lambda p: p.isin(X.STOPWORDS)))
+    quoted = F.filter(quoted, lambda w: F.size(X.ascii_words(w)) > 0)
+    singles = F.when((F.size(content) > 0) | (F.size(quoted) > 0), content).otherwise(loose)
+    return F.transform(F.concat(quoted, singles), lambda w: F.struct(X.ascii_words(w).alias("words"), w.endswith("*").alias("prefix")))
+
+
+def phrase_matches(queries: DataFrame, docs: DataFrame, key: list[str], field: str) -> DataFrame:
+    """(qid, key, n_hit, n_terms): how many terms of each query (qid, query) a field holds; the words of a term stand in a row, the last may be a prefix.
+
+    Only documents with the first word of a term are looked into: one equality join on that word, or on its prefix where a term is a single prefix word of whatever length.
+    """
+    terms = queries.select("qid", F.posexplode(phrases("query")).alias("no", "t")).select("qid", "no", "t.*")
+    n = terms.groupBy("qid").agg(F.count("*").alias("n_terms"))
+    short = (F.size("words") == 1) & F.col("prefix")
+    # A prefix word meets every prefix of its own length; other terms meet whole first words (length 0).
+    terms = terms.withColumn("cut", F.when(short, F.length(F.get("words", F.lit(0)))).otherwise(0)).withColumn("first", F.get("words", F.lit(0)))
+    cuts = terms.agg(F.array_distinct(F.concat(F.collect_set("cut"), F.array(F.lit(0))))).scalar()  # as many as there are lengths of prefixes
+    own = docs.select(*key, X.ascii_words(F.coalesce(F.col(field), F.lit(""))).alias("w"))
+    heads = own.select(*key, "w", F.explode(F.array_distinct("w")).alias("word")).withColumn("cut", F.explode(cuts))
+    heads = heads.filter((F.col("cut") == 0) | (F.length("word") >= F.col("cut"))).select(*key, "w", "cut", F.when(F.col("cut") == 0, F.col("word")).otherwise(F.left("word", F.col("cut"))).alias("first")).distinct()
+    met = heads.join(terms, ["first", "cut"])
+    size = F.size("words")
+    run = lambda i: F.slice("w", i + 1, size)
+    last = lambda r: F.when(F.col("prefix"), F.element_at(r, -1).startswith(F.element_at("words", -1))).otherwise(F.element_at(r, -1) == F.element_at("words", -1))
+    same = lambda r: (F.size(r) == size) & (F.slice(r, 1, size - 1) == F.slice("words", 1, size - 1)) & last(r)
+    hit = F.exists(F.sequence(F.lit(0), F.greatest(F.size("w") - size, F.lit(0))), lambda i: F.coalesce(same(run(i)), F.lit(False)))
+    found = met.filter((F.size("w") >= size) & F.when(F.col("cut") > 0, F.lit(True)).otherwise(hit)).select("qid", *key, "no").distinct()
+    return found.groupBy("qid", *key).agg(F.count("*").alias("n_hit")).join(n, "qid")
+
+
+def snippets(rows: DataFrame, body: str = "body", terms: str = "terms", size: int = 28, marks: tuple[str, str, str] = ("[", "]", "…")) -> DataFrame:
+    """rows with snippet: the first window of `size` words that has the most different terms, these marked, with dots where text is left out."""
+    tokens, own = F.split(F.trim(X.collapse(body)), " "), F.col(terms)
+    row = rows.withColumn("_w", tokens).withColumn("_h", F.transform("_w", lambda w: F.array_intersect(X.words(w), own)))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_w") - size, F.lit(0)))
+    best = F.array_max(F.transform(starts, lambda i: F.struct(F.size(F.array_distinct(F.flatten(F.slice("_h", i + 1, F.lit(size))))).alias("n"), (-i).alias("at"))))
+    row = row.withColumn("_at", -best["at"])
+    shown = F.array_join(F.transform(F.slice(F.arrays_zip("_w", "_h"), F.col("_at") + 1, F.lit(size)), lambda x: F.when(F.size(x["_h"]) > 0, F.concat(F.lit(marks[0]), x["_w"], F.lit(marks[1]))).otherwise(x["_w"])), " ")
+    text = F.concat(F.when(F.col("_at") > 0, marks[2]).otherwise(""), shown, F.when(F.col("_at") + size < F.size("_w"), marks[2]).otherwise(""))
+    return row.withColumn("snippet", text).drop("_w", "_h", "_at")

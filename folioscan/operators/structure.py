@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,17 +11,25 @@ from pyspark.sql import functions as F
 
 from folioscan.functions import text as X
 
-# Sizes of chunks in characters, and the levels an outline may have.
+# Sizes of chunks in characters.
 MAX_CHUNK, MIN_CHUNK = 9000, 500
-LEVELS = 12
 # End of fixed values.
+#: Levels of outlines that windows serve; deeper ones are folded.
+LEVELS = 12
+
+
+def _depth(toc: DataFrame) -> int:
+    """The deepest level of an outline table: one small aggregate."""
+    return toc.agg(F.max("level")).first()[0] or 0
 
 
 def toc_spans(toc: DataFrame, doc: list[str]) -> DataFrame:
     """toc (doc, idx, level, title, page) with end_page: the page of the next entry that is no deeper, in order of page; null to the end.
 
-    One window frame a level looks ahead for entries of that level or above, so no pairs are made.
+    One window frame a level looks ahead for entries of that level or above, so no pairs are made. Outlines of more than LEVELS levels are folded, document by document.
     """
+    if _depth(toc) > LEVELS:
+        return _folded(toc, doc, ["page", "idx"], "end_page long", _ends)
     ahead = Window.partitionBy(*doc).orderBy("page", "idx").rowsBetween(1, Window.unboundedFollowing)
     out: Column = F.lit(None).cast("long")
     for level in range(LEVELS, 0, -1):
@@ -34,8 +42,10 @@ def toc_chains(toc: DataFrame, doc: list[str]) -> DataFrame:
     """toc with chain: the titles above each entry and its own, in reading order.
 
     The ancestor of each level is the last entry of that level since the last shallower one: a running maximum
-    of positions by level, without a stack.
+    of positions by level, without a stack. Outlines of more than LEVELS levels are folded, document by document.
     """
+    if _depth(toc) > LEVELS:
+        return _folded(toc, doc, ["idx"], "chain array<string>", _chains)
     w = Window.partitionBy(*doc).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
     titles, valid = [], []
     for level in range(1, LEVELS + 1):
@@ -47,6 +57,35 @@ def toc_chains(toc: DataFrame, doc: list[str]) -> DataFrame:
     return toc.withColumn("chain", F.concat(*parts))
 
 
+def _folded(toc: DataFrame, doc: list[str], order: list[str], out: str, fold) -> DataFrame:
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in toc.schema)
+
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
+        return rows.assign(**{out.split()[0]: pd.Series(fold(rows), dtype=object)})
+
+    return toc.groupBy(*doc).applyInPandas(of, f"{fields}, {out}")
+
+
+def _ends(rows: pd.DataFrame) -> list:
+    end, open_ = [None] * len(rows), []
+    for k, (level, page) in enumerate(zip(rows["level"].tolist(), rows["page"].tolist(), strict=True)):
+        while open_ and open_[-1][1] >= level:
+            end[open_.pop()[0]] = page
+        open_.append((k, level))
+    return end
+
+
+def _chains(rows: pd.DataFrame) -> list:
+    out, open_ = [], []
+    for level, title in zip(rows["level"].tolist(), rows["title"].tolist(), strict=True):
+        while open_ and open_[-1][0] >= level:
+            open_.pop()
+        open_.append((level, title))
+        out.append([t for _, t in open_])
+    return out
+
+
 def as_of(rows: DataFrame, marks: DataFrame, doc: list[str], at: str, mark_at: str, value: str, out: str) -> DataFrame:
     """rows with the value of the last mark at or before `at`, by one union and one window: no pairs are made."""
     both = rows.withColumn("_row", F.struct(*rows.columns)).select(*doc, F.col(at).alias("_at"), F.lit(1).alias("_side"), "_row", F.lit(None).cast(marks.schema[value].dataType).alias("_v"))
@@ -75,10 +114,27 @@ def only_range(points: DataFrame, ranges: DataFrame, by: list[str], point_id: st
 
 
 def overlapping(spans: DataFrame, chunks: DataFrame, key: list[str]) -> DataFrame:
-    """chunks (key, ord, page_start, page_end) with verdict: true if a span of the same key overlaps, false if none does, null without pages or spans."""
-    met = chunks.select(*key, "ord", "page_start", "page_end").join(spans.select(*key, F.col("page").alias("_s"), F.col("end_page").alias("_e")), key, "left")
-    hit = (F.col("_s") <= F.col("page_end")) & (F.col("_e").isNull() | (F.col("_e") >= F.col("page_start")))
-    return met.groupBy(*key, "ord").agg(F.bool_or(F.when(F.col("page_start").isNotNull() & F.col("_s").isNotNull(), hit)).alias("verdict"))
+    """chunks (key, ord, page_start, page_end) with verdict: true if a span of the same key overlaps, false if none does, null without pages or spans. Spans end where they begin, or after.
+
+    No pairs are made: spans that begin by the chunk's end, less those that end before its start, are running counts over one ordered union.
+    """
+    nil = F.lit(None).cast("long")
+    c = chunks.filter("page_start is not null and page_end is not null").select(*key, "ord", "page_start", "page_end")
+    begun = c.select(*key, F.col("page_end").cast("long").alias("_at"), F.lit(2).alias("_side"), "ord", "page_start", "page_end")
+    over = c.select(*key, F.col("page_start").cast("long").alias("_at"), F.lit(0).alias("_side"), "ord", "page_start", "page_end")
+    own = spans.filter("page is not null")
+    pad = [nil.cast(c.schema["ord"].dataType).alias("ord"), nil.cast(c.schema["page_start"].dataType).alias("page_start"), nil.cast(c.schema["page_end"].dataType).alias("page_end")]
+    starts = own.select(*key, F.col("page").cast("long").alias("_at"), F.lit(1).alias("_side"), *pad)
+    # A span that ends at e is over for chunks that start at e + 1: its row stands before theirs there, and counts with the sign of side -1.
+    ends = own.filter("end_page is not null").select(*key, (F.col("end_page") + 1).cast("long").alias("_at"), F.lit(-1).alias("_side"), *pad)
+    w = Window.partitionBy(*key).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    every = begun.unionByName(over).unionByName(starts).unionByName(ends)
+    counted = every.withColumn("_begun", F.count_if(F.col("_side") == 1).over(w)).withColumn("_over", F.count_if(F.col("_side") == -1).over(w))
+    hits = counted.filter("_side in (0, 2)").groupBy(*key, "ord", "page_start", "page_end").agg(F.max(F.when(F.col("_side") == 2, F.col("_begun"))).alias("_b"), F.max(F.when(F.col("_side") == 0, F.col("_over"))).alias("_o"))
+    known = own.select(*key).distinct().withColumn("_known", F.lit(True))
+    verdict = F.when(F.col("_known"), F.col("_b") > F.col("_o"))
+    met = hits.join(known, key, "left").select(*key, "ord", verdict.alias("verdict"))
+    return chunks.select(*key, "ord").join(met, [*key, "ord"], "left")
 
 
 def neighbours(rows: DataFrame, wanted: DataFrame, doc: list[str], ord_: str, around: int) -> DataFrame:
@@ -115,95 +171,125 @@ def backwards(rows: DataFrame, doc: list[str], ord_: str, page: str) -> DataFram
 
 # Bounded chunks: sequential within one text, so they are made in one call a text.
 
-_heading = re.compile(r"^(#{1,6})[ \t]+(\S.*)$")
-
-
-def _cut(text: str, at: list[tuple[int, int, str]], start: int, stop: int, heading: str, level: int) -> list[tuple[str, int, int, int]]:
-    """(heading, level, start, stop) pieces of text[start:stop] at the marks (level, offset, heading) inside it."""
-    out, begin = [], (heading, level, start)
-    for lv, off, title in at:
-        if off > begin[2]:
-            out.append((begin[0], begin[1], begin[2], off))
-        begin = (title, lv, off)
-    out.append((*begin, stop))
-    return [x for x in out if x[2] < x[3]]
-
-
-def headings(text: str) -> list[tuple[int, int, str]]:
-    """(level, offset, title) of the headings outside fenced code."""
-    out, off, code = [], 0, False
-    for line in text.split("\n"):
-        if line.lstrip().startswith("```"):
-            code = not code
-        elif not code and (m := _heading.match(line)) and any(c.isalnum() for c in m[2]):
-            out.append((len(m[1]), off, m[2].strip().strip("*_` ")))
-        off += len(line) + 1
-    return out
+_heading = re.compile(r"^(#{1,6})[ \t]+(.+?)[ \t]*$", re.M)
+_bold = re.compile(r"^\*\*([^*\n]{2,80})\*\*[ \t]*$", re.M)
+INTRO = "(intro)"
 
 
-def chunk_spans(text: str, most: int = MAX_CHUNK, least: int = MIN_CHUNK) -> list[tuple[str, int, int, int]]:
-    """(heading, level, start, stop) of chunks of at most `most` characters that together are the text.
+class Headings:
+    """The headings of a text, by level and place; found once, however often a part is cut. With `bold`, lines that are bold and nothing else are headings too."""
 
-    Cut at headings of levels one and two; what is too long, at the shallowest deeper headings in it, then between
-    paragraphs, then lines, then anywhere. Neighbours under `least` are joined to what follows under the same heading.
-    """
-    if not text:
-        return []
-    marks = headings(text)
-    todo = _cut(text, [m for m in marks if m[0] <= 2], 0, len(text), "", 0)
-    out: list[tuple[str, int, int, int]] = []
-    while todo:
-        title, level, a, b = todo.pop(0)
-        if b - a <= most:
-            out.append((title, level, a, b))
-            continue
-        inner = [m for m in marks if a < m[1] < b and m[0] > level]
-        if inner:
-            top = min(m[0] for m in inner)
-            todo[:0] = _cut(text, [m for m in inner if m[0] == top], a, b, title, level)
-            continue
-        out += _packed(text, title, level, a, b, most)
-    joined: list[tuple[str, int, int, int]] = []
-    for piece in out:
-        if joined and joined[-1][0] == piece[0] and (joined[-1][3] - joined[-1][2] < least or piece[3] - piece[2] < least) and piece[3] - joined[-1][2] <= most:
-            joined[-1] = (*joined[-1][:3], piece[3])
+    def __init__(self, text: str, bold: bool = False):
+        self.by_level: list[list[tuple[int, str]]] = [[] for _ in range(7)]
+        for m in _heading.finditer(text):
+            if any(c.isalnum() for c in m[2]):
+                self.by_level[len(m[1])].append((m.start(), m[2].strip()))
+        self.bold = [(m.start(), f"**{m[1].strip()}**") for m in _bold.finditer(text)] if bold else []
+
+    @staticmethod
+    def _within(own: list[tuple[int, str]], a: int, b: int) -> list[tuple[int, str]]:
+        return own[bisect_left(own, (a, "")) : bisect_left(own, (b, ""))]
+
+    def top(self) -> list[tuple[int, int, str]]:
+        found = {at: (at, 2, t) for at, t in self.bold}
+        found |= {at: (at, level, t) for level in (1, 2) for at, t in self.by_level[level]}
+        return sorted(found.values())
+
+    def below(self, level: int, a: int, b: int) -> list[tuple[int, int, str]]:
+        """Headings of the shallowest level from `level` on that text[a:b] has."""
+        for lv in range(level, 7):
+            if found := self._within(self.by_level[lv], a, b):
+                return [(at, lv, t) for at, t in found]
+        return [(at, level, t) for at, t in self._within(self.bold, a, b)]
+
+
+Span = tuple[str, int, int, int]  # heading, level, start, stop
+
+
+def _cut(text: str, marks: list[tuple[int, int, str]], a: int, b: int, heading: str = INTRO, level: int = 0) -> list[Span]:
+    """text[a:b] cut at the marks; what stands before the first is an introduction, unless it is blank."""
+    edges = [at for at, *_ in marks] + [b]
+    out = [(heading, level, a, edges[0])] if text[a : edges[0]].strip() else []
+    return out + [(t, lv, at, end) for (at, lv, t), end in zip(marks, edges[1:], strict=True)]
+
+
+def _grouped(spans: list[Span], closed) -> list[Span]:
+    """Neighbours joined until closed(group, next) says so; a group has the heading of its first."""
+    out: list[Span] = []
+    for s in spans:
+        if out and not closed(out[-1], s):
+            out[-1] = (*out[-1][:3], s[3])
         else:
-            joined.append(piece)
-    return joined
+            out.append(s)
+    return out
 
 
-def _packed(text: str, title: str, level: int, a: int, b: int, most: int) -> list[tuple[str, int, int, int]]:
-    """text[a:b] in the fewest pieces that end at a paragraph, else at a line, else at a blank, else anywhere."""
+def _paragraphs(text: str, heading: str, level: int, a: int, b: int, most: int) -> list[Span]:
+    """text[a:b] in pieces of whole paragraphs, parted where the next would not fit; a paragraph that is too long itself is cut at lines, else anywhere."""
+    edges = [a, *(m.end() for m in re.compile("\n\n").finditer(text, a, b))]
+    pieces: list[tuple[int, int]] = []
+    used = 0
+    for p, q in zip(edges, [*edges[1:], b + 2], strict=True):
+        size = q - p
+        if pieces and used + size <= most:
+            pieces[-1], used = (pieces[-1][0], q - 2), used + size
+        else:
+            pieces.append((p, q - 2))
+            used = size
     out = []
-    while b - a > most:
-        stop = a + most
-        for mark in ("\n\n", "\n", " "):
-            at = text.rfind(mark, a + 1, a + most - len(mark) + 1)
-            if at > a:
-                stop = at + len(mark)
-                break
-        out.append((title, level, a, stop))
-        a = stop
-    return [*out, (title, level, a, b)]
+    for p, q in pieces:
+        while q - p > most:
+            at = text.rfind("\n", p, p + most)
+            at = at if at > p else p + most
+            out.append((p, at))
+            p = at
+        if p < q or not out:
+            out.append((p, q))
+    return [(heading if k == 0 else f"{heading} (cont.)", level, p, q) for k, (p, q) in enumerate(out)] if len(out) > 1 else [(heading, level, a, b)]
+
+
+def _bounded(text: str, own: Headings, span: Span, most: int) -> list[Span]:
+    """A span in pieces of at most `most` characters: at the shallowest deeper headings, again where a piece is too long, siblings packed; without such headings, at paragraphs."""
+    heading, level, a, b = span
+    if b - a <= most:
+        return [span]
+    intro = INTRO if heading == INTRO else f"{heading} {INTRO}"
+    parts = _cut(text, marks, a, b, intro, level) if (marks := own.below(level + 1, a, b)) else []
+    if len(parts) < 2:
+        return _paragraphs(text, heading, level, a, b, most)
+    return _grouped([x for p in parts for x in _bounded(text, own, p, most)], lambda g, s: s[3] - g[2] > most)
+
+
+def chunk_spans(text: str, most: int = MAX_CHUNK, least: int = MIN_CHUNK, bold: bool = False, sections: frozenset[str] = frozenset()) -> list[Span]:
+    """(heading, level, start, stop) of chunks of at most `most` characters; only blanks are in none.
+
+    Cut at headings of the first two levels (and bold lines, if asked), see _bounded for what is too long; then neighbours are joined until they have `least` characters, never across
+    a heading of `sections` (title keys).
+    """
+    own = Headings(text, bold)
+    top = own.top()
+    spans = _cut(text, top, 0, len(text)) if top else [(INTRO, 0, 0, len(text))] if text.strip() else []
+    pieces = [x for s in spans for x in _bounded(text, own, s, most)]
+    return _grouped(pieces, lambda g, s: g[3] - g[2] >= least or s[3] - g[2] > most or section_key(s[0]) in sections)
+
+
+def section_key(heading: str) -> str:
+    bare = re.sub(r"\s*\((?:intro|cont\.)\)\s*$", "", heading).strip("#*_` ")
+    return " ".join(re.sub(r"(?i)^(?:chapter|appendix|section)\s+\w{1,4}\s*[:.]?\s+|^\d+(?:\.\d+)*\.?\s+", "", bare).split()).lower()
 
 
 CHUNKS = "ord int, heading string, level int, start int, stop int, body string"
 
 
-def chunks(docs: DataFrame, key: list[str], text: str = "text", most: int = MAX_CHUNK, least: int = MIN_CHUNK) -> DataFrame:
-    """(key, ord, heading, level, start, stop, body) of every document, one text at a time in the task that reads it."""
+def chunks(docs: DataFrame, key: list[str], text: str = "text", most: int = MAX_CHUNK, least: int = MIN_CHUNK, bold: bool = False) -> DataFrame:
+    """(key, ord, heading, level, start, stop, body) of every document; one Arrow batch out for each in."""
+    from .passages import mapped
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                own = row[-1] or ""
-                spans = chunk_spans(own, most, least)
-                if spans:
-                    out = pd.DataFrame([(*row[:-1], i, t, lv, a, b, own[a:b]) for i, (t, lv, a, b) in enumerate(spans)], columns=[*key, "ord", "heading", "level", "start", "stop", "body"])
-                    yield out
+    def make(own: str | None):
+        own = own or ""
+        return ((i, t, lv, a, b, own[a:b]) for i, (t, lv, a, b) in enumerate(chunk_spans(own, most, least, bold)))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*key).schema)
-    return docs.select(*key, text).mapInPandas(run, f"{schema}, {CHUNKS}")
+    return mapped(docs, key, [text], CHUNKS, make)
 
 
 def breadcrumbs(chunks_: DataFrame, toc: DataFrame, doc: list[str], title: str = "title") -> DataFrame:

@@ -112,20 +112,20 @@ def _entries(spark, sf_dir):
 
 
 @query("""WITH e AS (SELECT l_suppkey AS slug, p_name || ' ' || p_partkey AS entity, count(*) AS chunk_count, min(l_orderkey) AS page_start, max(l_orderkey + l_linenumber) AS page_end FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),
-q AS (SELECT p_partkey AS qid, upper(p_name) || '  ' || p_partkey AS name FROM part WHERE p_size = 7) SELECT qid, q.name, slug, entity, chunk_count, page_start, page_end FROM q LEFT JOIN e ON lower(e.entity) = trim(regexp_replace(lower(q.name), '\\s+', ' ', 'g'), ' ')""")
+q AS (SELECT p_partkey AS qid, upper(p_name) || '  ' || p_partkey AS name FROM part) SELECT qid, q.name, slug, entity, chunk_count, page_start, page_end FROM q LEFT JOIN e ON lower(e.entity) = trim(regexp_replace(lower(q.name), '\\s+', ' ', 'g'), ' ')""")
 def entity_lookup(spark, sf_dir):
-    """Parts of size seven, asked for in capitals."""
-    asked = table(spark, sf_dir, "part").filter("p_size = 7").select(F.col("p_partkey").alias("qid"), F.concat(F.upper("p_name"), F.lit("  "), F.col("p_partkey").cast("string")).alias("name"))
+    """All parts, asked for in capitals and with blanks."""
+    asked = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("qid"), F.concat(F.upper("p_name"), F.lit("  "), F.col("p_partkey").cast("string")).alias("name"))
     return L.lookup(asked, L.entities(_entries(spark, sf_dir), ["slug"]), ["slug"])
 
 
-_RANGES = "s AS (SELECT o_custkey AS doc, o_orderkey AS sec, o_orderkey AS ps, o_orderkey + 1 + o_orderkey % 40 AS pe FROM orders), f AS (SELECT o_custkey AS doc, o_orderkey AS fig, o_orderkey + 5 AS page FROM orders WHERE o_orderkey % 3 = 0)"
+_RANGES = "s AS (SELECT o_custkey AS doc, o_orderkey AS sec, o_orderkey AS ps, o_orderkey + 1 + o_orderkey % 40 AS pe FROM orders), f AS (SELECT o_custkey AS doc, o_orderkey AS fig, o_orderkey + 5 AS page FROM orders)"
 
 
 def _ranges(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    return o.select(F.col("o_custkey").alias("doc"), k.alias("sec"), k.alias("ps"), (k + 1 + k % 40).alias("pe")), o.filter(k % 3 == 0).select(F.col("o_custkey").alias("doc"), k.alias("fig"), (k + 5).alias("page"))
+    return o.select(F.col("o_custkey").alias("doc"), k.alias("sec"), k.alias("ps"), (k + 1 + k % 40).alias("pe")), o.select(F.col("o_custkey").alias("doc"), k.alias("fig"), (k + 5).alias("page"))
 
 
 @query(f"WITH {_RANGES} SELECT fig, min(sec) AS sec FROM f JOIN s ON s.doc = f.doc AND page BETWEEN ps AND pe GROUP BY fig HAVING count(*) = 1")
@@ -135,15 +135,15 @@ def page_containment(spark, sf_dir):
     return T.only_range(figures, sections, ["doc"], "fig", "page", "ps", "pe", "sec")
 
 
-@query("""WITH s AS (SELECT l_partkey AS k, l_orderkey AS page, CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_orderkey + 3000 END AS e FROM lineitem WHERE l_linenumber <= 2 OR l_linenumber = 4), c AS (SELECT l_partkey AS k, l_orderkey * 10 + l_linenumber AS ord, l_orderkey + 100 AS ps, l_orderkey + 200 AS pe FROM lineitem WHERE l_linenumber = 3)
-SELECT c.k, c.ord, bool_or(CASE WHEN s.page IS NOT NULL THEN s.page <= pe AND (s.e IS NULL OR s.e >= ps) END) AS verdict FROM c LEFT JOIN s ON s.k = c.k GROUP BY c.k, c.ord""")
+@query("""WITH s AS (SELECT l_partkey AS k, l_orderkey AS page, CASE WHEN l_linenumber % 4 = 0 AND l_orderkey % 64 = 0 THEN NULL ELSE l_orderkey + l_linenumber END AS e FROM lineitem), c AS (SELECT l_partkey AS k, l_orderkey * 10 + l_linenumber AS ord, l_orderkey + 100 AS ps, CASE WHEN l_linenumber < 7 THEN l_orderkey + 200 END AS pe FROM lineitem)
+SELECT c.k, c.ord, bool_or(CASE WHEN s.page IS NOT NULL AND pe IS NOT NULL THEN s.page <= pe AND (s.e IS NULL OR s.e >= ps) END) AS verdict FROM c LEFT JOIN s ON s.k = c.k GROUP BY c.k, c.ord""")
 def interval_overlap(spark, sf_dir):
     """Lines of a part as outline spans and as chunks: whether a span of the same key overlaps."""
     li = table(spark, sf_dir, "lineitem")
     n = F.col("l_linenumber")
-    spans = li.filter((n <= 2) | (n == 4)).select(F.col("l_partkey").alias("k"), F.col("l_orderkey").alias("page"), F.when(n % 4 != 0, F.col("l_orderkey") + 3000).alias("end_page"))
-    chunks = li.filter(n == 3).select(F.col("l_partkey").alias("k"), (F.col("l_orderkey") * 10 + n).alias("ord"), (F.col("l_orderkey") + 100).alias("page_start"), (F.col("l_orderkey") + 200).alias("page_end"))
-    return T.overlapping(spans, chunks, ["k"])
+    spans = li.select(F.col("l_partkey").alias("k"), F.col("l_orderkey").alias("page"), F.when((n % 4 != 0) | (F.col("l_orderkey") % 64 != 0), F.col("l_orderkey") + n).alias("end_page"))
+    chunks = li.select(F.col("l_partkey").alias("k"), (F.col("l_orderkey") * 10 + n).alias("ord"), (F.col("l_orderkey") + 100).alias("page_start"), F.when(n < 7, F.col("l_orderkey") + 200).alias("page_end"))
+    return T.overlapping(spans, chunks.distinct(), ["k"])
 
 
 _TOC = """toc AS (SELECT r_regionkey AS doc, row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey, lv, s_suppkey) AS idx, lv AS level, title, CASE lv WHEN 1 THEN n_nationkey * 1000 ELSE n_nationkey * 1000 + s_suppkey END AS page FROM (
@@ -205,11 +205,11 @@ def call_summary(spark, sf_dir):
     return K.summary(table(spark, sf_dir, "events").select(F.col("event_type").alias("tool"), F.col("value").alias("ms"), (F.col("value") > 100).alias("error")))
 
 
-@query(r"""WITH c AS (SELECT conv_id * 100 + turn AS p, text, lower(trim(regexp_replace(left(text, 12), '[ \t\n\v\f\r]+', ' ', 'g'), ' ')) AS key FROM conversations WHERE role = 'user')
-SELECT key, count(*) AS n, arg_max(left(text, 12), p) AS last, min(p) AS first_at FROM c GROUP BY key""")
+@query(r"""WITH c AS (SELECT conv_id * 100 + turn AS p, text, lower(trim(regexp_replace(text, '[ \t\n\v\f\r]+', ' ', 'g'), ' ')) AS key FROM conversations WHERE role = 'user')
+SELECT key, count(*) AS n, arg_max(text, p) AS last, min(p) AS first_at FROM c GROUP BY key""")
 def search_groups(spark, sf_dir):
-    """User turns by their first twelve characters, as searches alike."""
-    rows = table(spark, sf_dir, "conversations").filter("role = 'user'").select(F.left("text", F.lit(12)).alias("q"), (F.col("conv_id") * 100 + F.col("turn")).alias("at"))
+    """User turns as searches, alike but for case and blanks."""
+    rows = table(spark, sf_dir, "conversations").filter("role = 'user'").select(F.col("text").alias("q"), (F.col("conv_id") * 100 + F.col("turn")).alias("at"))
     return K.groups(rows, "q", [], "at")
 
 

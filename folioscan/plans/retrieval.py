@@ -9,8 +9,10 @@ from folioscan.functions import text as X
 from folioscan.functions.udfs import stem_term
 from folioscan.operators import compare as C
 from folioscan.operators import evaluate as E
+from folioscan.operators import index as I
 from folioscan.operators import lookup as L
 from folioscan.operators import search as S
+from folioscan.sources import store
 
 from .registry import query, table
 
@@ -32,7 +34,6 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, do
 """
 _STOP = ", ".join(f"'{w}'" for w in X.STOPWORDS)
 _ITEMS = rf"asked AS (SELECT item_id AS qid, list_distinct({_TOKENS}) AS terms FROM benchmark)"
-_HEADS = rf"asked AS (SELECT item_id AS qid, list_distinct(({_TOKENS})[1:4]) AS terms FROM benchmark)"
 
 
 def _docs(spark, sf_dir):
@@ -43,14 +44,26 @@ def _items(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.array_distinct(X.words("text")).alias("terms"))
 
 
+def _index(spark, sf_dir):
+    """Postings, lengths and terms of the documents: built by the first query that needs them, read by all."""
+    docs = _docs(spark, sf_dir)
+
+    def make():
+        return I.postings(docs, ["doc_id", "source"], {"text": 1.0})
+
+    found = store.built(spark, "postings", [docs], make)
+    return found | store.built(spark, "terms", [docs], lambda: {"terms": I.terms(found["postings"])})
+
+
 def _scored(spark, sf_dir, queries):
-    return S.bm25(queries, _docs(spark, sf_dir), ["doc_id", "source"], {"text": 1.0})
+    own = _index(spark, sf_dir)
+    return S.ranked(queries, own["postings"], own["lengths"], ["doc_id", "source"])
 
 
 @query(rf"""WITH t AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents) SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM t GROUP BY term""")
 def term_stats(spark, sf_dir):
     """Document and collection frequency of every term."""
-    return S.term_stats(_docs(spark, sf_dir), ["doc_id"], "text")
+    return _index(spark, sf_dir)["terms"].select("term", "df", F.col("cf").cast("long").alias("cf"))
 
 
 @query(f"WITH {_ITEMS}, {_SCORED}, {_CAPPED.format('scored')} SELECT qid, rank, doc_id, score FROM ranked WHERE rank <= 10")
@@ -59,14 +72,19 @@ def bm25_topk(spark, sf_dir):
     return S.capped(_scored(spark, sf_dir, _items(spark, sf_dir)), ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score")
 
 
-@query(f"""WITH {_HEADS}, {_SCORED},
-m AS (SELECT *, count(*) FILTER (WHERE n_hit = n_terms) OVER (PARTITION BY qid) >= 10 AS enough FROM scored JOIN nt USING (qid)),
+_RARE = "asked AS (SELECT qid, list(term ORDER BY df, term)[1:4] AS terms FROM (SELECT item_id AS qid, unnest(list_distinct(" + _TOKENS + ")) AS term FROM benchmark) JOIN (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(" + _TOKENS + ") AS term FROM documents) GROUP BY term) USING (term) GROUP BY qid)"
+
+
+@query(f"""WITH {_RARE}, {_SCORED},
+m AS (SELECT *, count(*) FILTER (WHERE n_hit = n_terms) OVER (PARTITION BY qid) >= 3 AS enough FROM scored JOIN nt USING (qid)),
 c AS (SELECT *, CASE WHEN enough THEN 'all' ELSE 'any' END AS mode FROM m WHERE NOT enough OR n_hit = n_terms),
 {_CAPPED.format('c')} SELECT qid, rank, doc_id, score, mode FROM ranked WHERE rank <= 10""")
 def bm25_and_or(spark, sf_dir):
-    """The first four words of each item: documents with all of them, or with any where those are too few."""
-    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.array_distinct(F.slice(X.words("text"), 1, 4)).alias("terms"))
-    return S.capped(S.all_else_any(_scored(spark, sf_dir, asked), 10), ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score", "mode")
+    """The four rarest words of each whole item: documents with all of them, or with any where those are fewer than three."""
+    df = _index(spark, sf_dir)["terms"].select("term", "df")
+    flat = _items(spark, sf_dir).select("qid", F.explode("terms").alias("term")).join(df, "term")
+    asked = flat.groupBy("qid").agg(F.slice(F.transform(F.sort_array(F.collect_list(F.struct("df", "term"))), lambda x: x.term), 1, 4).alias("terms"))
+    return S.capped(S.all_else_any(_scored(spark, sf_dir, asked), 3), ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score", "mode")
 
 
 @query(rf"""WITH {_ITEMS}, {_SCORED}, its AS (SELECT item_id AS qid, row_number() OVER (ORDER BY item_id) - 1 AS k, count(*) OVER () AS n_items, text AS asked_text, regexp_extract_all(lower(text), '[0-9a-z]+') AS c,
@@ -119,14 +137,13 @@ def light_stem_vocab(spark, sf_dir):
 @query()
 def stemmed_search(spark, sf_dir):
     """bm25_topk over folded Porter stems: only distinct words are stemmed."""
-    docs = _docs(spark, sf_dir).select("doc_id", "source", F.explode(X.words("text")).alias("w")).groupBy("doc_id", "source", "w").agg(F.count("*").alias("k"))
-    stems = docs.select("w").distinct().select("w", stem_term("w").alias("s"))
-    counted = docs.join(stems, "w").groupBy("doc_id", "source", "s").agg(F.sum("k").cast("int").alias("k"))
-    flat = counted.groupBy("doc_id", "source").agg(F.array_join(F.flatten(F.collect_list(F.array_repeat("s", F.col("k")))), " ").alias("text"))
+    own = _index(spark, sf_dir)
+    stems = own["terms"].select("term", "stem")
     asked = _items(spark, sf_dir).select("qid", F.explode("terms").alias("w"))
     terms = asked.join(asked.select("w").distinct().select("w", stem_term("w").alias("s")), "w").groupBy("qid").agg(F.collect_set("s").alias("terms"))
-    scored = S.bm25(terms, flat, ["doc_id", "source"], {"text": 1.0}, lambda c: F.split(c, " "))
-    return S.capped(scored, ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score")
+    wanted = stems.join(terms.select(F.explode("terms").alias("stem")).distinct(), "stem", "left_semi")
+    found = own["postings"].join(wanted, "term").groupBy("doc_id", "source", "n_tokens", F.col("stem").alias("term")).agg(F.sum("f").alias("f"))
+    return S.capped(S.ranked(terms, found, own["lengths"], ["doc_id", "source"]), ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score")
 
 
 _QUOTES = """pairs AS (SELECT item_id, doc_id FROM (SELECT item_id, trim(regexp_replace(text, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ') AS quote FROM benchmark), (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ') AS body FROM documents) WHERE quote <> '' AND contains(body, quote))"""

@@ -246,9 +246,10 @@ def chunk_spans(spark, sf_dir):
     return T.chunks(table(spark, sf_dir, "documents"), ["doc_id"], "text", 2000, 200).select("doc_id", "ord", "start", "stop", F.md5("body").alias("digest"))
 
 
-@query("""SELECT doc_id, (CASE WHEN n_chars > 0 THEN (n_chars + 1999) // 2000 ELSE 0 END) > 0 AS some, n_chars FROM documents""")
+@query("""SELECT doc_id, md5(regexp_replace(text, '\\s+', '', 'g')) AS digest, length(text) > 2000 AS several FROM documents WHERE regexp_replace(text, '\\s+', '', 'g') <> ''""")
 def chunk_cover(spark, sf_dir):
-    """Chunks cover each document exactly: the sum of their sizes is its size."""
+    """Chunks have all of each document but blanks, each within its bound, and more than one of them where the text is longer."""
     spans = T.chunks(table(spark, sf_dir, "documents"), ["doc_id"], "text", 2000, 200)
-    per = spans.groupBy("doc_id").agg(F.sum(F.length("body")).alias("n"))
-    return table(spark, sf_dir, "documents").select("doc_id").join(per, "doc_id", "left").select("doc_id", F.col("n").isNotNull().alias("some"), F.coalesce("n", F.lit(0)).alias("n_chars"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", "body"))), lambda x: x.body), "")
+    per = spans.groupBy("doc_id").agg(F.md5(F.regexp_replace(whole, r"[ \t\n\x0B\f\r]+", "")).alias("digest"), F.max(F.col("stop") - F.col("start")).alias("longest"), (F.count("*") > 1).alias("several"))
+    return per.filter("longest <= 2000").select("doc_id", "digest", "several")
