@@ -174,7 +174,7 @@ def split_by(key: np.ndarray, arrays: list[np.ndarray]) -> Iterator[tuple[int, l
 def first_of(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of the first (doc, pos) of each key, and of the rows that have an earlier one.
 
-    Keys are equal if their 32 check bits are too, 96 bits in all: rows of different checks that share a key part where they meet.
+    Keys are equal if their checks are too: rows of different checks that share a key part where they meet.
     A row at the very place of the first (a repeated input row) is neither.
     """
     order = np.lexsort((pos, doc, key))

@@ -17,8 +17,9 @@ windows that share an anchor make up one stretch of text.
 4. Covered parts are gathered by document and cut out.
 
 An order by the hash of a suffix's first bytes serves for the suffix arrays: only equality over a bounded length is
-asked for, and any order of such prefixes brings equal ones together. 96 bits of two independent hashes with random byte values
-stand for byte equality.
+asked for, and any order of such prefixes brings equal ones together. Hashes with random byte values stand
+for byte equality: of a stretch 64 bits of its own and the 48 of its anchor's k-gram, which equal stretches share; of a single window 64 bits
+and 16 of a second hash. (At 100 TB some 15 of 6e12 windows may be taken for equal by chance; with 64 bits it would be a million.)
 
 Defined results: a null text is empty; a text shorter than `length` loses nothing; rows that repeat a doc_id
 count as that one document (none is earlier than the other) and each gets a result row; rows without a
@@ -44,9 +45,9 @@ LENGTH = 100
 GRAM = 32
 #: Row kinds besides covered parts: stretches and grams by bucket, edge stretches by document, windows by bucket.
 STRETCH, GRAMS, EDGE, WINDOW = range(1, 5)
-STRETCHES = ["<u8", "<i8", "<i4", "<u4", "<u8", "<i2", "<i2"]  # key, doc, pos, check, gram, first and last window relative to pos
+STRETCHES = ["<u8", "<i8", "<i4", "<u8", "<i2", "<i2"]  # key, doc, pos, gram, first and last window relative to pos
 GRAM_ROWS = ["<u8", "<i8", "<i4", "<i2", "<i2"]
-WINDOWS = ["<u8", "<i8", "<i4", "<u4"]
+WINDOWS = ["<u8", "<i8", "<i4", "<u2"]  # key, doc, pos, check
 EDGES = ["<i4", "<i2", "<i2"]
 #: Bits of a gram's hash: it only says where to look closer.
 GRAM_BITS = np.uint64((1 << 48) - 1)
@@ -74,16 +75,18 @@ class Hashed:
 
     def __init__(self, data: np.ndarray):
         up, self.down = _powers(len(data) + 1)
-        self.sums, self.checks = np.zeros(len(data) + 1, np.uint64), np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_VALUE[data] * up[: len(data)], out=self.sums[1:])
-        np.cumsum(_VALUE2[data] * up[: len(data)], out=self.checks[1:])
+        self.data, self.up = data, up[: len(data)]
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUE[data] * self.up, out=self.sums[1:])
 
     def of(self, start: np.ndarray, size) -> np.ndarray:
         return mix((self.sums[start + size] - self.sums[start]) * self.down[start])
 
     def check(self, start: np.ndarray, size) -> np.ndarray:
-        """The upper half of a hash with other byte values."""
-        return (mix((self.checks[start + size] - self.checks[start]) * self.down[start]) >> np.uint64(32)).astype("<u4")
+        """The upper 16 bits of a hash with other byte values."""
+        sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(_VALUE2[self.data] * self.up, out=sums[1:])
+        return (mix((sums[start + size] - sums[start]) * self.down[start]) >> np.uint64(48)).astype("<u2")
 
     def all(self, size: int) -> np.ndarray:
         """Of every start."""
@@ -131,7 +134,7 @@ def stretches(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: in
     lo, hi, at, doc = window[first], window[last], anchor[first], doc[first]
     key = hashed.of(lo, hi - lo + length)
     key = mix(key ^ ((at - lo).astype(np.uint64) << np.uint64(20)) ^ (hi - lo + 1).astype(np.uint64))
-    return [key, docs[doc], (at - starts[doc]).astype("<i4"), hashed.check(lo, hi - lo + length), hashed.of(at, gram) & GRAM_BITS, (lo - at).astype("<i2"), (hi - at).astype("<i2")]
+    return [key, docs[doc], (at - starts[doc]).astype("<i4"), hashed.of(at, gram) & GRAM_BITS, (lo - at).astype("<i2"), (hi - at).astype("<i2")]
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -150,7 +153,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
             own = stretches(data, starts, np.asarray(batch.column(0).fill_null(NO_ID)), length, gram)
             first, later = first_of(*own[:4])
             rows, lost = Rows(), [c[later] for c in own]
-            rows.cover(COVERED, lost[1], lost[2] + lost[5], lost[2] + lost[6] + length)
+            rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
             own = [c[np.sort(first)] for c in own]
             rows.add(STRETCH, (own[0] % n).astype(np.int64), own)
             yield rows.batch()
@@ -159,8 +162,8 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         levels = Levels(STRETCHES)
         for p in payloads:
             lost = levels.add(columns_of(p, STRETCHES))
-            rows.cover(COVERED, lost[1], lost[2] + lost[5], lost[2] + lost[6] + length)
-        _, doc, pos, _, g, lo, hi = levels.all()
+            rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
+        _, doc, pos, g, lo, hi = levels.all()
         # One of each gram goes on to meet those of other buckets; the others are known to be edges, and make it one as well.
         order = np.argsort(g, kind="stable")
         new = np.ones(len(g), bool)
