@@ -163,7 +163,7 @@ def phrases(query: Column | str) -> Column:
     """
     q = F.col(query) if isinstance(query, str) else query
     quoted = F.regexp_extract_all(q, F.lit('"([^"]*)"'), F.lit(1))
-    loose = F.filter(F.split(F.regexp_replace(q, '"[^"]*"', " "), X.SPACES), lambda w: X.ascii_words(w)[0].isNotNull())
+    loose = F.filter(F.split(F.regexp_replace(q, '"[^"]*"', " "), X.SPACES), lambda w: F.size(X.ascii_words(w)) > 0)
     content = F.filter(loose, lambda w: ~F.forall(X.ascii_words(w), lambda p: p.isin(X.STOPWORDS)))
     quoted = F.filter(quoted, lambda w: F.size(X.ascii_words(w)) > 0)
     singles = F.when((F.size(content) > 0) | (F.size(quoted) > 0), content).otherwise(loose)
@@ -180,17 +180,17 @@ def phrase_matches(queries: DataFrame, docs: DataFrame, key: list[str], field: s
     short = (F.size("words") == 1) & F.col("prefix")
     # A prefix word meets every prefix of its own length; other terms meet whole first words (length 0).
     terms = terms.withColumn("cut", F.when(short, F.length(F.get("words", F.lit(0)))).otherwise(0)).withColumn("first", F.get("words", F.lit(0)))
-    cuts = terms.agg(F.array_distinct(F.concat(F.collect_set("cut"), F.array(F.lit(0))))).scalar()  # as many as there are lengths of prefixes
+    cuts = F.array(*[F.lit(n) for n in sorted({0, *(r.cut for r in terms.select("cut").distinct().collect())})])  # as many as there are lengths of prefixes
     own = docs.select(*key, X.ascii_words(F.coalesce(F.col(field), F.lit(""))).alias("w"))
-    heads = own.select(*key, "w", F.explode(F.array_distinct("w")).alias("word")).withColumn("cut", F.explode(cuts))
-    heads = heads.filter((F.col("cut") == 0) | (F.length("word") >= F.col("cut"))).select(*key, "w", "cut", F.when(F.col("cut") == 0, F.col("word")).otherwise(F.left("word", F.col("cut"))).alias("first")).distinct()
-    met = heads.join(terms, ["first", "cut"])
-    size = F.size("words")
-    run = lambda i: F.slice("w", i + 1, size)
-    last = lambda r: F.when(F.col("prefix"), F.element_at(r, -1).startswith(F.element_at("words", -1))).otherwise(F.element_at(r, -1) == F.element_at("words", -1))
-    same = lambda r: (F.size(r) == size) & (F.slice(r, 1, size - 1) == F.slice("words", 1, size - 1)) & last(r)
-    hit = F.exists(F.sequence(F.lit(0), F.greatest(F.size("w") - size, F.lit(0))), lambda i: F.coalesce(same(run(i)), F.lit(False)))
-    found = met.filter((F.size("w") >= size) & F.when(F.col("cut") > 0, F.lit(True)).otherwise(hit)).select("qid", *key, "no").distinct()
+    firsts = F.flatten(F.transform(F.array_distinct("w"), lambda x: F.transform(F.filter(cuts, lambda n: (n == 0) | (F.length(x) >= n)), lambda n: F.struct(n.alias("cut"), F.when(n == 0, x).otherwise(F.left(x, n)).alias("first")))))
+    few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    heads = own.select(*key, F.inline(F.array_distinct(firsts))).join(F.broadcast(terms) if few else terms, ["first", "cut"])
+    # Single words are found by now; only runs of several are looked for in the text.
+    single = heads.filter((F.size("words") == 1) & ((F.col("cut") > 0) | ~F.col("prefix"))).select("qid", *key, "no")
+    met = heads.filter((F.size("words") > 1) | ((F.col("cut") == 0) & F.col("prefix"))).join(own, key)
+    # Words joined by single blanks: a run of them is a part of that text.
+    text, run = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")), F.concat(F.lit(" "), F.array_join("words", " "), F.when(F.col("prefix"), "").otherwise(" "))
+    found = met.withColumn("_t", text).filter(F.col("_t").contains(run)).select("qid", *key, "no").union(single).distinct()
     return found.groupBy("qid", *key).agg(F.count("*").alias("n_hit")).join(n, "qid")
 
 
