@@ -149,9 +149,12 @@ def release_of(version: Column | str) -> Column:
     return F.when(bare != "", F.struct(F.trim(bare).alias("version"), F.lit(True).alias("later"))).otherwise(F.struct(F.nullif(v, F.lit("")).alias("version"), F.lit(False).alias("later")))
 
 
-def filename_agrees(named: Column | str, shown: Column | str) -> Column:
-    """Whether a file name's release is the cover's, or says only more or less of it: one's dotted numbers begin the other's, and no two service packs differ."""
-    a, b = X.version_key(named), X.version_key(shown)
+def filename_agrees(named: Column | str, shown: Column | str, named_key: Column | str | None = None, shown_key: Column | str | None = None) -> Column:
+    """Whether a file name's release is the cover's, or says only more or less of it: one's dotted numbers begin the other's, and no two service packs differ.
+
+    Keys that are columns already need not be made again.
+    """
+    a, b = (X.version_key(v) if k is None else _c(k) for v, k in ((named, named_key), (shown, shown_key)))
     cut = lambda k: F.array_position(k, F.lit(-1).cast("long")).cast("int")
     dotted = lambda k: F.slice(k, F.lit(1), F.greatest(cut(k) - 1, F.lit(0)))
     pack = lambda v: F.regexp_extract(X.norm_version(v), r"SP([0-9]+(?:-[0-9]+)?)", 1)

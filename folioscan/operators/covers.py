@@ -22,11 +22,11 @@ def covers(pages: DataFrame, doc: list[str]) -> DataFrame:
     # In reading order: the place of a hit is where its text first stands.
     hits = F.array_sort(F.transform(F.array_distinct(F.concat(lettered, labelled)), lambda v: F.struct(F.instr(F.col("_t"), v).alias("at"), v.alias("v"))))
     own = first.withColumn("_h", hits).withColumn("found", F.get("_h", F.lit(0))["v"])
-    others = F.filter("_h", lambda h: ~X.version_key(h["v"]).eqNullSafe(X.version_key(F.col("found"))))
+    own = own.withColumn("_keys", F.array_distinct(F.transform("_h", lambda h: F.coalesce(X.version_key(h["v"]), F.array().cast("array<bigint>"))))).withColumn("_named", X.filename_version("_f"))
+    own = own.withColumn("_kn", X.version_key("_named")).withColumn("_kf", X.version_key("found"))
     later = F.coalesce(F.exists("_h", lambda h: F.substring(F.col("_t"), h["at"] + F.length(h["v"]), F.lit(20)).rlike(r"(?i)^\s*(?:\+|and\s+later)")), F.lit(False))
-    named = X.filename_version("_f")
-    clash = named.isNotNull() & ~N.filename_agrees(named, F.col("found")) & ~(later & F.coalesce(X.version_key(named) > X.version_key("found"), F.lit(False)))
-    note = F.when(F.col("found").isNull(), "no version on the first pages").when(F.size(others) > 0, "the first pages name more than one version").when(clash, "the cover and the file name disagree").otherwise("")
+    clash = F.col("_named").isNotNull() & ~N.filename_agrees("_named", "found", "_kn", "_kf") & ~(later & F.coalesce(F.col("_kn") > F.col("_kf"), F.lit(False)))
+    note = F.when(F.col("found").isNull(), "no version on the first pages").when(F.size("_keys") > 1, "the first pages name more than one version").when(clash, "the cover and the file name disagree").otherwise("")
     out = own.withColumn("note", note).withColumn("_later", later)
     return out.select(*doc, F.when(F.col("note") == "", F.col("found")).alias("version"), F.when((F.col("note") == "") | F.col("note").startswith("the cover and"), F.col("_later")).otherwise(False).alias("later"), "found", "note")
 
