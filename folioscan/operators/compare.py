@@ -88,7 +88,11 @@ def quotes(asked: DataFrame, sections: DataFrame, asked_id: str, section_id: str
         keys.append(w.select(section_id, F.inline(made)))
     grams = sorted(-n for n in lens if n < 0)
     if grams:
-        made = F.flatten(F.array(*[F.transform(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_body") - n + 1, F.lit(1))), lambda i, n=n: F.substring("_body", i, F.lit(n)))), lambda g, n=n: F.struct(F.lit(-n).alias("_len"), g.alias("_key"))) for n in grams]))
+        def of(n: int) -> Column:
+            every = F.transform(F.sequence(F.lit(1), F.greatest(F.length("_body") - n + 1, F.lit(1))), lambda i: F.substring("_body", i, F.lit(n)))
+            return F.transform(F.array_distinct(every), lambda g: F.struct(F.lit(-n).alias("_len"), g.alias("_key")))
+
+        made = F.flatten(F.array(*[of(n) for n in grams]))
         keys.append(s.select(section_id, F.inline(made)))
     if not keys:
         return asked.select(asked_id).limit(0).join(s.select(section_id))

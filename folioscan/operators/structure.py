@@ -173,18 +173,21 @@ def backwards(rows: DataFrame, doc: list[str], ord_: str, page: str) -> DataFram
 
 _heading = re.compile(r"^(#{1,6})[ \t]+(.+?)[ \t]*$", re.M)
 _bold = re.compile(r"^\*\*([^*\n]{2,80})\*\*[ \t]*$", re.M)
+_fence = re.compile(r"^[ \t]*```", re.M)
 INTRO = "(intro)"
 
 
 class Headings:
-    """The headings of a text, by level and place; found once, however often a part is cut. With `bold`, lines that are bold and nothing else are headings too."""
+    """The headings of a text outside fenced code, by level and place; found once, however often a part is cut. With `bold`, lines that are bold and nothing else are headings too."""
 
     def __init__(self, text: str, bold: bool = False):
         self.by_level: list[list[tuple[int, str]]] = [[] for _ in range(7)]
+        fences = [m.start() for m in _fence.finditer(text)]
+        code = lambda at: bisect_left(fences, at) % 2 == 1
         for m in _heading.finditer(text):
-            if any(c.isalnum() for c in m[2]):
+            if any(c.isalnum() for c in m[2]) and not code(m.start()):
                 self.by_level[len(m[1])].append((m.start(), m[2].strip()))
-        self.bold = [(m.start(), f"**{m[1].strip()}**") for m in _bold.finditer(text)] if bold else []
+        self.bold = [(m.start(), f"**{m[1].strip()}**") for m in _bold.finditer(text) if not code(m.start())] if bold else []
 
     @staticmethod
     def _within(own: list[tuple[int, str]], a: int, b: int) -> list[tuple[int, str]]:
@@ -245,7 +248,7 @@ def _paragraphs(text: str, heading: str, level: int, a: int, b: int, most: int)
             p = at
         if p < q or not out:
             out.append((p, q))
-    return [(heading if k == 0 else f"{heading} (cont.)", level, p, q) for k, (p, q) in enumerate(out)] if len(out) > 1 else [(heading, level, a, b)]
+    return [(heading if k == 0 else f"{heading} (cont.)", level, p, q) for k, (p, q) in enumerate(out)] if len(out) > 1 else [(heading, level, *out[0])]
 
 
 def _bounded(text: str, own: Headings, span: Span, most: int) -> list[Span]:
