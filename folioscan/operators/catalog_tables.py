@@ -45,3 +45,30 @@ def shape(toc: DataFrame, pages: DataFrame, doc: list[str], least: int = 20, sha
     best = per.filter((F.col("n") >= least) & (F.col("n") >= share * F.col("n_all"))).groupBy(*doc).agg(F.max("n").alias("n"))
     density = F.col("n") / F.greatest("n_pages", F.lit(1))
     return pages.join(best, doc, "left").select(*doc, F.when(F.col("n").isNull() | (density < prose), "prose").when(density < mixed, "mixed").otherwise("reference").alias("shape"))
+
+
+def chunk_totals(chunks: DataFrame) -> DataFrame:
+    """(collection, slug, n, level): chunks a document (level 0), a collection (1) and in all (3), in one pass; names above a row's level are null."""
+    return chunks.rollup(*DOC).agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("level")).select(*DOC, "n", "level")
+
+
+def report_lines(rows: DataFrame, widths: dict[str, int], order: str, totals: list[str] = ()) -> DataFrame:
+    """(n, line): a report of fixed width, a line a row, numbers to the right; the last line has the sums of `totals`. Longer values stay whole."""
+    kinds = dict(rows.dtypes)
+    number = {c: kinds[c] not in ("string", "boolean") for c in widths}
+
+    def cell(c: str, v):
+        s = F.coalesce(v.cast("string"), F.lit("-"))
+        pad = F.repeat(F.lit(" "), F.greatest(F.lit(widths[c]) - F.length(s), F.lit(0)))
+        return F.concat(pad, s) if number[c] else F.concat(s, pad)
+
+    def line(values) -> object:
+        return F.rtrim(F.concat_ws("  ", *[cell(c, values(c)) for c in widths]))
+
+    body = rows.select(F.col(order).cast("long").alias("n"), line(F.col).alias("line"))
+    if not totals:
+        return body
+    sums = rows.agg(*[F.sum(c).alias(c) for c in totals], F.max(F.col(order).cast("long")).alias("_n"))
+    first = next(iter(widths))
+    last = sums.select((F.coalesce("_n", F.lit(0)) + 1).alias("n"), line(lambda c: F.coalesce(F.col(c), F.lit(0)) if c in totals else F.lit("total" if c == first else "")).alias("line"))
+    return body.union(last)

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscan.functions import labels as N
+
+from . import editions
+
 KS = (1, 3, 5, 10)
 
 
@@ -51,3 +55,30 @@ def reading_cost(rows: DataFrame, by: list[str], measures: list[str]) -> DataFra
     """Median, mean and p90 of each measure. One row a question: the groups are question sets."""
     aggs = [a for m in measures for a in (F.round(F.median(m), 6).alias(f"{m}_median"), F.round(F.avg(m), 6).alias(f"{m}_mean"), floor_percentile(m, 0.9).alias(f"{m}_p90"))]
     return rows.groupBy(*by).agg(F.count("*").alias("n"), *aggs)
+
+
+def scopes(questions: DataFrame, docs: DataFrame) -> DataFrame:
+    """questions (id, collection, document, version) with scope_slug, the one edition that answers them, and scope_error; both are null where a question names no document.
+
+    A version without a document is an error, never a guess; without a version the current edition answers.
+    """
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("document", "version")}
+    named = text["document"] != ""
+    asked = questions.filter(named).select(F.col("id").alias("request"), "collection", F.col("document").alias("doc_id"), "version")
+    versioned = text["version"] != ""
+    exact = editions.as_of(asked.filter(versioned), docs).select("request", "slug", "how")
+    now = editions.resolved(docs).filter("is_current").groupBy("collection", "doc_id").agg(F.min("slug").alias("slug"))
+    current = asked.filter(~versioned).join(now, ["collection", "doc_id"], "left").select("request", "slug", F.when(F.col("slug").isNull(), "no edition").alias("how"))
+    found = exact.union(current).select(F.col("request").alias("id"), F.col("slug").alias("scope_slug"), "how")
+    error = F.coalesce(N.needs_document(text["version"], text["document"]), F.when(named & F.col("scope_slug").isNull(), F.col("how")))
+    return questions.join(found, "id", "left").withColumn("scope_error", error).drop("how")
+
+
+def unanswered(sections: DataFrame, answers: DataFrame) -> DataFrame:
+    """sections (collection, slug, file, …) that no answer (collection, slug, file) points at; without a collection an answer stands for all, and without a file (a quote) for none.
+
+    The two kinds of answers are two equality joins, so no section meets all answers.
+    """
+    own = answers.filter("slug is not null and file is not null").select("collection", "slug", "file")
+    left = sections.join(own.filter("collection is not null"), ["collection", "slug", "file"], "left_anti")
+    return left.join(own.filter("collection is null").select("slug", "file"), ["slug", "file"], "left_anti").select(*sections.columns)

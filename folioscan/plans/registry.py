@@ -16,6 +16,8 @@ def query(sql: str | None = None):
     """Register a function of (spark, sf_dir) by its name, with the SQL that gives the same rows."""
 
     def add(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are named {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             ORACLES[f.__name__] = sql
