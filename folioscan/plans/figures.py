@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioscan.operators import catalog_tables as C
 from folioscan.operators import evaluate as E
 from folioscan.operators import figures as G
+from folioscan.operators import placement as P
 
 from .registry import query, table
 from .releases import _RELEASES, _releases
@@ -117,3 +118,30 @@ def nation_report(spark, sf_dir):
     per = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("customers"))
     rows = table(spark, sf_dir, "nation").join(per, "n_nationkey", "left").fillna(0, ["customers"])
     return C.report_lines(rows, {"n_name": 20, "n_regionkey": 6, "customers": 9}, "n_nationkey", ["customers"])
+
+
+PAGE_CHARS = 600
+
+
+def placement_inputs(spark, sf_dir):
+    """Lines of documents as chunks, pieces of a fixed length of them as pages."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    chunks = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "text"))
+    at = F.sequence(F.lit(0), F.greatest(F.floor((F.length("text") - 1) / PAGE_CHARS), F.lit(0)).cast("int"))
+    pages = d.select("doc_id", "text", F.explode(at).alias("p")).select("doc_id", (F.col("p") + 1).alias("page"), F.substring("text", F.col("p") * PAGE_CHARS + 1, F.lit(PAGE_CHARS)).alias("text"))
+    return chunks, pages
+
+
+@query()
+def chunk_page_placement(spark, sf_dir):
+    """The pages that the lines of each document are on, found by their words."""
+    return P.page_placement(*placement_inputs(spark, sf_dir), ["doc_id"])
+
+
+@query()
+def lineage_merge(spark, sf_dir):
+    """Turns of conversations as chunks, whose chain is the role under every third turn, merged up to a length."""
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.min_by("role", "text").alias("role"), F.min("text").alias("text"))
+    third = F.floor(F.col("turn") / 3).cast("string")
+    rows = c.select("conv_id", F.col("turn").alias("ord"), F.col("role").alias("heading"), "text", F.when(F.col("turn") % 3 == 0, F.array(third)).otherwise(F.array(third, F.col("role"))).alias("ancestors"), F.when(F.col("turn") % 4 == 3, "page").otherwise("anchored").alias("confidence"), F.col("turn").alias("page_start"), (F.col("turn") + 1).alias("page_end"))
+    return P.merged_by_lineage(rows, ["conv_id"], 1500)
