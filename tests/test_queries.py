@@ -1,8 +1,11 @@
 """Every query of the engine: its rows are those of its SQL, or of a stated rule."""
 
+import difflib
+
 import oracle
 import pytest
 
+from folioscan.operators import lookup
 from folioscan.plans import catalog
 
 
@@ -29,9 +32,16 @@ def test_stemmed_search_finds_what_holds_the_quote(spark):
     assert len(plain & found) >= 0.9 * len(plain)
 
 
-def test_close_matches_find_the_name(spark):
+def test_close_matches_are_those_of_all_names(spark):
+    """Names that begin with the asked one, else the close ones among all; "old bolt" (of "cold bolt") is a name itself, so only it is suggested."""
     rows = catalog.QUERIES["close_matches"](spark, oracle.SF).collect()
-    assert rows and all(r.qid in (r.suggested or "").split(",") for r in rows if len(r.qid) > 6)
+    cutoff, most = lookup.CLOSE["entity"]
+    names = sorted({r.qid for r in rows})
+    for r in rows:
+        begins = [n for n in names if n.startswith(r.name)][:25]
+        assert r.suggested == ",".join(begins or difflib.get_close_matches(r.name, names, n=most, cutoff=cutoff))
+        assert begins or len(r.qid) <= 6 or r.qid in r.suggested.split(",")
+    assert rows
 
 
 def test_no_python_in_relational_plans(spark):
