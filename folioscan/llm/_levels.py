@@ -1,7 +1,8 @@
 """A logarithmic index family over packed keys, and the coverage tables that its matches fill.
 
-Map tasks send packed columns (key, doc, pos, check, ...) dealt to buckets by key. A bucket's task takes the
-batches one by one: each is sorted (a suffix array, where keys stand for suffixes of bounded length), merge-
+Map tasks send packed columns (key, doc, pos, check, ...) dealt to buckets by key. A bucket's task puts payloads
+together to batches of bounded size (their number grows with the map tasks, their size shrinks with the number of
+buckets) and takes the batches one by one: each is sorted (a suffix array, where keys stand for suffixes of bounded length), merge-
 scanned against the levels that are there, and kept as a new lowest level; levels of equal size class merge,
 so each entry moves a logarithmic number of times. Of equal keys the earliest (doc, pos) stays; the others
 are reported.
@@ -9,15 +10,21 @@ are reported.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import columns_of, first_of, merged, pack, split_by
 
-#: Rows of a coverage table: document, packed starts and ends (int64 each) of the parts that are covered.
+#: Rows of a coverage table: document, starts and ends (int32 each, in pairs) of the parts that are covered.
 COVER = "kind int, key long, payload binary"
+PART = np.dtype([("start", "<i4"), ("end", "<i4")])
+#: Rows that a batch of the levels has at least, if there are so many; rows that a map task gathers before it deals them out.
+BATCH, GATHER = 1 << 16, 1 << 20
 
 
 class Levels:
@@ -58,36 +65,66 @@ class Levels:
             self.runs.append([c[order] for c in both])
         return [np.concatenate(x) for x in zip(*lost, strict=True)]
 
+    def take(self, payloads: Iterator[bytes]) -> Iterator[list[np.ndarray]]:
+        """Add packed rows, BATCH or more at a time; what add() returns."""
+        for batch in gathered((columns_of(p, self.dtypes) for p in payloads), BATCH):
+            yield self.add(batch)
+
     def all(self) -> list[np.ndarray]:
         parts = [list(x) for x in zip(*self.runs, strict=True)] or [[] for _ in self.dtypes]
         return [np.concatenate([np.empty(0, d), *p]) for d, p in zip(self.dtypes, parts, strict=True)]
 
 
-def rows_of(kinds: list[int], keys: list[int], payloads: list[bytes]) -> dict:
-    return {"kind": pa.array(kinds, pa.int32()), "key": pa.array(keys, pa.int64()), "payload": pa.array(payloads, pa.binary())}
+def gathered(parts: Iterator[list[np.ndarray]], least: int) -> Iterator[list[np.ndarray]]:
+    """Columns put together until they have `least` rows; the last may have fewer."""
+    held, n = [], 0
+    for columns in parts:
+        held.append(columns)
+        n += len(columns[0])
+        if n >= least:
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held, n = [], 0
+    if n:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
 class Rows:
     """Rows (kind, key, payload) in the making."""
 
     def __init__(self):
-        self.kinds, self.keys, self.payloads = [], [], []
+        self.parts = [(np.empty(0, np.int32), np.empty(0, np.int64), pa.array([], pa.binary()))]
+
+    def _put(self, kind: int, keys, payloads: pa.Array) -> None:
+        self.parts.append((np.full(len(payloads), kind, np.int32), np.asarray(keys, np.int64), payloads))
 
     def add(self, kind: int, key: np.ndarray, arrays: list[np.ndarray]) -> None:
-        for k, part in split_by(key, arrays):
-            self.kinds.append(kind)
-            self.keys.append(k)
-            self.payloads.append(pack(*part))
+        """For few keys of many rows each: packed columns."""
+        found = [(k, pack(*part)) for k, part in split_by(key, arrays)]
+        self._put(kind, [k for k, _ in found], pa.array([p for _, p in found], pa.binary()))
+
+    def records(self, kind: int, key: np.ndarray, data: np.ndarray) -> None:
+        """For many keys of few rows each, without a step for each: the records of a key one after another."""
+        if not len(key):
+            return
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+        ends = (np.append(first, len(key)) * data.dtype.itemsize).astype("<i4")
+        self._put(kind, key[first], pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(data[order].tobytes())]))
 
     def cover(self, kind: int, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        """Covered parts, joined and packed by document."""
-        for k, (s, e) in split_by(doc, [start.astype("<i8"), end.astype("<i8")]):
-            self.kinds.append(kind)
-            self.keys.append(k)
-            self.payloads.append(pack(*merged(s, e)))
+        """Covered parts, joined, by document."""
+        docs, rank = np.unique(doc, return_inverse=True)
+        # The parts of each document in a range of their own: no two documents touch.
+        base = rank.astype(np.int64) << 32
+        start, end = merged(base + start, base + end)
+        data = np.empty(len(start), PART)
+        data["start"], data["end"] = start & 0xFFFFFFFF, end & 0xFFFFFFFF
+        self.records(kind, docs[start >> 32], data)
 
     def columns(self) -> dict:
-        return rows_of(self.kinds, self.keys, self.payloads)
+        kinds, keys, payloads = zip(*self.parts, strict=True)
+        return {"kind": pa.array(np.concatenate(kinds)), "key": pa.array(np.concatenate(keys)), "payload": pa.concat_arrays(payloads)}
 
     def batch(self) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(self.columns())
@@ -98,10 +135,10 @@ class Rows:
 
 def covered(payloads: list[bytes] | None, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The joined covered parts of one text of `length` units, cut to it."""
-    parts = [columns_of(p, ["<i8", "<i8"]) for p in payloads or []]
-    if not parts:
+    parts = np.frombuffer(b"".join(payloads or []), PART)
+    if not len(parts):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    start, end = merged(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+    start, end = merged(parts["start"].astype(np.int64), parts["end"].astype(np.int64))
     end = np.minimum(end, length)
     keep = start < end
     return start[keep], end[keep]
@@ -118,15 +155,9 @@ def by_bucket(rows: DataFrame, buckets: int, settle) -> DataFrame:
     """
 
     def run(t: pa.Table) -> pa.Table:
-        out, kinds = Rows(), t["kind"].to_numpy()
-        mine = np.flatnonzero(kinds == COVERED)
-        keys = t["key"].to_numpy()
-        for i in mine.tolist():
-            out.kinds.append(COVERED)
-            out.keys.append(int(keys[i]))
-            out.payloads.append(t["payload"][i].as_py())
-        settle((t["payload"][i].as_py() for i in np.flatnonzero(kinds != COVERED).tolist()), out)
-        return out.table()
+        out, ready = Rows(), pc.equal(t["kind"], COVERED)
+        settle((p.as_py() for p in t["payload"].filter(pc.invert(ready))), out)
+        return pa.concat_tables([t.select(["kind", "key", "payload"]).filter(ready), out.table()])
 
     bucket = F.when(F.col("kind") == COVERED, F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(F.col("key"))
     dealt = rows.withColumn("bucket", bucket)

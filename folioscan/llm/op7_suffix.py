@@ -9,8 +9,9 @@ document further left). Only suffixes at anchors are indexed: the least of all k
 `length` bytes is a function of the window's bytes, so equal windows have their anchor at the same place. The
 windows that share an anchor make up one stretch of text.
 
-1. Map tasks cut texts into stretches and send their 64-bit keys, packed, to buckets; within a task repeats
-   are settled at once, so a passage in a third of all texts sends one entry a task.
+1. Map tasks cut texts into stretches and send their 64-bit keys, packed, to buckets; about a million stretches
+   of a task are gathered and their repeats settled at once, so a passage in a third of all texts sends an entry
+   or a few a task, and a task sends a bucket one payload or a few, however large the table is.
 2. Each bucket's logarithmic index family keeps the earliest of equal stretches; the others are covered whole.
 3. Where the same anchor k-gram is in several different stretches (the edges of repeats), the stretches are
    taken apart into their single windows, which meet in the same way.
@@ -38,8 +39,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import NO_ID, buckets, columns_of, discard, first_of, forget, merged, mix, stage, steps, table, tune
-from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, with_payloads
+from ._common import NO_ID, buckets, columns_of, discard, first_of, forget, mix, stage, steps, table, tune
+from ._levels import COVER, COVERED, GATHER, Levels, Rows, by_bucket, covered, gathered, with_payloads
 
 LENGTH = 100
 GRAM = 32
@@ -48,9 +49,12 @@ STRETCH, GRAMS, EDGE, WINDOW = range(1, 5)
 STRETCHES = ["<u8", "<i8", "<i4", "<u8", "<i2", "<i2"]  # key, doc, pos, gram, first and last window relative to pos
 GRAM_ROWS = ["<u8", "<i8", "<i4", "<i2", "<i2"]
 WINDOWS = ["<u8", "<i8", "<i4", "<u2"]  # key, doc, pos, check
-EDGES = ["<i4", "<i2", "<i2"]
+EDGES = np.dtype([("pos", "<i4"), ("lo", "<i2"), ("hi", "<i2")])
 #: Bits of a gram's hash: it only says where to look closer.
 GRAM_BITS = np.uint64((1 << 48) - 1)
+#: Windows whose anchors are found at a time: what that takes stays in the cache.
+BLOCK = 1 << 14
+_UPPER, _PLACES = np.uint64(0xFFFFFFFF << 32), np.arange(1 << 15, dtype=np.uint64)
 
 _rng = np.random.default_rng(20250601)
 _VALUE, _VALUE2 = _rng.integers(1, 2**64, (2, 256), dtype=np.uint64)
@@ -88,23 +92,24 @@ class Hashed:
         np.cumsum(_VALUE2[self.data] * self.up, out=sums[1:])
         return (mix((sums[start + size] - sums[start]) * self.down[start]) >> np.uint64(48)).astype("<u2")
 
-    def all(self, size: int) -> np.ndarray:
-        """Of every start."""
-        n = len(self.sums) - size
-        return mix((self.sums[size:] - self.sums[:n]) * self.down[:n])
-
-
-def leftmost_minima(h: np.ndarray, width: int) -> np.ndarray:
-    """Where the least value (the leftmost of equals) of each `width` values in a row is."""
-    n = len(h) - width + 1
-    best, at, span = h, np.arange(len(h), dtype=np.int32), 1
-    while span < width:
-        step = min(span, width - span)
-        a, b = best[:-step], best[step:]
-        left = a <= b
-        best, at = np.where(left, a, b), np.where(left, at[:-step], at[step:])
-        span += step
-    return at[:n]
+    def anchors(self, length: int, gram: int) -> np.ndarray:
+        """Of every window of `length` bytes: where its least gram (by the upper 32 bits of a hash; the leftmost of equals) starts."""
+        n, width = len(self.data) - length + 1, length - gram + 1
+        out, block = np.empty(n, np.int64), max(BLOCK, len(_PLACES) - width + 1)
+        places = _PLACES if block + width - 1 <= len(_PLACES) else np.arange(block + width - 1, dtype=np.uint64)
+        for a in range(0, n, block):
+            b = min(a + block, n)
+            end = b + width - 1
+            best, span = (self.sums[a + gram : end + gram] - self.sums[a:end]) * self.down[a:end], 1
+            best &= _UPPER
+            best |= places[: end - a]
+            while span < width:
+                step = min(span, width - span)
+                best = np.minimum(best[:-step], best[step:])
+                span += step
+            out[a:b] = (best & ~_UPPER).view(np.int64)
+            out[a:b] += a
+        return out
 
 
 def _joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -119,24 +124,49 @@ def stretches(data: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: in
     if len(data) < length:
         return [np.empty(0, d) for d in STRETCHES]
     hashed = Hashed(data)
-    anchor = leftmost_minima(hashed.all(gram), length - gram + 1)
-    window = np.arange(len(anchor), dtype=np.int64)
-    doc = np.searchsorted(starts, window, side="right") - 1
-    inside = window + length <= starts[doc + 1]
-    window, anchor, doc = window[inside], anchor[inside].astype(np.int64), doc[inside]
-    if not len(window):
-        return [np.empty(0, d) for d in STRETCHES]
-    # Windows of one anchor follow one another.
-    new = np.ones(len(window), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
-    first = np.flatnonzero(new)
-    last = np.concatenate([first[1:], [len(window)]]) - 1
-    lo, hi, at, doc = window[first], window[last], anchor[first], doc[first]
+    anchor = hashed.anchors(length, gram)
+    # Windows of one anchor follow one another; a run also ends where windows reach into the next document.
+    new = np.ones(len(anchor), bool)
+    new[1:] = anchor[1:] != anchor[:-1]
+    has = np.diff(starts) >= length
+    new[starts[:-1][has]] = True
+    beyond = starts[1:][has] - length + 1
+    new[beyond[beyond < len(new)]] = True
+    lo = np.flatnonzero(new)
+    hi = np.append(lo[1:], len(new)) - 1
+    doc = np.searchsorted(starts, lo, side="right") - 1
+    inside = lo + length <= starts[doc + 1]
+    lo, hi, doc = lo[inside], hi[inside], doc[inside]
+    at = anchor[lo]
     key = hashed.of(lo, hi - lo + length)
     key = mix(key ^ ((at - lo).astype(np.uint64) << np.uint64(20)) ^ (hi - lo + 1).astype(np.uint64))
     return [key, docs[doc], (at - starts[doc]).astype("<i4"), hashed.of(at, gram) & GRAM_BITS, (lo - at).astype("<i2"), (hi - at).astype("<i2")]
 
 
+def edge_rows(rows: Rows, doc: np.ndarray, *columns: np.ndarray) -> None:
+    """EDGE rows: the stretches of each document that are taken apart."""
+    data = np.empty(len(doc), EDGES)
+    for name, column in zip(EDGES.names, columns, strict=True):
+        data[name] = column
+    rows.records(EDGE, doc, data)
+
+
+def edge_windows(batch: pa.RecordBatch, length: int) -> list[np.ndarray]:
+    """WINDOWS columns: every window of the edge stretches that the payloads of each text name."""
+    data, starts = _joined(batch.column(1))
+    if len(data) < length:
+        return [np.empty(0, d) for d in WINDOWS]
+    hashed, ids = Hashed(data), np.asarray(batch.column(0).fill_null(NO_ID))
+    own = [b"".join(p or []) for p in batch.column(2).to_pylist()]
+    edges = np.frombuffer(b"".join(own), EDGES)
+    size = edges["hi"].astype(np.int64) - edges["lo"] + 1
+    doc = np.repeat(np.repeat(np.arange(len(own)), [len(p) // EDGES.itemsize for p in own]), size)
+    at = np.repeat(edges["pos"].astype(np.int64) + edges["lo"], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    fits = at + length <= starts[doc + 1] - starts[doc]  # always, unless rows with one doc_id have different texts
+    doc, at = doc[fits], at[fits]
+    return [hashed.of(starts[doc] + at, length), ids[doc], at.astype("<i4"), hashed.check(starts[doc] + at, length)]
+
+
 def _docs(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -148,9 +178,8 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     docs = _docs(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            data, starts = _joined(batch.column(1))
-            own = stretches(data, starts, np.asarray(batch.column(0).fill_null(NO_ID)), length, gram)
+        found = (stretches(*_joined(b.column(1)), np.asarray(b.column(0).fill_null(NO_ID)), length, gram) for b in steps(batches))
+        for own in gathered(found, GATHER):
             first, later = first_of(*own[:4])
             rows, lost = Rows(), [c[later] for c in own]
             rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
@@ -160,12 +189,11 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
 
     def earliest(payloads: Iterator[bytes], rows: Rows) -> None:
         levels = Levels(STRETCHES)
-        for p in payloads:
-            lost = levels.add(columns_of(p, STRETCHES))
+        for lost in levels.take(payloads):
             rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
         _, doc, pos, g, lo, hi = levels.all()
         # One of each gram goes on to meet those of other buckets; the others are known to be edges, and make it one as well.
-        order = np.argsort(g, kind="stable")
+        order = np.argsort(g)
         new = np.ones(len(g), bool)
         new[1:] = g[order][1:] != g[order][:-1]
         several = np.zeros(len(g), bool)
@@ -173,7 +201,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         several |= ~new
         edge, single = order[several], order[new & ~several]
         both = order[new & several]
-        rows.add(EDGE, doc[edge], [pos[edge], lo[edge], hi[edge]])
+        edge_rows(rows, doc[edge], pos[edge], lo[edge], hi[edge])
         out = np.concatenate([single, both])
         mark = np.concatenate([lo[single], np.full(len(both), 1, "<i2")])  # 1: this one is an edge already
         rows.add(GRAMS, (g[out] % n).astype(np.int64), [g[out], doc[out], pos[out], mark, hi[out]])
@@ -183,7 +211,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     def shared(t: pa.Table) -> pa.Table:
         cols = [columns_of(p.as_py(), GRAM_ROWS) for p in t["payload"]]
         g, doc, pos, lo, hi = (np.concatenate(c) for c in zip(*cols, strict=True))
-        order = np.argsort(g, kind="stable")
+        order = np.argsort(g)
         new = np.ones(len(g), bool)
         new[1:] = g[order][1:] != g[order][:-1]
         several = ~new
@@ -191,7 +219,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         edge = order[several]
         edge = edge[lo[edge] != 1]
         rows = Rows()
-        rows.add(EDGE, doc[edge], [pos[edge], lo[edge], hi[edge]])
+        edge_rows(rows, doc[edge], pos[edge], lo[edge], hi[edge])
         return rows.table()
 
     # Edges and covered parts are small; grams go as soon as both are written.
@@ -200,24 +228,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     discard(spark, met)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            data, starts = _joined(batch.column(1))
-            if len(data) < length:
-                continue
-            hashed, ids = Hashed(data), np.asarray(batch.column(0).fill_null(NO_ID))
-            doc, at = [], []
-            for i, payloads in enumerate(batch.column(2).to_pylist()):
-                for p in payloads or []:
-                    pos, lo, hi = columns_of(p, EDGES)
-                    size = (hi - lo + 1).astype(np.int64)
-                    at.append(np.repeat(pos.astype(np.int64) + lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
-                    doc.append(np.full(len(at[-1]), i))
-            if not at:
-                continue
-            doc, at = np.concatenate(doc), np.concatenate(at)
-            fits = at + length <= starts[doc + 1] - starts[doc]  # always, unless rows with one doc_id have different texts
-            doc, at = doc[fits], at[fits]
-            own = [hashed.of(starts[doc] + at, length), ids[doc], at.astype("<i4"), hashed.check(starts[doc] + at, length)]
+        for own in gathered((edge_windows(b, length) for b in steps(batches)), GATHER):
             first, later = first_of(*own)
             rows = Rows()
             rows.cover(COVERED, own[1][later], own[2][later], own[2][later] + length)
@@ -229,8 +240,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
 
     def earliest_window(payloads: Iterator[bytes], rows: Rows) -> None:
         levels = Levels(WINDOWS)
-        for p in payloads:
-            lost = levels.add(columns_of(p, WINDOWS))
+        for lost in levels.take(payloads):
             rows.cover(COVERED, lost[1], lost[2], lost[2] + length)
 
     last = stage(spark, by_bucket(texts.mapInArrow(windows, COVER), int(n), earliest_window), "windows")
@@ -240,7 +250,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
 
 def kept_parts(data: bytes, payloads: list[bytes] | None) -> tuple[list[bytes], int, int]:
     """The remaining pieces of a text, how many bytes went, and in how many maximal runs."""
-    start, end = merged(*covered(payloads, len(data)))
+    start, end = covered(payloads, len(data))
     if not len(start):
         return [data], 0, 0
     edges = [0, *np.stack([start, end], 1).ravel().tolist(), len(data)]

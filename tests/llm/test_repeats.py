@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from util import ODD, documents, prose
@@ -72,6 +73,49 @@ def test_suffix_removal_keeps_columns(spark):
     assert len(rows[1].text) < len(t) / 2 and rows[1].n_chars == len(rows[1].text) and rows[1].kept == "yes"
 
 
+def test_payloads_do_not_grow_with_batches(spark, monkeypatch):
+    """Twenty Arrow batches of one task send a bucket one payload a table of rows, and levels get many payloads at once."""
+    from folioscan.llm._levels import Levels
+
+    sent, deal = [], op7_suffix.by_bucket
+    monkeypatch.setattr(op7_suffix, "by_bucket", lambda rows, *more: (sent.append(rows), deal(rows, *more))[1])
+    texts = [prose(200 + k % 50, 300) for k in range(60)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        docs = documents(spark, texts).coalesce(1)
+        got = sorted(tuple(r) for r in op7_suffix.digest(spark, docs).collect())
+        most = max(r["count"] for r in sent[0].filter(f"kind = {op7_suffix.STRETCH}").groupBy("key").count().collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == brute7(list(enumerate(texts)), 100)
+    assert most == 1
+
+    class Counted(Levels):
+        calls = 0
+
+        def add(self, batch):
+            self.calls += 1
+            return super().add(batch)
+
+    from folioscan.llm._common import pack
+
+    levels, lost, dtypes = Counted(op7_suffix.WINDOWS), 0, op7_suffix.WINDOWS
+    for rows in levels.take(pack(*(np.array([x], d) for x, d in zip((k % 700, k, 0, 0), dtypes, strict=True))) for k in range(1000)):
+        lost += len(rows[0])
+    assert levels.calls == 1 and lost == 300 and sorted(levels.all()[1].tolist()) == list(range(700))
+
+
+def test_anchors_of_blocks_are_those_of_the_whole():
+    """Least grams of windows are found block by block; equal windows have theirs at the same place, and runs end with documents."""
+    data = np.frombuffer((prose(77, 12_000) + "a" * 500 + prose(77, 12_000)).encode(), np.uint8)
+    hashed = op7_suffix.Hashed(data)
+    at = hashed.anchors(100, 32)
+    h = ((hashed.sums[32:] - hashed.sums[:-32]) * hashed.down[: len(data) - 31]) >> np.uint64(32)
+    rows = np.lib.stride_tricks.sliding_window_view(h, 69)
+    assert len(data) > 2 * len(op7_suffix._PLACES) and (at == np.arange(len(rows)) + rows.argmin(1)).all()
+
+
 def brute1(rows):
     runs, n = {}, {}
     for i, t in rows:
