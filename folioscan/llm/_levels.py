@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import columns_of, first_of, merged, pack, split_by
+from ._common import columns_of, first_of, give_back, merged, packed_by, steps
 
 #: Rows of a coverage table: document, starts and ends (int32 each, in pairs) of the parts that are covered.
 COVER = "kind int, key long, payload binary"
@@ -75,17 +75,24 @@ class Levels:
         return [np.concatenate([np.empty(0, d), *p]) for d, p in zip(self.dtypes, parts, strict=True)]
 
 
+def put_together(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The columns of all parts, one part after another; each part's columns go as they are copied, and parts is empty afterwards."""
+    out = [np.concatenate([columns.pop(0) for columns in parts]) for _ in range(len(parts[0]))]
+    parts.clear()
+    return out
+
+
 def gathered(parts: Iterator[list[np.ndarray]], least: int) -> Iterator[list[np.ndarray]]:
-    """Columns put together until they have `least` rows; the last may have fewer."""
+    """Columns put together until they have `least` rows; the last may have fewer. Whoever takes them should let go of them before asking for more."""
     held, n = [], 0
     for columns in parts:
         held.append(columns)
         n += len(columns[0])
         if n >= least:
-            yield [np.concatenate(x) for x in zip(*held, strict=True)]
-            held, n = [], 0
+            yield put_together(held)
+            n = 0
     if n:
-        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+        yield put_together(held)
 
 
 class Rows:
@@ -98,9 +105,8 @@ class Rows:
         self.parts.append((np.full(len(payloads), kind, np.int32), np.asarray(keys, np.int64), payloads))
 
     def add(self, kind: int, key: np.ndarray, arrays: list[np.ndarray]) -> None:
-        """For few keys of many rows each: packed columns."""
-        found = [(k, pack(*part)) for k, part in split_by(key, arrays)]
-        self._put(kind, [k for k, _ in found], pa.array([p for _, p in found], pa.binary()))
+        """For few keys of many rows each: packed columns. arrays is empty afterwards."""
+        self._put(kind, *packed_by(key, arrays))
 
     def records(self, kind: int, key: np.ndarray, data: np.ndarray) -> None:
         """For many keys of few rows each, without a step for each: the records of a key one after another."""
@@ -132,6 +138,24 @@ class Rows:
     def table(self) -> pa.Table:
         return pa.table(self.columns())
 
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """The rows in batches of a bounded size: the JVM holds each whole, outside its heap."""
+        for kinds, keys, payloads in self.parts:
+            yield from steps(iter([pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys), payloads], names=["kind", "key", "payload"])]), "payload")
+
+
+def dealt(parts: Iterator[list[np.ndarray]], settle) -> Iterator[pa.RecordBatch]:
+    """Of a map task: the rows that settle(columns) makes of GATHER or more rows at a time.
+
+    What that takes is freed before the next rows are gathered, and at the end.
+    """
+    for own in gathered(parts, GATHER):
+        rows = settle(own)
+        del own
+        yield from rows.batches()
+        del rows
+        give_back()
+
 
 def covered(payloads: list[bytes] | None, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The joined covered parts of one text of `length` units, cut to it."""
@@ -157,6 +181,7 @@ def by_bucket(rows: DataFrame, buckets: int, settle) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         out, ready = Rows(), pc.equal(t["kind"], COVERED)
         settle((p.as_py() for p in t["payload"].filter(pc.invert(ready))), out)
+        give_back()
         return pa.concat_tables([t.select(["kind", "key", "payload"]).filter(ready), out.table()])
 
     bucket = F.when(F.col("kind") == COVERED, F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(F.col("key"))

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import NO_ID, buckets, columns_of, discard, first_of, forget, mix, stage, steps, table, tune
-from ._levels import COVER, COVERED, GATHER, Levels, Rows, by_bucket, covered, gathered, with_payloads
+from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, dealt, with_payloads
 
 LENGTH = 100
 GRAM = 32
@@ -54,6 +54,8 @@ EDGES = np.dtype([("pos", "<i4"), ("lo", "<i2"), ("hi", "<i2")])
 GRAM_BITS = np.uint64((1 << 48) - 1)
 #: Windows whose anchors are found at a time: what that takes stays in the cache.
 BLOCK = 1 << 14
+#: Bytes of text that are hashed at a time: that takes some 60 times as much memory. Powers of the base that are kept for the next.
+OWN_STEP, KEPT_POWERS = 1 << 19, 1 << 20
 _UPPER, _PLACES = np.uint64(0xFFFFFFFF << 32), np.arange(1 << 15, dtype=np.uint64)
 
 _rng = np.random.default_rng(20250601)
@@ -63,15 +65,18 @@ _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        inverse = pow(_BASE, -1, 1 << 64)
-        for i, b in enumerate((_BASE, inverse)):
-            x = np.full(size, b, np.uint64)
-            x[0] = 1
-            _POWERS[i] = np.multiply.accumulate(x)
-    return _POWERS[0][:n], _POWERS[1][:n]
+    """Powers of the base and of its inverse modulo 2**64; those of a longer text than usual are not kept."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0][:n], _POWERS[1][:n]
+    size = max(n, min(1 << (n - 1).bit_length(), KEPT_POWERS))
+    found = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(size, b, np.uint64)
+        x[0] = 1
+        found.append(np.multiply.accumulate(x, out=x))
+    if size <= KEPT_POWERS:
+        _POWERS[:] = found
+    return found[0][:n], found[1][:n]
 
 
 class Hashed:
@@ -178,14 +183,17 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     docs = _docs(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (stretches(*_joined(b.column(1)), np.asarray(b.column(0).fill_null(NO_ID)), length, gram) for b in steps(batches))
-        for own in gathered(found, GATHER):
-            first, later = first_of(*own[:4])
-            rows, lost = Rows(), [c[later] for c in own]
-            rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
-            own = [c[np.sort(first)] for c in own]
-            rows.add(STRETCH, (own[0] % n).astype(np.int64), own)
-            yield rows.batch()
+        found = (stretches(*_joined(b.column(1)), np.asarray(b.column(0).fill_null(NO_ID)), length, gram) for b in steps(batches, limit=OWN_STEP))
+        yield from dealt(found, first_stretches)
+
+    def first_stretches(own: list[np.ndarray]) -> Rows:
+        first, later = first_of(*own[:4])
+        rows = Rows()
+        rows.cover(COVERED, own[1][later], own[2][later] + own[4][later], own[2][later] + own[5][later] + length)
+        first.sort()
+        own[:] = [own.pop(0)[first] for _ in STRETCHES]
+        rows.add(STRETCH, (own[0] % n).astype(np.int64), own)
+        return rows
 
     def earliest(payloads: Iterator[bytes], rows: Rows) -> None:
         levels = Levels(STRETCHES)
@@ -228,13 +236,16 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     discard(spark, met)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own in gathered((edge_windows(b, length) for b in steps(batches)), GATHER):
-            first, later = first_of(*own)
-            rows = Rows()
-            rows.cover(COVERED, own[1][later], own[2][later], own[2][later] + length)
-            own = [c[np.sort(first)] for c in own]
-            rows.add(WINDOW, (own[0] % n).astype(np.int64), own)
-            yield rows.batch()
+        yield from dealt((edge_windows(b, length) for b in steps(batches, limit=OWN_STEP)), first_windows)
+
+    def first_windows(own: list[np.ndarray]) -> Rows:
+        first, later = first_of(*own)
+        rows = Rows()
+        rows.cover(COVERED, own[1][later], own[2][later], own[2][later] + length)
+        first.sort()
+        own[:] = [own.pop(0)[first] for _ in WINDOWS]
+        rows.add(WINDOW, (own[0] % n).astype(np.int64), own)
+        return rows
 
     texts = with_payloads(docs, edges).filter("payloads is not null")
 

@@ -124,6 +124,46 @@ def test_pipeline_stage_deals_out_once_a_task(spark, monkeypatch):
     assert most == 1
 
 
+def test_map_tasks_take_and_keep_little_memory(monkeypatch):
+    """Twelve million bytes of text: small batches of small payloads, all stretches in them, and nothing of note held at the peak or afterwards."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from folioscan.llm._common import columns_of
+
+    class Caught(Exception):
+        pass
+
+    class Documents:
+        def mapInArrow(self, run, schema):
+            raise Caught(run)
+
+    for name, value in {"tune": lambda _: None, "buckets": lambda *_: 5, "_docs": lambda docs: docs}.items():
+        monkeypatch.setattr(op7_suffix, name, value)
+    with pytest.raises(Caught) as caught:
+        op7_suffix.repeated_parts(None, Documents())
+    cut = caught.value.args[0]
+    texts = [bytes(t).decode() for t in np.random.default_rng(3).integers(97, 123, (3000, 4000), np.uint8)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array(range(k, k + 500)), "text": texts[k : k + 500]}) for k in range(0, 3000, 500)]
+    data, starts = op7_suffix._joined(batches[0].column(1))
+    want = op7_suffix.stretches(data, starts, np.arange(500), 100, 32)[0]
+    found, most, largest = [], 0, 0
+    op7_suffix._POWERS[:] = [np.ones(1, np.uint64)] * 2
+    tracemalloc.start()
+    try:
+        for b in cut(iter(batches)):
+            largest, most = max(largest, b.nbytes), max(most, *(len(p.as_py()) for p in b["payload"]))
+            keys = [columns_of(p.as_py(), op7_suffix.STRETCHES) for k, p in zip(b["kind"].to_pylist(), b["payload"], strict=True) if k == op7_suffix.STRETCH]
+            found += [key[doc < 500] for key, doc, *_ in keys]
+        del b
+        kept, peak = (x >> 20 for x in tracemalloc.get_traced_memory())
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(np.sort(np.concatenate(found)), np.sort(want))
+    assert largest < 3 << 20 and most <= 300_000 and peak < 60 and kept < 20
+
+
 def test_anchors_of_blocks_are_those_of_the_whole():
     """Least grams of windows are found block by block; equal windows have theirs at the same place, and runs end with documents."""
     data = np.frombuffer((prose(77, 12_000) + "a" * 500 + prose(77, 12_000)).encode(), np.uint8)
