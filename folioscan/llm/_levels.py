@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import columns_of, first_of, give_back, merged, packed_by, steps
+from ._common import columns_of, first_of, give_back, merged, packed_by, slices
 
 #: Rows of a coverage table: document, starts and ends (int32 each, in pairs) of the parts that are covered.
 COVER = "kind int, key long, payload binary"
@@ -141,7 +141,7 @@ class Rows:
     def batches(self) -> Iterator[pa.RecordBatch]:
         """The rows in batches of a bounded size: the JVM holds each whole, outside its heap."""
         for kinds, keys, payloads in self.parts:
-            yield from steps(iter([pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys), payloads], names=["kind", "key", "payload"])]), "payload")
+            yield from slices(pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys), payloads], names=["kind", "key", "payload"]), "payload")
 
 
 def dealt(parts: Iterator[list[np.ndarray]], settle) -> Iterator[pa.RecordBatch]:

@@ -164,6 +164,29 @@ def test_map_tasks_take_and_keep_little_memory(monkeypatch):
     assert largest < 3 << 20 and most <= 300_000 and peak < 60 and kept < 20
 
 
+def test_tasks_leave_no_freed_memory_with_their_workers():
+    """The pipeline's workers go from stage to stage: what the steps of a task took and freed is the system's again when they end."""
+    import ctypes
+    from pathlib import Path
+
+    import pyarrow as pa
+
+    from folioscan.llm._common import steps
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("only glibc")
+
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) >> 8
+
+    before, held = resident(), []
+    for _ in steps(iter([pa.RecordBatch.from_pydict({"text": ["a"]})])):
+        taken = [(np.ones(60_000, np.uint8), np.ones(2000, np.uint8)) for _ in range(2500)]
+        held += [small for _, small in taken]
+        del taken
+    assert len(held) == 2500 and resident() - before < 60
+
+
 def test_anchors_of_blocks_are_those_of_the_whole():
     """Least grams of windows are found block by block; equal windows have theirs at the same place, and runs end with documents."""
     data = np.frombuffer((prose(77, 12_000) + "a" * 500 + prose(77, 12_000)).encode(), np.uint8)
