@@ -6,6 +6,10 @@ buckets) and takes the batches one by one: each is sorted (a suffix array, where
 scanned against the levels that are there, and kept as a new lowest level; levels of equal size class merge,
 so each entry moves a logarithmic number of times. Of equal keys the earliest (doc, pos) stays; the others
 are reported.
+
+What buckets find of one document comes from many of them. They send it packed to blocks of documents, and each block's
+task makes one row a document of it: a row for each document and bucket would be all but a row for each part once
+there are more buckets than a document has parts.
 """
 
 from __future__ import annotations
@@ -18,11 +22,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import columns_of, first_of, give_back, merged, packed_by, slices
+from ._common import columns_of, first_of, give_back, merged, mix, packed_by, slices
 
 #: Rows of a coverage table: document, starts and ends (int32 each, in pairs) of the parts that are covered.
 COVER = "kind int, key long, payload binary"
 PART = np.dtype([("start", "<i4"), ("end", "<i4")])
+#: Columns of covered parts on their way to a block of documents.
+PARTS = ["<i8", "<i4", "<i4"]
+#: Blocks that there are, if there are so many buckets; beyond, buckets' worth of covered parts (or as many bytes) that a block takes.
+BLOCKS, BLOCK_BUCKETS = 64, 16
 #: Rows that a batch of the levels has at least, if there are so many; rows that a map task gathers before it deals them out.
 BATCH, GATHER = 1 << 16, 1 << 20
 
@@ -95,6 +103,20 @@ def gathered(parts: Iterator[list[np.ndarray]], least: int) -> Iterator[list[np.
         yield put_together(held)
 
 
+def joined(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Covered parts, joined where they touch or overlap, by document."""
+    docs, rank = np.unique(doc, return_inverse=True)
+    # The parts of each document in a range of their own: no two documents touch.
+    base = rank.astype(np.int64) << 32
+    start, end = merged(base + start, base + end)
+    return docs[start >> 32], (start & 0xFFFFFFFF).astype("<i4"), (end & 0xFFFFFFFF).astype("<i4")
+
+
+def blocks(buckets: int, most: int = BLOCK_BUCKETS) -> int:
+    """How many blocks take what buckets have found: a bucket sends a row or a few to each, and a block's task holds what about `most` buckets found, or fewer."""
+    return max(min(buckets, BLOCKS), buckets // most)
+
+
 class Rows:
     """Rows (kind, key, payload) in the making."""
 
@@ -120,13 +142,15 @@ class Rows:
 
     def cover(self, kind: int, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         """Covered parts, joined, by document."""
-        docs, rank = np.unique(doc, return_inverse=True)
-        # The parts of each document in a range of their own: no two documents touch.
-        base = rank.astype(np.int64) << 32
-        start, end = merged(base + start, base + end)
+        doc, start, end = joined(doc, start, end)
         data = np.empty(len(start), PART)
-        data["start"], data["end"] = start & 0xFFFFFFFF, end & 0xFFFFFFFF
-        self.records(kind, docs[start >> 32], data)
+        data["start"], data["end"] = start, end
+        self.records(kind, doc, data)
+
+    def to_blocks(self, kind: int, blocks: int, doc: np.ndarray, *columns: np.ndarray) -> None:
+        """Packed columns by block of documents, for by_document()."""
+        doc = np.asarray(doc, np.int64)
+        self.add(kind, (mix(doc.view(np.uint64)) % np.uint64(blocks)).astype(np.int64), [doc, *columns])
 
     def columns(self) -> dict:
         kinds, keys, payloads = zip(*self.parts, strict=True)
@@ -192,6 +216,18 @@ def by_bucket(rows: DataFrame, buckets: int, settle) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(run, COVER)
 
 
+def by_document(rows: DataFrame, dtypes: list[str], settle) -> DataFrame:
+    """Rows by document that settle(rows, *columns) makes of all the payloads of a block."""
+
+    def run(t: pa.Table) -> pa.Table:
+        out = Rows()
+        settle(out, *put_together([columns_of(p.as_py(), dtypes) for p in t["payload"]]))
+        give_back()
+        return out.table()
+
+    return rows.groupBy("key").applyInArrow(run, COVER)
+
+
 def with_payloads(docs: DataFrame, rows: DataFrame, *more: str) -> DataFrame:
     """docs (doc_id, text and more) with the list of their rows' payloads; texts cross the join once and are not sorted."""
     lists = rows.groupBy("key").agg(F.collect_list("payload").alias("payloads"))

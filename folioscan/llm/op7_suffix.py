@@ -15,7 +15,7 @@ windows that share an anchor make up one stretch of text.
 2. Each bucket's logarithmic index family keeps the earliest of equal stretches; the others are covered whole.
 3. Where the same anchor k-gram is in several different stretches (the edges of repeats), the stretches are
    taken apart into their single windows, which meet in the same way.
-4. Covered parts are gathered by document and cut out.
+4. Covered parts are gathered by document and cut out. They, and the edges of 3, go packed to blocks of documents first.
 
 An order by the hash of a suffix's first bytes serves for the suffix arrays: only equality over a bounded length is
 asked for, and any order of such prefixes brings equal ones together. Hashes with random byte values stand
@@ -40,18 +40,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import NO_ID, buckets, columns_of, discard, first_of, forget, mix, stage, steps, table, tune
-from ._levels import COVER, COVERED, Levels, Rows, by_bucket, covered, dealt, with_payloads
+from ._levels import COVER, COVERED, PARTS, Levels, Rows, blocks, by_bucket, by_document, covered, dealt, joined, put_together, with_payloads
 
 LENGTH = 100
 GRAM = 32
-#: Row kinds besides covered parts: stretches and grams by bucket, edge stretches by document, windows by bucket.
+#: Row kinds besides covered parts: stretches by bucket, grams by block, edge stretches by block of documents and then by document, windows by bucket.
 STRETCH, GRAMS, EDGE, WINDOW = range(1, 5)
 STRETCHES = ["<u8", "<i8", "<i4", "<u8", "<i2", "<i2"]  # key, doc, pos, gram, first and last window relative to pos
 GRAM_ROWS = ["<u8", "<i8", "<i4", "<i2", "<i2"]
 WINDOWS = ["<u8", "<i8", "<i4", "<u2"]  # key, doc, pos, check
 EDGES = np.dtype([("pos", "<i4"), ("lo", "<i2"), ("hi", "<i2")])
+EDGE_ROWS = ["<i8", "<i4", "<i2", "<i2"]  # doc, pos, first and last window
 #: Bits of a gram's hash: it only says where to look closer.
 GRAM_BITS = np.uint64((1 << 48) - 1)
+#: Buckets' worth of grams that one task holds: they are the larger part of what buckets find.
+GRAM_BUCKETS = 4
 #: Windows whose anchors are found at a time: what that takes stays in the cache.
 BLOCK = 1 << 14
 #: Bytes of text that are hashed at a time: that takes some 60 times as much memory. Powers of the base that are kept for the next.
@@ -180,6 +183,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     """Rows (kind, key = doc_id, payload): packed [start, end) bytes that an earlier string of `length` bytes covers."""
     tune(spark)
     n = np.uint64(buckets(spark, docs))
+    m, of_grams = blocks(int(n)), np.uint64(blocks(int(n), GRAM_BUCKETS))
     docs = _docs(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +193,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     def first_stretches(own: list[np.ndarray]) -> Rows:
         first, later = first_of(*own[:4])
         rows = Rows()
-        rows.cover(COVERED, own[1][later], own[2][later] + own[4][later], own[2][later] + own[5][later] + length)
+        rows.to_blocks(COVERED, m, *joined(own[1][later], own[2][later] + own[4][later], own[2][later] + own[5][later] + length))
         first.sort()
         own[:] = [own.pop(0)[first] for _ in STRETCHES]
         rows.add(STRETCH, (own[0] % n).astype(np.int64), own)
@@ -197,8 +201,9 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
 
     def earliest(payloads: Iterator[bytes], rows: Rows) -> None:
         levels = Levels(STRETCHES)
-        for lost in levels.take(payloads):
-            rows.cover(COVERED, lost[1], lost[2] + lost[4], lost[2] + lost[5] + length)
+        lost = [[c[1], c[2] + c[4], c[2] + c[5] + length] for c in levels.take(payloads)]
+        if lost:
+            rows.to_blocks(COVERED, m, *joined(*put_together(lost)))
         _, doc, pos, g, lo, hi = levels.all()
         # One of each gram goes on to meet those of other buckets; the others are known to be edges, and make it one as well.
         order = np.argsort(g)
@@ -209,10 +214,10 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         several |= ~new
         edge, single = order[several], order[new & ~several]
         both = order[new & several]
-        edge_rows(rows, doc[edge], pos[edge], lo[edge], hi[edge])
+        rows.to_blocks(EDGE, m, doc[edge], pos[edge], lo[edge], hi[edge])
         out = np.concatenate([single, both])
         mark = np.concatenate([lo[single], np.full(len(both), 1, "<i2")])  # 1: this one is an edge already
-        rows.add(GRAMS, (g[out] % n).astype(np.int64), [g[out], doc[out], pos[out], mark, hi[out]])
+        rows.add(GRAMS, (g[out] % of_grams).astype(np.int64), [g[out], doc[out], pos[out], mark, hi[out]])
 
     met = stage(spark, by_bucket(docs.mapInArrow(cut, COVER), int(n), earliest), "earliest")
 
@@ -227,7 +232,7 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         edge = order[several]
         edge = edge[lo[edge] != 1]
         rows = Rows()
-        edge_rows(rows, doc[edge], pos[edge], lo[edge], hi[edge])
+        rows.to_blocks(EDGE, m, doc[edge], pos[edge], lo[edge], hi[edge])
         return rows.table()
 
     # Edges and covered parts are small; grams go as soon as both are written.
@@ -241,22 +246,22 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     def first_windows(own: list[np.ndarray]) -> Rows:
         first, later = first_of(*own)
         rows = Rows()
-        rows.cover(COVERED, own[1][later], own[2][later], own[2][later] + length)
+        rows.to_blocks(COVERED, m, *joined(own[1][later], own[2][later], own[2][later] + length))
         first.sort()
         own[:] = [own.pop(0)[first] for _ in WINDOWS]
         rows.add(WINDOW, (own[0] % n).astype(np.int64), own)
         return rows
 
-    texts = with_payloads(docs, edges).filter("payloads is not null")
+    texts = with_payloads(docs, by_document(edges, EDGE_ROWS, edge_rows)).filter("payloads is not null")
 
     def earliest_window(payloads: Iterator[bytes], rows: Rows) -> None:
-        levels = Levels(WINDOWS)
-        for lost in levels.take(payloads):
-            rows.cover(COVERED, lost[1], lost[2], lost[2] + length)
+        lost = [[c[1], c[2], c[2] + length] for c in Levels(WINDOWS).take(payloads)]
+        if lost:
+            rows.to_blocks(COVERED, m, *joined(*put_together(lost)))
 
     last = stage(spark, by_bucket(texts.mapInArrow(windows, COVER), int(n), earliest_window), "windows")
     discard(spark, edges)
-    return found.union(last)
+    return by_document(found.union(last), PARTS, lambda rows, *parts: rows.cover(COVERED, *parts))
 
 
 def kept_parts(data: bytes, payloads: list[bytes] | None) -> tuple[list[bytes], int, int]:

@@ -124,6 +124,29 @@ def test_pipeline_stage_deals_out_once_a_task(spark, monkeypatch):
     assert most == 1
 
 
+def test_buckets_make_no_row_for_each_document(spark, monkeypatch):
+    """Copies of 150 texts in other tasks, and 150 texts with another beginning and end: 24 buckets and 4 map tasks send rows to blocks of documents, not to each."""
+    made, stage = {}, op7_suffix.stage
+
+    def staged(spark, df, name):
+        out = stage(spark, df, name)
+        made[name] = {r.kind: r["count"] for r in out.groupBy("kind").count().collect()}
+        return out
+
+    monkeypatch.setattr(op7_suffix, "stage", staged)
+    first = [prose(500 + k, 80) for k in range(300)]
+    later = [t if k % 2 else prose(900 + k, 10) + t[9:-9] + prose(1300 + k, 10) for k, t in enumerate(first)]
+    got = sorted(tuple(r) for r in op7_suffix.digest(spark, documents(spark, first + later)).collect())
+    assert got == brute7(list(enumerate(first + later)), 100) and sum(r[2] > 0 for r in got) == 300
+    assert made["earliest"][0] <= (24 + 4) * 24 and made["windows"][0] <= (24 + 4) * 24
+
+    # Small tables dealt widely don't make a row for each pair of buckets; a block takes 16 buckets' worth of covered parts, or 4 of grams, at most.
+    from folioscan.llm._levels import blocks
+
+    assert [blocks(n) for n in (24, 64, 422, 6000)] == [24, 64, 64, 375]
+    assert [blocks(n, op7_suffix.GRAM_BUCKETS) for n in (24, 64, 422, 6000)] == [24, 64, 105, 1500]
+
+
 def test_map_tasks_take_and_keep_little_memory(monkeypatch):
     """Twelve million bytes of text: small batches of small payloads, all stretches in them, and nothing of note held at the peak or afterwards."""
     import tracemalloc
