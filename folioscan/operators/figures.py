@@ -37,18 +37,11 @@ def captions_of(boxes: DataFrame, page: list[str]) -> DataFrame:
     met = pics.join(texts, page).filter(F.least("x1", "px1") > F.greatest("x0", "px0"))
     near = met.withColumn("gap", gap).filter(N.is_caption(F.get("lines", F.lit(0))) & (F.col("gap") <= CAPTION_GAP))
 
-    def chosen(rows: pd.DataFrame) -> pd.DataFrame:
-        taken, used, keep = set(), set(), []
-        for r in rows.sort_values(["plain", "gap", "box", "t"]).itertuples():
-            if r.box not in taken and r.t not in used:
-                taken.add(r.box)
-                used.add(r.t)
-                keep.append(r.Index)
-        return rows.loc[keep, [*page, "box", "t"]]
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pics.select(*page, "box").schema)
-    t_kind = texts.schema["t"].dataType.simpleString()
-    pairs = near.select(*page, "box", "t", (F.col("kind") != "caption").alias("plain"), "gap").groupBy(*page).applyInPandas(chosen, f"{kinds}, t {t_kind}")
+    # The best pair of a page first; a pair is kept if neither its picture nor its text is in one that is kept already.
+    ranks = near.select(*page, F.struct((F.col("kind") != "caption").alias("plain"), "gap", "box", "t").alias("_p")).groupBy(*page).agg(F.sort_array(F.collect_list("_p")).alias("_p"))
+    none = F.slice("_p", F.lit(1), F.lit(0))
+    kept = F.aggregate("_p", none, lambda have, p: F.when(F.exists(have, lambda h: h["box"].eqNullSafe(p["box"]) | h["t"].eqNullSafe(p["t"])), have).otherwise(F.concat(have, F.array(p))))
+    pairs = ranks.select(*page, F.inline(kept)).select(*page, "box", "t")
     own = pairs.join(texts.select(*page, "t", N.caption_text("lines", F.col("kind") == "caption").alias("caption")), [*page, "t"])
     free = met.filter(above).join(pairs.select(*page, "t"), [*page, "t"], "left_anti")
     # Of texts that end at one height the first counts.
