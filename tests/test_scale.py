@@ -1,8 +1,10 @@
 """What decides how a query grows: no call for every small group, no pairs where counts do, the same rows as by the plain rule."""
 
 import oracle
+import pyarrow as pa
 
 from folioscan.operators import figures as G
+from folioscan.operators import passages as P
 from folioscan.plans import figures as FQ
 
 
@@ -18,3 +20,16 @@ def test_captions_make_no_call_for_every_page(spark):
     got = {r.box: (r.caption, r.context) for r in G.captions_of(spark.createDataFrame(rows, S), ["page"]).collect()}
     # The caption box goes to the nearer picture before the plain text finds its own.
     assert got == {1: ("Fig. 1. One", "above"), 2: ("Fig. 2. Two", "above")}
+
+
+def test_placement_makes_no_call_for_every_document(spark):
+    assert "InPandas" not in plan(FQ.chunk_page_placement(spark, oracle.SF))
+
+
+def test_batches_become_python_objects_in_bounded_pieces():
+    batch = pa.RecordBatch.from_pydict({"n": list(range(400)), "text": ["x" * (50_000 if n % 7 == 0 else 100) for n in range(400)]})
+    own = list(P.pieces(batch))
+    assert [v for b in own for v in b.column("n").to_pylist()] == list(range(400))
+    assert all(b.nbytes <= P.PIECE for b in own) and len(own) > 2
+    long = pa.RecordBatch.from_pydict({"text": ["y" * (3 * P.PIECE)] * 2})
+    assert [b.num_rows for b in P.pieces(long)] == [1, 1]
