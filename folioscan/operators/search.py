@@ -173,24 +173,35 @@ def phrases(query: Column | str) -> Column:
 def phrase_matches(queries: DataFrame, docs: DataFrame, key: list[str], field: str) -> DataFrame:
     """(qid, key, n_hit, n_terms): how many terms of each query (qid, query) a field holds; the words of a term stand in a row, the last may be a prefix.
 
-    Only documents with the first word of a term are looked into: one equality join on that word, or on its prefix where a term is a single prefix word of whatever length.
+    Terms and documents meet by equal keys: a word, two words in a row, or either with its last word cut to a prefix's length. Terms of more words begin with two,
+    and only those are looked for in the texts where they do. Keys become distinct as strings (a hash), before they have their kind (structures are compared each with each).
     """
     terms = queries.select("qid", F.posexplode(phrases("query")).alias("no", "t")).select("qid", "no", "t.*")
     n = terms.groupBy("qid").agg(F.count("*").alias("n_terms"))
-    short = (F.size("words") == 1) & F.col("prefix")
-    # A prefix word meets every prefix of its own length; other terms meet whole first words (length 0).
-    terms = terms.withColumn("cut", F.when(short, F.length(F.get("words", F.lit(0)))).otherwise(0)).withColumn("first", F.get("words", F.lit(0)))
-    cuts = F.array(*[F.lit(n) for n in sorted({0, *(r.cut for r in terms.select("cut").distinct().collect())})])  # as many as there are lengths of prefixes
+    size = F.size("words")
+    two = F.least(size, F.lit(2))
+    cut = F.when(F.col("prefix") & (size <= 2), F.length(F.element_at("words", -1))).otherwise(0)
+    run = F.concat(F.lit(" "), F.array_join("words", " "), F.when(F.col("prefix"), "").otherwise(" "))
+    terms = terms.select("qid", "no", two.alias("n"), cut.alias("cut"), F.array_join(F.slice("words", F.lit(1), two), " ").alias("key"), F.when(size > 2, run).alias("_run"))
+    kinds = sorted((r.n, r.cut) for r in terms.select("n", "cut").distinct().collect())  # as many as there are lengths of prefixes, twice at most
+
+    def keys(number: int, cut: int) -> Column:
+        last = lambda x: F.when(F.length(x) >= cut, F.left(x, F.lit(cut))) if cut else x
+        most = F.greatest(F.size("w") - 1, F.lit(0))
+        found = F.transform("w", lambda x: last(x)) if number == 1 else F.zip_with(F.slice("w", F.lit(1), most), F.slice("w", F.lit(2), most), lambda a, b: F.concat(a, F.lit(" "), last(b)))
+        return F.transform(F.array_distinct(found), lambda k: F.struct(F.lit(number).alias("n"), F.lit(cut).alias("cut"), k.alias("key")))
+
     own = docs.select(*key, X.ascii_words(F.coalesce(F.col(field), F.lit(""))).alias("w"))
-    firsts = F.flatten(F.transform(F.array_distinct("w"), lambda x: F.transform(F.filter(cuts, lambda n: (n == 0) | (F.length(x) >= n)), lambda n: F.struct(n.alias("cut"), F.when(n == 0, x).otherwise(F.left(x, n)).alias("first")))))
     few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    heads = own.select(*key, F.inline(F.array_distinct(firsts))).join(F.broadcast(terms) if few else terms, ["first", "cut"])
-    # Single words are found by now; only runs of several are looked for in the text.
-    single = heads.filter((F.size("words") == 1) & ((F.col("cut") > 0) | ~F.col("prefix"))).select("qid", *key, "no")
-    met = heads.filter((F.size("words") > 1) | ((F.col("cut") == 0) & F.col("prefix"))).join(own, key)
+    made = F.flatten(F.array(*[keys(*k) for k in kinds])) if kinds else F.array().cast("array<struct<n:int,cut:int,key:string>>")
+    heads = own.select(*key, F.inline(made)).join(F.broadcast(terms) if few else terms, ["n", "cut", "key"])
     # Words joined by single blanks: a run of them is a part of that text.
-    text, run = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")), F.concat(F.lit(" "), F.array_join("words", " "), F.when(F.col("prefix"), "").otherwise(" "))
-    found = met.withColumn("_t", text).filter(F.col("_t").contains(run)).select("qid", *key, "no").union(single).distinct()
+    text = own.select(*key, F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("_t"))
+    long = heads.filter("_run is not null").join(text, key).filter(F.col("_t").contains(F.col("_run")))
+    found = heads.filter("_run is null").select("qid", *key, "no")
+    if not terms.filter("_run is not null").isEmpty():
+        found = found.union(long.select("qid", *key, "no"))
+    found = found.distinct()
     return found.groupBy("qid", *key).agg(F.count("*").alias("n_hit")).join(n, "qid")
 
 

@@ -1,10 +1,14 @@
 """What decides how a query grows: no call for every small group, no pairs where counts do, the same rows as by the plain rule."""
 
+import time
+
 import oracle
 import pyarrow as pa
 
+from folioscan.operators import compare as C
 from folioscan.operators import figures as G
 from folioscan.operators import passages as P
+from folioscan.operators import search as S
 from folioscan.plans import figures as FQ
 
 
@@ -33,3 +37,22 @@ def test_batches_become_python_objects_in_bounded_pieces():
     assert all(b.nbytes <= P.PIECE for b in own) and len(own) > 2
     long = pa.RecordBatch.from_pydict({"text": ["y" * (3 * P.PIECE)] * 2})
     assert [b.num_rows for b in P.pieces(long)] == [1, 1]
+
+
+def test_phrases_of_a_long_text_take_no_time_in_its_square(spark):
+    long = " ".join(f"w{k}" for k in range(60_000))
+    docs = spark.createDataFrame([(1, long), (2, "w7 w8 w9"), (3, None)], "doc long, text string")
+    asked = spark.createDataFrame([(1, '"w7 w8 w9"'), (2, '"w7 w8 w99*"'), (3, '"w59998 w59*"'), (4, "w5999*"), (5, "w9_w7 w8")], "qid long, query string")
+    began = time.time()
+    got = {(r.qid, r.doc, r.n_hit, r.n_terms) for r in S.phrase_matches(asked, docs, ["doc"], "text").collect()}
+    assert got == {(1, 1, 1, 1), (1, 2, 1, 1), (3, 1, 1, 1), (4, 1, 1, 1), (5, 1, 1, 2), (5, 2, 1, 2)}
+    assert time.time() - began < 20
+
+
+def test_quotes_of_a_long_text_take_no_time_in_its_square(spark):
+    words = [f"w{k % 7}" if k % 2 else f"u{k}" for k in range(120_000)]
+    asked = spark.createDataFrame([(k, f"x w{k} u{1_000 + 14 * k} w{k} y") for k in range(7)] + [(9, " ".join(words[2_000:2_009]))], "q long, text string")
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "u1 w2")], "doc long, text string")
+    began = time.time()
+    assert [(r.q, r.doc) for r in C.quotes(asked, docs, "q", "doc").collect()] == [(9, 1)]
+    assert time.time() - began < 20
