@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,6 +125,79 @@ def in_order(pairs: DataFrame, doc: list[str]) -> DataFrame:
     return pairs.groupBy(*doc).applyInPandas(of, f"{fields}, line long, entry long")
 
 
+def longest_of_keys(lines: list[tuple[int, str, bool]], entries: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+    """As longest_in_order() for every pair of a line (line, key, opens) and an entry of its key, without the pairs. entries: ascending numbers of each key.
+
+    Of a line's entries between two ends of runs only the least can become the end of one, so all of a line are placed by one search. Runs are chains of
+    numbers in arrays; those that no run needs any more go when the arrays have doubled.
+    """
+    ends, best, n = np.empty(1024, np.int64), np.empty(1024, np.int64), 0
+    # Of each node: line, entry, whether the line opens its chunk, the node before it.
+    nodes, used, most = np.empty((4, 4096), np.int64), 0, 4096
+    for at, group in groupby(sorted(lines, key=lambda x: x[0]), key=lambda x: x[0]):
+        own = [(entries[key], opens) for _, key, opens in group if key in entries]
+        if not own:
+            continue
+        found, opens = own[0][0], np.full(len(own[0][0]), own[0][1])
+        if len(own) > 1:  # a place that several rows have
+            found = np.unique(np.concatenate([e for e, _ in own]))
+            opens = np.logical_or.reduce([np.isin(found, e) & o for e, o in own])
+        k = np.searchsorted(ends[:n], found)
+        least = np.concatenate([[True], k[1:] != k[:-1]])
+        k, found, opens = k[least], found[least], opens[least]
+        there = k < n
+        same = np.zeros(len(k), bool)
+        same[there] = ends[k[there]] == found[there]
+        same[same] = ~opens[same] | (nodes[2, best[k[same]]] != 0)
+        k, found, opens = k[~same], found[~same], opens[~same]
+        if not len(k):
+            continue
+        if used + len(k) > nodes.shape[1]:
+            if used >= most:  # keep what the runs need
+                needed, heads = np.zeros(used, bool), np.unique(best[:n])
+                while len(heads):
+                    needed[heads] = True
+                    heads = np.unique(nodes[3, heads])
+                    heads = heads[heads >= 0]
+                    heads = heads[~needed[heads]]
+                number = np.cumsum(needed) - 1
+                kept = nodes[:, :used][:, needed]
+                kept[3] = np.where(kept[3] >= 0, number[kept[3]], -1)
+                best[:n], used = number[best[:n]], kept.shape[1]
+                most = max(4096, 2 * used)
+                nodes = kept
+            nodes = np.concatenate([nodes[:, :used], np.empty((4, max(used, len(k), 4096)), np.int64)], axis=1)
+        new = np.arange(used, used + len(k))
+        nodes[0, new], nodes[1, new], nodes[2, new], nodes[3, new] = at, found, opens, np.where(k > 0, best[np.maximum(k, 1) - 1], -1) if n else -1
+        used += len(k)
+        if n == len(ends):
+            ends, best = np.concatenate([ends, ends]), np.concatenate([best, best])
+        ends[k], best[k] = found, new
+        n = max(n, int(k[-1]) + 1)
+    out, node = [], int(best[n - 1]) if n else -1
+    while node >= 0:
+        out.append((int(nodes[0, node]), int(nodes[1, node])))
+        node = int(nodes[3, node])
+    return out[::-1]
+
+
+def in_order_by_key(lines: DataFrame, entries: DataFrame, doc: list[str]) -> DataFrame:
+    """As in_order() for all pairs of lines (doc, line, key, opens) and entries (doc, key, entry) of one key: (doc, line, entry). One document's lines and entries meet in one task, their pairs are not made."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.select(*doc).schema)
+
+    def of(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        numbers = {key: np.unique(own.to_numpy(np.int64)) for key, own in b.groupby("key")["entry"]}
+        found = pd.DataFrame(longest_of_keys(list(zip(a["line"].tolist(), a["key"].tolist(), a["opens"].tolist(), strict=True)), numbers), columns=["line", "entry"])
+        for c in reversed(doc):
+            found.insert(0, c, a[c].iloc[0] if len(a) else None)
+        return found
+
+    # Both may come from one table: their columns get names of their own.
+    own = [F.col(c).alias(f"_{c}") for c in doc]
+    theirs = entries.filter("key is not null").select(*own, "key", "entry").groupBy(*[f"_{c}" for c in doc])
+    return lines.filter("key is not null").select(*doc, "line", "key", "opens").groupBy(*doc).cogroup(theirs).applyInPandas(of, f"{fields}, line long, entry long")
+
+
 def breadcrumbs(chunks: DataFrame, toc: DataFrame, doc: list[str]) -> DataFrame:
     """chunks (doc, ord, title, body) with breadcrumb: the title and, for a chunk that opens with a heading whose match runs in order with the others, the entries above it.
 
@@ -133,8 +208,8 @@ def breadcrumbs(chunks: DataFrame, toc: DataFrame, doc: list[str]) -> DataFrame:
     chains = toc_chains(entries, doc).select(*doc, F.col("idx").cast("long").alias("entry"), "chain", "_own")
     up = F.filter(F.slice("chain", F.lit(1), F.greatest(F.size("chain") - 1, F.lit(0))), lambda t: X.norm_title(t) != F.col("_own"))
     heads = heading_lines(chunks, doc)
-    pairs = heads.join(entries.filter((F.col("key") != "") & (F.col("key") != F.col("_own"))).select(*doc, "key", F.col("idx").cast("long").alias("entry")), [*doc, "key"])
-    kept = in_order(pairs.select(*doc, "line", "entry", "opens"), doc)
+    named = entries.filter((F.col("key") != "") & (F.col("key") != F.col("_own"))).select(*doc, "key", F.col("idx").cast("long").alias("entry"))
+    kept = in_order_by_key(heads.select(*doc, "line", "key", "opens"), named, doc)
     own = kept.join(heads.filter("opens"), [*doc, "line"]).join(chains.select(*doc, "entry", up.alias("_up")), [*doc, "entry"]).select(*doc, "ord", "_up")
     met = chunks.join(own, [*doc, "ord"], "left")
     return met.withColumn("breadcrumb", F.array_join(F.concat(F.array("title"), F.coalesce("_up", F.array().cast("array<string>"))), X.CRUMB)).drop("_up")

@@ -1,12 +1,16 @@
 """What decides how a query grows: no call for every small group, no pairs where counts do, the same rows as by the plain rule."""
 
+import random
 import time
 
+import numpy as np
 import oracle
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from folioscan.operators import compare as C
 from folioscan.operators import figures as G
+from folioscan.operators import outline as O
 from folioscan.operators import passages as P
 from folioscan.operators import search as S
 from folioscan.plans import figures as FQ
@@ -56,3 +60,24 @@ def test_quotes_of_a_long_text_take_no_time_in_its_square(spark):
     began = time.time()
     assert [(r.q, r.doc) for r in C.quotes(asked, docs, "q", "doc").collect()] == [(9, 1)]
     assert time.time() - began < 20
+
+
+def test_matches_in_order_are_those_of_all_pairs():
+    rng = random.Random(3)
+    for k in range(400):
+        keys = "abcdef"[: rng.randint(1, 6)]
+        entries = {c: np.array(sorted(rng.sample(range(60), rng.randint(1, 25)))) for c in keys}
+        lines = [(at, rng.choice(keys + "z"), rng.random() < 0.3) for at in range(rng.randint(0, 60))]
+        pairs = [(at, int(e), opens) for at, c, opens in lines for e in reversed(entries.get(c, []))]
+        assert O.longest_of_keys(lines, entries) == O.longest_in_order(pairs), k
+
+
+def test_matches_in_order_of_a_title_that_repeats_make_no_pairs(spark, monkeypatch):
+    n = 6_000
+    toc = spark.range(n).select(F.lit(1).alias("d"), F.col("id").alias("idx"), F.lit(1).alias("level"), F.lit("Overview").alias("title"), F.col("id").alias("page"))
+    chunks = toc.select("d", F.col("idx").alias("ord"), F.lit("Manual").alias("title"), F.lit("# Overview").alias("body"))
+    monkeypatch.setattr(O, "in_order", lambda *a: 1 / 0)
+    assert O.breadcrumbs(chunks, toc, ["d"]).count() == n
+    lines, entries = [(k, "a" if k % 3 else "b", True) for k in range(20_000)], {c: np.arange(c == "b", 20_000, 2) for c in "ab"}
+    began = time.time()
+    assert len(O.longest_of_keys(lines, entries)) > 9_000 and time.time() - began < 60
