@@ -1,4 +1,4 @@
-"""The index of a corpus: what a search needs, built once. Postings are sorted by term, so that a query's few terms prune what is read."""
+"""The index of a corpus: what a search needs, built once. Postings are dealt out and sorted by term, so that a query's few terms prune what is read."""
 
 from __future__ import annotations
 
@@ -13,12 +13,17 @@ from . import catalog_tables, lookup, search
 KEY = ["collection", "slug", "ord"]
 #: Postings a partition holds.
 PART = 4_000_000
+#: Characters of text whose postings one task counts.
+CHARS = 8_000_000
 
 
 def postings(docs: DataFrame, key: list[str], fields: dict[str, float], parts: int | None = None) -> dict[str, DataFrame]:
     """postings (term, key, n_tokens, f), lengths (key, n_tokens), and terms (term, df, cf, stem) without which no query term is met."""
-    flat = search.postings(docs, key, fields)
-    flat = flat.repartitionByRange(parts, "term") if parts else flat.repartitionByRange("term")
+    # Texts are dealt out by document first, so that the rows of their words need not be to be counted; then each posting moves once, to its term's partition.
+    chars = docs.agg(F.sum(sum((F.coalesce(F.length(F.col(f)), F.lit(0)) for f in fields), F.lit(0)).cast("long"))).first()[0] or 0
+    dealt = docs.select(*key, *[f for f in fields if f not in key]).repartition(max(docs.sparkSession.sparkContext.defaultParallelism, -(-chars // CHARS)), *key)
+    flat = search.postings(dealt, key, fields)
+    flat = flat.repartition(parts, "term") if parts else flat.repartition("term")
     return {"postings": flat.sortWithinPartitions("term", *key).select("term", *key, "n_tokens", "f"), "lengths": search.lengths(docs, key, fields).select(*key, "n_tokens")}
 
 

@@ -1,6 +1,7 @@
 """What decides how a query grows: no call for every small group, no pairs where counts do, the same rows as by the plain rule."""
 
 import random
+import re
 import time
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from folioscan.operators import compare as C
 from folioscan.operators import figures as G
+from folioscan.operators import index as I
 from folioscan.operators import outline as O
 from folioscan.operators import passages as P
 from folioscan.operators import search as S
@@ -81,3 +83,26 @@ def test_matches_in_order_of_a_title_that_repeats_make_no_pairs(spark, monkeypat
     lines, entries = [(k, "a" if k % 3 else "b", True) for k in range(20_000)], {c: np.arange(c == "b", 20_000, 2) for c in "ab"}
     began = time.time()
     assert len(O.longest_of_keys(lines, entries)) > 9_000 and time.time() - began < 60
+
+
+DOCS = [(1, "s", "a b a c"), (2, "s", "b b"), (2, "s", "b b"), (3, None, None), (4, "t", "a d")]
+
+
+def test_postings_move_once(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, source string, text string")
+    made = I.postings(docs, ["doc_id", "source"], {"text": 1.0})
+    p = plan(made["postings"])
+    assert p.count("Exchange") == 2 and "rangepartitioning" not in p and not re.search(r"hashpartitioning\([^)]*n_tokens", p)
+    # Rows of one document are one document, as in SQL.
+    assert {(r.doc_id, r.term): (r.n_tokens, r.f) for r in made["postings"].collect()} == {(1, "a"): (4, 2.0), (1, "b"): (4, 1.0), (1, "c"): (4, 1.0), (2, "b"): (2, 4.0), (4, "a"): (2, 1.0), (4, "d"): (2, 1.0)}
+
+
+def test_pairs_of_queries_and_documents_are_not_shuffled(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, source string, text string")
+    asked = spark.createDataFrame([(1, ["a", "b"]), (2, ["d"])], "qid long, terms array<string>")
+    scored = S.bm25(asked, docs, ["doc_id", "source"], {"text": 1.0})
+    assert not re.search(r"hashpartitioning\(qid[^)]*doc_id", plan(scored))
+    modes = S.all_else_any(scored, 1)
+    assert "Window" not in plan(modes)
+    assert {(r.qid, r.doc_id, r.n_hit, r.mode) for r in modes.collect()} == {(1, 1, 2, "all"), (2, 4, 1, "all")}
+    assert {(r.qid, r.doc_id, r.mode) for r in S.all_else_any(scored, 2).collect()} == {(1, 1, "any"), (1, 2, "any"), (1, 4, "any"), (2, 4, "any")}
