@@ -17,6 +17,8 @@ K1, B = 1.2, 0.75
 WEIGHTS = {"heading": 10.0, "entity": 8.0, "breadcrumb": 3.0, "body": 1.0, "figures": 1.0}
 #: A query vocabulary of up to so many terms is broadcast; a larger one is joined by shuffling.
 BROADCAST_TERMS = 200_000
+#: Pairs of a query and a document that one task scores, at most about.
+PAIRS = 1_000_000
 #: How many candidates are re-ranked: so many times the limit, and no fewer.
 POOL_TIMES, POOL_LEAST = 20, 200
 
@@ -50,14 +52,25 @@ def idf(n: Column, df: Column) -> Column:
     return F.when(raw > 0, raw).otherwise(1e-6)
 
 
-def ranked(queries: DataFrame, found: DataFrame, lengths_: DataFrame, key: list[str]) -> DataFrame:
+def is_few(rows: DataFrame, most: int = BROADCAST_TERMS) -> bool:
+    """Whether there are at most so many rows: counted, not estimated."""
+    return rows.limit(most + 1).count() <= most
+
+
+def by_document(found: DataFrame, queries: DataFrame, lengths_: DataFrame, key: list[str]) -> DataFrame:
+    """Postings dealt out by document, so that all that scores a document is in one task and no pair of it and a query is shuffled."""
+    pairs = queries.count() * lengths_.count()
+    return found.repartition(max(found.sparkSession.sparkContext.defaultParallelism, -(-pairs // PAIRS)), *key)
+
+
+def ranked(queries: DataFrame, found: DataFrame, lengths_: DataFrame, key: list[str], dealt: bool = False) -> DataFrame:
     """(qid, key, score, n_hit, n_terms) of queries (qid, terms) over postings (term, key, n_tokens, f) and lengths (key, n_tokens); higher is better.
 
     Averages and document frequencies are of the whole table, whatever is filtered afterwards. Queries are few beside postings: below a counted
-    number of terms they are broadcast, and only their terms' postings are read.
+    number of terms they are broadcast, only their terms' postings are read, and these move once, by document (unless they are `dealt` so already).
     """
     wanted = queries.select("qid", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
-    few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    few = is_few(wanted)
     small = F.broadcast if few else lambda df: df
     own = found.join(small(wanted.select("term").distinct()), "term", "left_semi")
     frequency = own.groupBy("term").agg(F.count("*").alias("df"))
@@ -65,7 +78,8 @@ def ranked(queries: DataFrame, found: DataFrame, lengths_: DataFrame, key: list[
     weighed = wanted.join(frequency, "term").withColumn("whole", whole.scalar()).select("qid", "n_terms", "term", idf(F.col("whole.n"), F.col("df")).alias("idf"), F.col("whole.mean").alias("mean"))
     f, share = F.col("f"), F.col("n_tokens") / F.col("mean")
     gain = F.col("idf") * f * (K1 + 1) / (f + K1 * (1 - B + B * share))
-    return own.join(small(weighed), "term").groupBy("qid", *key).agg(F.round(F.sum(gain), 6).alias("score"), F.count("*").alias("n_hit"), F.first("n_terms").alias("n_terms"))
+    rows = by_document(own, queries, lengths_, key) if few and not dealt else own
+    return rows.join(small(weighed), "term").groupBy("qid", *key).agg(F.round(F.sum(gain), 6).alias("score"), F.count("*").alias("n_hit"), F.first("n_terms").alias("n_terms"))
 
 
 def bm25(queries: DataFrame, docs: DataFrame, key: list[str], fields: dict[str, float], tokens=X.words) -> DataFrame:
@@ -77,8 +91,10 @@ def bm25(queries: DataFrame, docs: DataFrame, key: list[str], fields: dict[str,
 def all_else_any(scored: DataFrame, limit: int) -> DataFrame:
     """Documents with all terms where a query has `limit` of them; else those with any, in place of the former."""
     every = F.col("n_hit") == F.col("n_terms")
-    enough = F.count_if(every).over(Window.partitionBy("qid")) >= limit
-    return scored.withColumn("_mode", F.when(enough, "all").otherwise("any")).filter((F.col("_mode") == "any") | every).withColumnRenamed("_mode", "mode")
+    # Counts of each query come to its rows, not all its rows to one task; there is at most one row a query.
+    enough = scored.filter(every).groupBy("qid").agg(F.count("*").alias("_n")).filter(F.col("_n") >= limit).select("qid", F.lit("all").alias("_mode"))
+    met = scored.join(F.broadcast(enough), "qid", "left")
+    return met.withColumn("mode", F.coalesce("_mode", F.lit("any"))).filter((F.col("mode") == "any") | every).select(*scored.columns, "mode")
 
 
 def pool(scored: DataFrame, key: list[str], limit: int) -> DataFrame:

@@ -16,6 +16,8 @@ from folioscan.sources import store
 
 from .registry import query, table
 
+#: Items whose pools of documents are broadcast.
+POOLS = 2_000
 _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _SCORED = rf"""
 t AS (SELECT doc_id, source, {_TOKENS} AS w FROM documents),
@@ -106,7 +108,9 @@ def rerank_cap_topk(spark, sf_dir):
     entity = F.when(F.col("doc_id") % 2 == 0, F.concat_ws(" ", F.get("c", F.lit(2)), F.get("c", F.lit(3)))).otherwise(F.array_join("c", "_"))
     owned = docs.select("doc_id", (F.col("doc_id") % n).alias("k"), F.substring_index("text", "\n", 1).alias("heading"), F.col("text").alias("body")).join(its.select("k", "c"), "k", "left").select("doc_id", "heading", entity.alias("entity"), "body")
     best = S.pool(_scored(spark, sf_dir, _items(spark, sf_dir)), ["doc_id"], 10).join(items.select(F.col("item_id").alias("qid"), F.col("text").alias("query")), "qid")
-    return S.capped(S.adjusted(best.join(owned, "doc_id")), ["doc_id"], ["source"], 5, 10, "adjusted").select("qid", "rank", "doc_id", "adjusted")
+    # The pools are a few hundred rows an item: they go to the texts, where these are read.
+    few = S.is_few(items.select("item_id"), POOLS)
+    return S.capped(S.adjusted((F.broadcast(best) if few else best).join(owned, "doc_id")), ["doc_id"], ["source"], 5, 10, "adjusted").select("qid", "rank", "doc_id", "adjusted")
 
 
 _STEM = "CASE WHEN {0} LIKE '%ing' AND length({0}) >= 6 THEN {0}[:-4] WHEN {0} LIKE '%ed' AND length({0}) >= 5 THEN {0}[:-3] WHEN {0} LIKE '%es' AND length({0}) >= 5 THEN {0}[:-3] WHEN {0} LIKE '%s' AND length({0}) >= 4 THEN {0}[:-2] ELSE {0} END"
@@ -124,7 +128,8 @@ def passage_scores(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", X.lines("text").alias("passages"))
     top = bm25_topk(spark, sf_dir).filter("rank <= 3").select("qid", "doc_id")
     stems = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.array_distinct(F.transform(X.ascii_words("text"), X.light_stem)).alias("terms"))
-    return S.passage_scores(top.join(docs, "doc_id").join(stems, "qid"))
+    few = S.is_few(stems.select("qid"), POOLS)
+    return S.passage_scores((F.broadcast(top) if few else top).join(docs, "doc_id").join(stems, "qid"))
 
 
 @query(f"WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[0-9a-z]+')) AS w FROM documents) SELECT {_STEM.format('w')} AS stem, count(*) AS n_words FROM w GROUP BY ALL")
@@ -142,8 +147,10 @@ def stemmed_search(spark, sf_dir):
     asked = _items(spark, sf_dir).select("qid", F.explode("terms").alias("w"))
     terms = asked.join(asked.select("w").distinct().select("w", stem_term("w").alias("s")), "w").groupBy("qid").agg(F.collect_set("s").alias("terms"))
     wanted = stems.join(terms.select(F.explode("terms").alias("stem")).distinct(), "stem", "left_semi")
-    found = own["postings"].join(wanted, "term").groupBy("doc_id", "source", "n_tokens", F.col("stem").alias("term")).agg(F.sum("f").alias("f"))
-    return S.capped(S.ranked(terms, found, own["lengths"], ["doc_id", "source"]), ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score")
+    key, few = ["doc_id", "source"], S.is_few(wanted)
+    met = own["postings"].join(F.broadcast(wanted) if few else wanted, "term")
+    found = S.by_document(met, terms, own["lengths"], key).groupBy(*key, "n_tokens", F.col("stem").alias("term")).agg(F.sum("f").alias("f"))
+    return S.capped(S.ranked(terms, found, own["lengths"], key, dealt=True), ["doc_id"], ["source"], 5, 10).select("qid", "rank", "doc_id", "score")
 
 
 _QUOTES = """pairs AS (SELECT item_id, doc_id FROM (SELECT item_id, trim(regexp_replace(text, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ') AS quote FROM benchmark), (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ') AS body FROM documents) WHERE quote <> '' AND contains(body, quote))"""
