@@ -5,7 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscan.functions import labels as N
@@ -50,26 +50,30 @@ def captions_of(boxes: DataFrame, page: list[str]) -> DataFrame:
 
 
 def _caption_hits(sections: DataFrame, figures: DataFrame, doc: list[str]) -> DataFrame:
-    """(doc, figure, captions): the sections that have a figure's caption. Captions alike have four words in common at their start, or are equal, so that is the key of the join."""
+    """(doc, key, ords): the sections that have a caption, once for all figures that share it. Captions alike have four words in common at their start, or are equal, so that is the key of the join."""
     first = lambda k: F.array_join(F.slice(F.split(k, " "), 1, N.PARTS_ALIKE), " ")
     line = sections.select(*doc, "ord", F.explode(F.split("text", r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]")).alias("_l")).filter(~F.col("_l").rlike(DOT_LEADER))
     own = line.select(*doc, "ord", N.caption_key("_l").alias("_k")).filter(F.col("_k").rlike("^(figure|fig) ")).distinct().withColumn("_f", first(F.col("_k")))
-    asked = figures.select(*doc, "figure", N.caption_key("caption").alias("_a")).filter("_a <> ''").withColumn("_f", first(F.col("_a")))
-    return asked.join(own, [*doc, "_f"]).filter(N.same_caption("_a", "_k")).groupBy(*doc, "figure").agg(F.sort_array(F.collect_set("ord")).alias("captions"))
+    asked = figures.select(*doc, N.caption_key("caption").alias("_a")).filter("_a <> ''").distinct().withColumn("_f", first(F.col("_a")))
+    return asked.join(own, [*doc, "_f"]).filter(N.same_caption("_a", "_k")).groupBy(*doc, F.col("_a").alias("key")).agg(F.sort_array(F.collect_set("ord")).alias("ords"))
+
+
+def _needle(context: str = "context") -> Column:
+    """The last words of a context, as an array; null where it has too few."""
+    words = F.split(N.caption_key(context), " ")
+    return F.when(F.size(words) >= CONTEXT_LEAST, F.slice(words, F.greatest(F.size(words) - CONTEXT_WORDS + 1, F.lit(1)), CONTEXT_WORDS))
 
 
 def _context_hits(sections: DataFrame, figures: DataFrame, doc: list[str]) -> DataFrame:
-    """(doc, figure, contexts): the sections that hold the last words of a figure's context. Runs of five words meet first; texts are read again for the pairs that did."""
-    words = F.split(N.caption_key("context"), " ")
-    asked = figures.select(*doc, "figure", words.alias("_w")).filter(F.size("_w") >= CONTEXT_LEAST)
-    needle = F.slice("_w", F.greatest(F.size("_w") - CONTEXT_WORDS + 1, F.lit(1)), CONTEXT_WORDS)
-    asked = asked.select(*doc, "figure", needle.alias("_n"))
-    asked = asked.select(*doc, "figure", F.array_join("_n", " ").alias("_needle"), F.xxhash64(F.array_join(F.slice("_n", 1, CONTEXT_LEAST), " ")).alias("_g"))
+    """(doc, key, ords): the sections that hold the last words of a context, once for all figures that share them. Runs of five words meet first; then each section's text is read once, for all that it met."""
+    asked = figures.select(*doc, _needle().alias("_n")).filter("_n is not null").distinct()
+    asked = asked.select(*doc, F.array_join("_n", " ").alias("_needle"), F.xxhash64(F.array_join(F.slice("_n", 1, CONTEXT_LEAST), " ")).alias("_g"))
     key = sections.select(*doc, "ord", N.caption_key("text").alias("_text"))
     grams = key.select(*doc, "ord", F.explode(shingles("_text", CONTEXT_LEAST)).alias("_s")).select(*doc, "ord", F.xxhash64("_s").alias("_g"))
-    pairs = asked.join(grams, [*doc, "_g"]).select(*doc, "ord", "figure", "_needle").distinct()
-    holds = F.contains(F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), "_needle", F.lit(" ")))
-    return pairs.join(key, [*doc, "ord"]).filter(holds).groupBy(*doc, "figure").agg(F.sort_array(F.collect_set("ord")).alias("contexts"))
+    pairs = asked.join(grams, [*doc, "_g"]).groupBy(*doc, "ord").agg(F.collect_set("_needle").alias("_needles"))
+    met = pairs.join(key, [*doc, "ord"]).select(*doc, "ord", F.concat(F.lit(" "), "_text", F.lit(" ")).alias("_text"), F.explode("_needles").alias("_needle"))
+    holds = F.contains("_text", F.concat(F.lit(" "), "_needle", F.lit(" ")))
+    return met.filter(holds).groupBy(*doc, F.col("_needle").alias("key")).agg(F.sort_array(F.collect_set("ord")).alias("ords"))
 
 
 def links(sections: DataFrame, figures: DataFrame, doc: list[str], paragraphs: bool = True) -> DataFrame:
@@ -77,7 +81,7 @@ def links(sections: DataFrame, figures: DataFrame, doc: list[str], paragraphs: b
 
     sections: (doc, ord, text, page_start, page_end), ord numbered without gaps; figures: (doc, figure, page, caption, context), figure ascending in reading order.
     A caption's or paragraph's first section from the last figure's on counts (for paragraphs: of the next six), elsewhere only the only one; a page that several sections share decides nothing.
-    Where sections have pages, paragraphs are asked only if `paragraphs`. Candidates come from joins with equalities; only section numbers go to the walk, one document in a task.
+    Where sections have pages, paragraphs are asked only if `paragraphs`. Candidates come from joins with equalities; only keys of figures and, once a key, section numbers go to the walk, one document in a task.
     """
     captions, contexts = _caption_hits(sections, figures, doc), _context_hits(sections, figures, doc)
     ranges = sections.filter("page_start is not null and page_end is not null").select(*doc, "ord", "page_start", "page_end")
@@ -85,27 +89,31 @@ def links(sections: DataFrame, figures: DataFrame, doc: list[str], paragraphs: b
     page = on.groupBy(*doc, "figure").agg(F.count("*").alias("_n"), F.min("ord").alias("by_page")).filter("_n = 1").drop("_n")
     paged = sections.groupBy(*doc).agg(F.bool_or(F.col("page_start").isNotNull()).alias("paged"))
     has = F.coalesce(F.col("caption") != "", F.lit(False)).alias("captioned")
-    rows = figures.select(*doc, "figure", has).join(captions, [*doc, "figure"], "left").join(contexts, [*doc, "figure"], "left").join(page, [*doc, "figure"], "left").join(paged, doc, "left")
+    keys = [N.caption_key("caption").alias("_caption"), F.array_join(_needle(), " ").alias("_context")]
+    rows = figures.select(*doc, "figure", has, *keys).join(page, [*doc, "figure"], "left").join(paged, doc, "left")
+    # Both sides of the walk come from one table: columns get names of their own.
+    hits = captions.withColumn("_how", F.lit("caption")).unionByName(contexts.withColumn("_how", F.lit("context"))).select(*[F.col(c).alias(f"_{c}") for c in doc], "_how", "key", "ords")
 
-    def walk(own: pd.DataFrame) -> pd.DataFrame:
+    def walk(own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("figure", kind="stable")
+        ords = {(how, key): o for how, key, o in zip(found["_how"], found["key"], found["ords"], strict=True)}
         at, out = 0, []
-        for r in own.itertuples():
-            captions, contexts = (list(c) if c is not None else [] for c in (r.captions, r.contexts))
+        for r, *keys in zip(own.itertuples(), own["_caption"], own["_context"], strict=True):
+            captions, contexts = ords.get(("caption", keys[0]), ()), ords.get(("context", keys[1]), ())
             by_page = None if pd.isna(r.by_page) else int(r.by_page)
             k = bisect_left(captions, at)
             by_caption = captions[k] if k < len(captions) else captions[0] if len(captions) == 1 else None
             k = bisect_left(contexts, at)
             by_context = contexts[k] if k < len(contexts) and contexts[k] < at + NEAR else contexts[0] if len(contexts) == 1 else None
             ways = [("caption", by_caption if r.captioned else None), ("page", by_page), ("context", by_context if paragraphs or not r.paged else None)]
-            link, section = next(((how, s) for how, s in ways if s is not None), (None, None))
+            link, section = next(((how, int(s)) for how, s in ways if s is not None), (None, None))
             at = at if section is None else section
-            out.append((section, link, by_page, by_context))
-        found = pd.DataFrame(out, columns=["section", "link", "by_page", "by_context"], index=own.index, dtype=object)
-        return pd.concat([own[[*doc, "figure"]], found], axis=1)
+            out.append((section, link, by_page, None if by_context is None else int(by_context)))
+        linked = pd.DataFrame(out, columns=["section", "link", "by_page", "by_context"], index=own.index, dtype=object)
+        return pd.concat([own[[*doc, "figure"]], linked], axis=1)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in figures.select(*doc, "figure").schema)
-    return rows.groupBy(*doc).applyInPandas(walk, f"{kinds}, section long, link string, by_page long, by_context long")
+    return rows.groupBy(*doc).cogroup(hits.groupBy(*[f"_{c}" for c in doc])).applyInPandas(walk, f"{kinds}, section long, link string, by_page long, by_context long")
 
 
 def agreement(linked: DataFrame, by: list[str]) -> DataFrame:
