@@ -225,7 +225,8 @@ def snippets(rows: DataFrame, body: str = "body", terms: str = "terms", size: in
     """rows with snippet: the first window of `size` words that has the most different terms, these marked, with dots where text is left out."""
     tokens, own = F.split(F.trim(X.collapse(body)), " "), F.col(terms)
     row = rows.withColumn("_w", tokens).withColumn("_h", F.transform("_w", lambda w: F.array_intersect(X.words(w), own)))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_w") - size, F.lit(0)))
+    # A window whose last word is no hit has no more terms than the one before it, so the first of the best begins the text or ends in a hit.
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("_w") - size, F.lit(0))), lambda i: (i == 0) | (F.size(F.get("_h", i + (size - 1))) > 0))
     best = F.array_max(F.transform(starts, lambda i: F.struct(F.size(F.array_distinct(F.flatten(F.slice("_h", i + 1, F.lit(size))))).alias("n"), (-i).alias("at"))))
     row = row.withColumn("_at", -best["at"])
     shown = F.array_join(F.transform(F.slice(F.arrays_zip("_w", "_h"), F.col("_at") + 1, F.lit(size)), lambda x: F.when(F.size(x["_h"]) > 0, F.concat(F.lit(marks[0]), x["_w"], F.lit(marks[1]))).otherwise(x["_w"])), " ")

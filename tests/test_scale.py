@@ -106,3 +106,23 @@ def test_pairs_of_queries_and_documents_are_not_shuffled(spark):
     assert "Window" not in plan(modes)
     assert {(r.qid, r.doc_id, r.n_hit, r.mode) for r in modes.collect()} == {(1, 1, 2, "all"), (2, 4, 1, "all")}
     assert {(r.qid, r.doc_id, r.mode) for r in S.all_else_any(scored, 2).collect()} == {(1, 1, "any"), (1, 2, "any"), (1, 4, "any"), (2, 4, "any")}
+
+
+def test_figures_that_share_a_caption_share_its_sections(spark):
+    text = "Figure 1. Open clock tree view\nthe paragraph above a figure says what it is about"
+    sections = spark.range(30).select(F.lit("a").alias("d"), F.col("id").alias("ord"), F.lit(text).alias("text"))
+    figs = spark.range(40).select(F.lit("a").alias("d"), F.col("id").alias("figure"), F.lit("Figure 1: open clock tree view").alias("caption"), F.lit("the paragraph above a figure says what it is about").alias("context"))
+    assert [len(r.ords) for hits in (G._caption_hits, G._context_hits) for r in hits(sections, figs, ["d"]).collect()] == [30, 30]
+
+
+def test_snippets_weigh_only_windows_that_end_in_a_hit(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choice("abcdefgh") + rng.choice(["", "", "x"]) for _ in range(rng.randint(1, 70))), rng.sample("abcz", rng.randint(0, 3))) for k in range(150)]
+    got = {r.k: r.snippet for r in S.snippets(spark.createDataFrame(rows, "k long, body string, terms array<string>"), size=9).collect()}
+    for k, body, terms in rows:
+        w = body.split(" ")
+        at = max(range(max(len(w) - 9, 0) + 1), key=lambda i: (len(set(w[i : i + 9]) & set(terms)), -i))
+        shown = " ".join(f"[{x}]" if x in terms else x for x in w[at : at + 9])
+        assert got[k] == ("…" if at else "") + shown + ("…" if at + 9 < len(w) else "")
+    p = S.snippets(spark.createDataFrame(rows, "k long, body string, terms array<string>"))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("filter(sequence(0") >= 1
