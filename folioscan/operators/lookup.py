@@ -22,9 +22,12 @@ def entities(chunks: DataFrame, doc: list[str]) -> DataFrame:
 
 
 def lookup(asked: DataFrame, entities_: DataFrame, doc: list[str]) -> DataFrame:
-    """asked (qid, name) with every entry that has one of its spellings; none: nulls."""
-    keys = asked.select("qid", "name", F.explode(X.entity_keys("name")).alias("name_lower"))
-    hit = keys.join(entities_.withColumnRenamed("name", "entity"), "name_lower").select("qid", *doc, "entity", "chunk_count", "page_start", "page_end").distinct()
+    """asked (qid, name) with every entry that has one of its spellings; none: nulls. entities_: as entities() makes them, a row an entry.
+
+    An entry has one spelling, so it meets a question's distinct ones once: the spellings are made distinct, not all that is met.
+    """
+    keys = asked.select("qid", F.explode(X.entity_keys("name")).alias("name_lower")).distinct()
+    hit = keys.join(entities_.withColumnRenamed("name", "entity"), "name_lower").select("qid", *doc, "entity", "chunk_count", "page_start", "page_end")
     return asked.join(hit, "qid", "left")
 
 

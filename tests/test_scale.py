@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from folioscan.operators import compare as C
 from folioscan.operators import figures as G
 from folioscan.operators import index as I
+from folioscan.operators import lookup as L
 from folioscan.operators import outline as O
 from folioscan.operators import passages as P
 from folioscan.operators import search as S
@@ -126,3 +127,13 @@ def test_snippets_weigh_only_windows_that_end_in_a_hit(spark):
         assert got[k] == ("…" if at else "") + shown + ("…" if at + 9 < len(w) else "")
     p = S.snippets(spark.createDataFrame(rows, "k long, body string, terms array<string>"))._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("filter(sequence(0") >= 1
+
+
+def test_entries_are_met_once_without_telling_all_hits_apart(spark):
+    own = spark.createDataFrame([("d", "Rule A1", 3), ("d", "a1", 4), ("e", "A1", 5), ("e", "A1", 6)], "slug string, entity string, page int").selectExpr("slug", "entity", "page page_start", "page page_end")
+    asked = spark.createDataFrame([(1, "rule a1"), (1, "rule a1"), (1, "drc rule A1"), (2, "x"), (3, None)], "qid long, name string")
+    found = L.lookup(asked, L.entities(own, ["slug"]), ["slug"])
+    assert not any("chunk_count" in line for line in plan(found).splitlines() if "HashAggregate(keys=[qid" in line)
+    got = sorted((r.qid, r.name or "", r.slug or "", r.entity or "", r.chunk_count or 0) for r in found.collect())
+    hits = [("d", "Rule A1", 1), ("d", "a1", 1), ("e", "A1", 2)]
+    assert got == sorted([*((1, n, *h) for n in ("rule a1", "rule a1", "drc rule A1") for h in hits), (2, "x", "", "", 0), (3, "", "", "", 0)])
